@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthloom.functions.calendar import add_spine
+from monthloom.operators.joins import null_safe_join
 from monthloom.params import ROW_TARGET
 
 MONEY = "decimal(38,9)"
@@ -46,10 +47,8 @@ def grain_count(frame: DataFrame, key: Sequence[str]) -> DataFrame:
     A count over a window would gather all copies of one key in a single task.
     """
     counts = frame.groupBy(*key).agg(F.count("*").alias("grain_count"))
-    condition = F.lit(True)
-    for name in key:
-        condition = condition & frame[name].eqNullSafe(counts[name])
-    return frame.join(counts, condition, "left").select(frame["*"], "grain_count")
+    joined = null_safe_join(frame, counts, key, "left")
+    return joined.select(*[frame[name] for name in frame.columns], "grain_count")
 
 
 def watermark(audit: DataFrame) -> DataFrame:

@@ -23,7 +23,11 @@ def partner_totals(scope: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def top_n(
-    frame: DataFrame, n: int, by: Sequence[str] = (), value: str = "value", code: str = "partner_code"
+    frame: DataFrame,
+    n: int,
+    by: Sequence[str] = (),
+    value: str = "value",
+    code: str = "partner_code",
 ) -> DataFrame:
     """The ``n`` largest per group with their 1-based rank; ties go to the lower code.
 
@@ -73,4 +77,5 @@ def partner_options(partners: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.max_by("source_name", latest).alias("source_name"),
         F.max_by("map_iso3", latest).alias("map_iso3"),
     )
-    return options.orderBy(*by, "source_name", "partner_code")
+    shown = F.coalesce(F.nullif(F.col("source_name"), F.lit("")), F.col("partner_code"))
+    return options.orderBy(*by, shown, "partner_code")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from monthloom.operators.joins import null_safe_join
+
 SCOPE = ("period_start_date", "reporter_code", "cmd_code", "flow_code")
 NEWEST = ("revision", "ingested_at", "hs_version", "source_file")
 IDENTITY = ("reporter_code", "cmd_code", "period", "query_type")
@@ -33,13 +35,10 @@ def accept_latest_extract(
     rows to the winning versions keeps them where they are when the winners are
     small enough to broadcast, and lets Spark split a hot scope when they are not.
     """
-    winners = winning_extracts(detail, scope, newest)
-    same_scope = [detail[name].eqNullSafe(winners[name]) for name in scope]
-    same_version = F.struct(*[detail[name] for name in newest]).eqNullSafe(winners["winner"])
-    condition = same_version
-    for test in same_scope:
-        condition = condition & test
-    return detail.join(winners, condition, "left_semi")
+    winners = winning_extracts(detail, scope, newest).select(
+        *scope, *[F.col(f"winner.{name}").alias(name) for name in newest]
+    )
+    return null_safe_join(detail, winners, (*scope, *newest), "left_semi")
 
 
 def accept_latest_row(
