@@ -41,7 +41,8 @@ def load_batch(
     """Check, load and publish to the fact the extracts of one batch.
 
     The batch is bounded by ``files_per_batch``; so is the list of its folders.
-    Rejected and outdated extracts are appended to ``rejected`` with their reasons.
+    Rejected extracts are appended to ``rejected`` with their reasons; a revision that
+    arrives after a newer one is passed over.
     """
     spark = batch.sparkSession
     manifests = cut_lineage(manifests_from_text(batch))
@@ -57,7 +58,7 @@ def load_batch(
     chosen = cut_lineage(newest.where(F.col("copies") == 1).drop("copies"))
     if not chosen.limit(1).count():
         return
-    load_extracts(spark, tables, chosen, rows)
+    load_extracts(spark, tables, chosen, rows, skip_stale=True)
     months = months_of(chosen.where(F.col("kind") == "partner_detail"))
     detail = scan_table(spark, f"{tables}/partner_detail", RAW_SCHEMA)
     refresh_fact(spark, f"{tables}/fact", detail, countries, hs_codes, params, months)
