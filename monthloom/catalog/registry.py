@@ -16,7 +16,7 @@ from monthloom.operators.dimensions import dim_countries
 from monthloom.params import Params
 from monthloom.plans.multi_market import MultiMarket
 from monthloom.plans.single_market import SingleMarket
-from monthloom.sources.star import Panel, star_panel
+from monthloom.sources.star import Panel
 
 TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -35,7 +35,7 @@ class Tables:
 
     @cached_property
     def panel(self) -> Panel:
-        return star_panel(self.spark, self.folder)
+        return Panel(self.spark, self.folder)
 
     @cached_property
     def countries(self) -> DataFrame:

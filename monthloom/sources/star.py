@@ -8,6 +8,7 @@ the revision of an extract.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,16 +22,24 @@ from monthloom.schemas import COUNTRY_SCHEMA, HS_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
 EXTRACT = ("period_start_date", "reporter_code", "cmd_code", "revision")
 
 
-@dataclass(frozen=True)
-class Panel:
-    detail: DataFrame
-    world: DataFrame
-    countries: DataFrame
-    hs_codes: DataFrame
+# Columns of the star tables this panel is made of.
+STAR_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_type string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"
+    ),
+}
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A declared schema: no job that opens files only to learn their columns."""
+    return spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def typed(frame: DataFrame, schema) -> DataFrame:
@@ -194,18 +203,31 @@ def star_world(detail: DataFrame, countries: DataFrame) -> DataFrame:
     return typed(shaped.select(*RAW_COLUMNS), RAW_SCHEMA)
 
 
-def star_panel(spark: SparkSession, folder: str) -> Panel:
-    """The panel of one data folder.
+@dataclass(frozen=True)
+class Panel:
+    """The panel of one data folder; each part is planned when first asked for.
 
     Several branches of a plan read the detail rows, so they are persisted. Their
     number is bounded by months x regions x types x nations x 3 revisions, however
     many lines were read; lost blocks are rebuilt from the tables.
     """
-    detail = star_detail(star_cells(spark, folder)).persist(StorageLevel.MEMORY_AND_DISK)
-    countries = star_countries(spark, folder)
-    return Panel(
-        detail=detail,
-        world=star_world(detail, countries),
-        countries=countries,
-        hs_codes=star_hs_codes(spark, folder),
-    )
+
+    spark: SparkSession
+    folder: str
+
+    @cached_property
+    def detail(self) -> DataFrame:
+        rows = star_detail(star_cells(self.spark, self.folder))
+        return rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+    @cached_property
+    def countries(self) -> DataFrame:
+        return star_countries(self.spark, self.folder)
+
+    @cached_property
+    def hs_codes(self) -> DataFrame:
+        return star_hs_codes(self.spark, self.folder)
+
+    @cached_property
+    def world(self) -> DataFrame:
+        return star_world(self.detail, self.countries)
