@@ -71,6 +71,20 @@ def market_scope_partners(t: Tables):
     return scoped(t)[1]
 
 
+PAIR = ("LARGE", "ECONOMY")
+PAIR_SQL = SCOPED_SQL.replace(f"'{ALL}'", "'LARGE+ECONOMY'")
+
+
+def pair_partners(t: Tables):
+    return explore.scope_partners(t.multi.monthly, t.multi.partners, PAIR)
+
+
+@query("market_scope_pair", f"SELECT {PAIR_SQL} FROM t_pair_growth")
+def market_scope_pair(t: Tables):
+    """Two products as one series, in the order they were asked for."""
+    return pair_partners(t)
+
+
 RANGE = "m BETWEEN DATE '1995-01-01' AND DATE '2001-10-01'"
 
 
@@ -195,11 +209,13 @@ def end_month_comparison(t: Tables):
 
 @query(
     "scatter_eligible",
-    f"SELECT * FROM (SELECT {SCOPED_SQL} FROM t_sp WHERE m = DATE '2001-10-01')"
+    f"SELECT * FROM (SELECT {PAIR_SQL} FROM t_pair_growth WHERE m = DATE '2000-10-01')"
     " WHERE yoy IS NOT NULL",
 )
 def scatter_eligible(t: Tables):
-    return analysis(t).scatter
+    """Partners with a yearly growth in the end month; the ranking cut does not apply."""
+    monthly = explore.scope_monthly(t.multi.monthly, PAIR)
+    return explore.Analysis(monthly, pair_partners(t), START, date(2000, 10, 1), n=1).scatter
 
 
 @query(

@@ -197,6 +197,20 @@ SELECT p.*, s.world, CASE WHEN p.k = 6 AND a.k = 6 THEN a.v END AS pmv,
 FROM t_sp0 p LEFT JOIN t_sm s USING (m, rep)
 LEFT JOIN t_sp0 a ON a.m = p.m - INTERVAL 1 MONTH AND a.rep = p.rep AND a.par = p.par
 LEFT JOIN t_sp0 b ON b.m = p.m - INTERVAL 1 YEAR AND b.rep = p.rep AND b.par = p.par""",
+    "t_pair": """
+SELECT p.m, p.rep, p.par, min(p.name) AS name, min(p.map3) AS map3, count(*) AS k,
+  arg_min(p.status, p.cmd) AS status, CAST(sum(p.v) AS BIGINT) AS v,
+  string_agg(DISTINCT p.hs, '+' ORDER BY p.hs) AS hs
+FROM t_partners p WHERE p.cmd IN ('LARGE', 'ECONOMY') GROUP BY p.m, p.rep, p.par""",
+    "t_pair_world": """
+SELECT m, rep, CASE WHEN count(*) = 2 AND count(world) = 2 THEN CAST(sum(world) AS BIGINT) END AS world
+FROM t_monthly WHERE cmd IN ('LARGE', 'ECONOMY') GROUP BY m, rep""",
+    "t_pair_growth": """
+SELECT p.*, s.world, CASE WHEN p.k = 2 AND a.k = 2 THEN a.v END AS pmv,
+  CASE WHEN p.k = 2 AND b.k = 2 THEN b.v END AS pyv
+FROM t_pair p LEFT JOIN t_pair_world s USING (m, rep)
+LEFT JOIN t_pair a ON a.m = p.m - INTERVAL 1 MONTH AND a.rep = p.rep AND a.par = p.par
+LEFT JOIN t_pair b ON b.m = p.m - INTERVAL 1 YEAR AND b.rep = p.rep AND b.par = p.par""",
     "t_extracts": """
 SELECT m, rep, cmd, rev, hs, period, ing, src, chk, count(*) AS n, CAST(sum(v) AS BIGINT) AS total
 FROM t_detail GROUP BY ALL""",

@@ -1 +1,278 @@
-"""Queries."""
+"""Checks: the violating rows of single rules, and the report over whole contracts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from monthloom.catalog.oracle import SPINE, money
+from monthloom.catalog.marts import RAW_SQL
+from monthloom.catalog.registry import END, START, STAR, TYPES, Tables, query
+from monthloom.operators import aggregate, revision, sets
+from monthloom.params import HHI_STATUSES
+from monthloom.plans import publish, quality
+
+
+@query(
+    "duplicate_grain",
+    """SELECT rep AS reporter_code, cmd AS cmd_code, par AS partner_code,
+  strftime(m, '%Y-%m-%d') AS period_start_date, count(*) AS row_count
+FROM t_detail GROUP BY m, rep, cmd, par HAVING count(*) > 1""",
+)
+def duplicate_grain(t: Tables):
+    """Raw rows that share a grain because several revisions are stored."""
+    key = ["reporter_code", "cmd_code", "partner_code", "period_start_date"]
+    return aggregate.duplicates(t.panel.detail, key)
+
+
+@query(
+    "grain_count",
+    f"""SELECT {RAW_SQL}, count(*) OVER (PARTITION BY m, rep, cmd, par) AS grain_count
+FROM t_detail""",
+)
+def grain_count(t: Tables):
+    key = ["period_start_date", "reporter_code", "cmd_code", "partner_code"]
+    return aggregate.grain_count(t.panel.detail, key)
+
+
+@query(
+    "mixed_versions",
+    """SELECT strftime(m, '%Y-%m-%d') AS period_start_date, rep AS reporter_code,
+  cmd AS cmd_code, max(rev) AS revision, max(chk) AS checksum, CAST(sum(n) AS BIGINT) AS row_count,
+  count(DISTINCT rev) AS revisions, count(DISTINCT chk) AS checksums
+FROM t_extracts GROUP BY m, rep, cmd
+HAVING count(DISTINCT rev) <> 1 OR count(DISTINCT chk) <> 1""",
+)
+def mixed_versions(t: Tables):
+    return revision.mixed_versions(revision.stored_versions(t.panel.detail))
+
+
+@query(
+    "layer_symmetric_difference",
+    """SELECT side, count(*) AS rows FROM (
+  SELECT 'left' AS side, * FROM (SELECT m, rep, cmd, par, v FROM t_accepted
+    EXCEPT SELECT m, rep, cmd, par, v FROM t_fact)
+  UNION ALL SELECT 'right' AS side, * FROM (SELECT m, rep, cmd, par, v FROM t_fact
+    EXCEPT SELECT m, rep, cmd, par, v FROM t_accepted)) GROUP BY side""",
+)
+def layer_symmetric_difference(t: Tables):
+    """What the dimension and validity filters of the fact took away."""
+    accepted = revision.accept_latest_extract(t.panel.detail)
+    columns = ["period_start_date", "reporter_code", "cmd_code", "partner_code", "primary_value"]
+    difference = sets.symmetric_difference(accepted, t.multi.fact, columns)
+    return difference.groupBy("side").agg(F.count("*").alias("rows"))
+
+
+@query(
+    "layer_totals",
+    f"""SELECT a.n AS staging_count, {money("a.v", "staging_amount")}, b.n AS fact_count,
+  {money("b.v", "fact_amount")}
+FROM (SELECT count(*) AS n, CAST(sum(v) AS BIGINT) AS v FROM t_accepted) a,
+  (SELECT count(*) AS n, CAST(sum(v) AS BIGINT) AS v FROM t_fact) b""",
+)
+def layer_totals(t: Tables):
+    accepted = revision.accept_latest_extract(t.panel.detail)
+    return aggregate.layer_totals({"staging": accepted, "fact": t.multi.fact})
+
+
+@query(
+    "orphans",
+    """SELECT strftime(p.m, '%Y-%m-%d') AS month, p.rep AS reporter_code, p.cmd AS cmd_code,
+  p.par AS partner_code FROM t_fact p
+WHERE NOT EXISTS (SELECT 1 FROM t_aworld w WHERE w.m = p.m AND w.rep = p.rep AND w.cmd = p.cmd)""",
+)
+def orphans(t: Tables):
+    """Partner rows of months for which no world total was accepted."""
+    partners = t.multi.fact.withColumnRenamed("period_start_date", "month")
+    world = t.multi.world.withColumnRenamed("period_start_date", "month")
+    lost = quality.orphans(partners, world)
+    return lost.select("month", "reporter_code", "cmd_code", "partner_code")
+
+
+@query(
+    "spine_gaps",
+    f"""WITH s AS (SELECT CAST(u AS DATE) AS m, rep, cmd FROM
+  (SELECT DISTINCT rep, cmd FROM t_aworld), (SELECT unnest({SPINE}) AS u))
+SELECT rep AS reporter_code, cmd AS cmd_code, strftime(m, '%Y-%m-%d') AS month, 'left' AS side
+FROM (SELECT rep, cmd, m FROM s EXCEPT SELECT rep, cmd, m FROM t_aworld)""",
+)
+def spine_gaps(t: Tables):
+    """Months for which a market and product have no accepted world total."""
+    world = t.multi.world.withColumnRenamed("period_start_date", "month")
+    return quality.spine_gaps(world, STAR)
+
+
+@query(
+    "staging_contract",
+    """SELECT source_type, count(*) AS violations FROM (
+  SELECT 'partner_detail' AS source_type FROM t_detail WHERE par = '0' OR v < 0
+  UNION ALL SELECT 'world_total' FROM t_world WHERE v <= 0) GROUP BY source_type""",
+)
+def staging_contract(t: Tables):
+    bad = quality.staging_contract(t.panel.detail, t.panel.world)
+    return bad.groupBy("source_type").agg(F.count("*").alias("violations"))
+
+
+@query(
+    "tagged_union",
+    f"""SELECT kind, count(*) AS rows, {money("CAST(sum(v) AS BIGINT)", "amount")},
+  strftime(min(m), '%Y-%m-%d') AS first_month FROM (
+  SELECT 'partner_detail' AS kind, m, v FROM t_detail
+  UNION ALL SELECT 'world_total', m, v FROM t_world) GROUP BY kind""",
+)
+def tagged_union(t: Tables):
+    both = sets.union_tagged(
+        {"partner_detail": t.panel.detail, "world_total": t.panel.world}, "kind"
+    )
+    return both.groupBy("kind").agg(
+        F.count("*").alias("rows"),
+        F.sum("primary_value").alias("amount"),
+        F.min("period_start_date").alias("first_month"),
+    )
+
+
+@query(
+    "tagged_union_export",
+    """SELECT 'monthly' AS kind, strftime(m, '%Y-%m-%d') AS month, rep AS reporter_code,
+  cmd AS cmd_code, status AS hhi_status, CAST(NULL AS VARCHAR) AS partner_code,
+  CAST(NULL AS DOUBLE) AS import_value FROM t_monthly
+UNION ALL SELECT 'partners', strftime(m, '%Y-%m-%d'), rep, cmd, NULL, par, CAST(v AS DOUBLE) / 100
+FROM t_partners""",
+)
+def tagged_union_export(t: Tables):
+    """Both marts in one result, each as a struct that is NULL in the other's rows."""
+    pair = publish.export_pair(t.multi.monthly, t.multi.partners, START, STAR_END_EXCLUSIVE)
+    either = [
+        F.coalesce(F.col(f"monthly.{n}"), F.col(f"partners.{n}")).alias(n)
+        for n in ("month", "reporter_code", "cmd_code")
+    ]
+    return pair.select(
+        "kind", *either, "monthly.hhi_status", "partners.partner_code", "partners.import_value"
+    )
+
+
+STAR_END_EXCLUSIVE = END.replace(year=END.year + 1, month=1)
+
+
+@query(
+    "multi_market_detail",
+    """SELECT count(*) AS violations, count(DISTINCT cmd) AS products FROM t_fact
+WHERE v < 0 OR par IN ('0', '490') OR NOT hs_hit""",
+)
+def multi_market_detail(t: Tables):
+    """Fact rows without a product mapping in their edition, or otherwise invalid."""
+    bad = quality.multi_market_detail(t.multi.fact, TYPES)
+    return bad.agg(
+        F.count("*").alias("violations"), F.count_distinct("cmd_code").alias("products")
+    )
+
+
+@query(
+    "contract_failures",
+    """SELECT * FROM (VALUES ('fact_preserves_staging', CAST(0 AS BIGINT)),
+  ('mart_preserves_fact', CAST(0 AS BIGINT)), ('metric_contract', CAST(0 AS BIGINT)),
+  ('missing_country_audited', CAST(0 AS BIGINT)), ('month_spine_complete', CAST(0 AS BIGINT)),
+  ('monthly_contract', CAST(0 AS BIGINT)), ('partner_contract', CAST(0 AS BIGINT)),
+  ('monthly_contract_single', (SELECT count(*) FROM (SELECT m, rep, cmd, hs,
+      count(*) AS a, count(*) FILTER (cstatus = 'verified') AS b FROM t_share
+      WHERE kind = 'country' AND (cmd, hs) IN (SELECT (cmd, hs) FROM t_hs) GROUP BY ALL)
+    WHERE a <> b)),
+  ('partner_contract_single', CAST(0 AS BIGINT)),
+  ('hhi_status_accepted', CAST(0 AS BIGINT)), ('unique_partner_grain', CAST(0 AS BIGINT)),
+  ('month_relationship', CAST(0 AS BIGINT)), ('not_null_keys', CAST(0 AS BIGINT)),
+  ('spine_per_scope', CAST(0 AS BIGINT)), ('orphans', CAST(0 AS BIGINT))
+) x(failed_check, violations)""",
+)
+def contract_failures(t: Tables):
+    """Violations per check over the marts of both generations.
+
+    The single-market month contract counts verified countries only, so each month
+    with an unreviewed country is reported.
+    """
+    return quality.check_report(all_checks(t))
+
+
+def all_checks(t: Tables):
+    single, multi = t.single, t.multi
+    key = ["month", "reporter_code", "cmd_code", "partner_code"]
+    month_key = {"month": "month_start_date"}
+    return {
+        "fact_preserves_staging": quality.preserves(t.panel.detail, single.fact),
+        "mart_preserves_fact": quality.preserves(single.fact, single.mart),
+        "metric_contract": quality.metric_contract(single.mart),
+        "missing_country_audited": quality.unaudited_partners(
+            t.panel.detail, t.countries, single.issues
+        ),
+        "month_spine_complete": quality.month_dimension_contract(single.months, START, END),
+        "monthly_contract": quality.monthly_contract_multi(multi.monthly, multi.partners),
+        "partner_contract": quality.partner_contract_multi(multi.partners, multi.monthly),
+        "monthly_contract_single": quality.monthly_contract_single(
+            single.monthly, single.partners
+        ),
+        "partner_contract_single": quality.partner_contract_single(
+            single.partners, single.monthly
+        ),
+        "hhi_status_accepted": quality.accepted_values(
+            multi.monthly, "hhi_status", HHI_STATUSES
+        ),
+        "unique_partner_grain": quality.compound_unique(multi.partners, key),
+        "month_relationship": quality.relationships(multi.partners, single.months, month_key),
+        "not_null_keys": quality.not_null(multi.partners, key),
+        "spine_per_scope": quality.spine_gaps(multi.monthly, STAR),
+        "orphans": quality.orphans(multi.partners, multi.monthly),
+    }
+
+
+@query(
+    "quality_gate",
+    """SELECT count(*) FILTER (v > 0) AS failed_nodes, CAST(1 AS BIGINT) AS required_passed,
+  CAST(1 AS BIGINT) AS builds, count(*) FILTER (v > 0) = 0 AS publishable
+FROM (SELECT (SELECT count(*) FROM t_world WHERE v <= 0) AS v
+  UNION ALL SELECT (SELECT count(*) FROM t_monthly WHERE status NOT IN ('ok', 'missing_world',
+    'invalid_world', 'no_countries', 'insufficient_coverage')))""",
+)
+def quality_gate(t: Tables):
+    """A build with one failing check must not be published."""
+    checks = {
+        "world_positive": t.panel.world.where(F.col("primary_value") <= 0),
+        "hhi_status_accepted": quality.accepted_values(t.multi.monthly, "hhi_status", HHI_STATUSES),
+    }
+    passed = F.when(F.col("violations") == 0, "pass").otherwise("fail")
+    results = quality.check_report(checks).select(
+        F.col("failed_check").alias("name"),
+        F.lit("check").alias("kind"),
+        passed.alias("status"),
+        F.lit("build-1").alias("build_id"),
+    )
+    return quality.quality_gate(results, ["hhi_status_accepted"])
+
+
+@query(
+    "snapshot_row_rules",
+    """SELECT reason, count(*) AS rows FROM (SELECT 'cmd_code' AS reason FROM t_partners
+  UNION ALL SELECT 'reporter_code' FROM t_partners) GROUP BY reason""",
+)
+def snapshot_row_rules(t: Tables):
+    """Export rules on the star's rows: its codes are words, so both code rules fail."""
+    wire = publish.to_wire(t.multi.partners, publish.PARTNER_SCHEMA)
+    validated = publish.validate_partners(wire, ["854231"])
+    return validated.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(
+        F.count("*").alias("rows")
+    )
+
+
+@query(
+    "snapshot_metadata",
+    """SELECT count(*) AS valid_detail_count, count(*) FILTER (v > 0) AS positive_amount_count,
+  count(*) >= 100000 AS row_target_met, (SELECT count(*) FROM t_monthly) AS monthly_rows,
+  count(*) AS partners_rows,
+  (SELECT count(*) FROM (SELECT DISTINCT rep, cmd FROM t_monthly WHERE world IS NOT NULL OR n > 0))
+    AS scopes,
+  (SELECT strftime(max(m), '%Y-%m-%d') FROM t_monthly WHERE world IS NOT NULL OR n > 0)
+    AS latest_data_month, '1995-01-01' AS start_month, '2002-01-01' AS end_exclusive
+FROM t_partners""",
+)
+def snapshot_metadata(t: Tables):
+    found = publish.scope_metadata(t.multi.monthly, t.multi.partners, START, STAR_END_EXCLUSIVE)
+    return found.withColumn("scopes", F.size("availability").cast("bigint")).drop(
+        "availability", "monthly_digest", "partners_digest"
+    )

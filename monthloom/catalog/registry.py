@@ -7,6 +7,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def pinned(frame: DataFrame) -> DataFrame:
+    """Keep rows that several branches of one plan read.
+
+    All of them are at most as many as the panel's cells, see ``sources.star``.
+    """
+    return frame.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 class Tables:
     """The panel of one data folder and the marts built on it, made when asked for."""
 
@@ -44,12 +53,12 @@ class Tables:
     @cached_property
     def multi(self) -> MultiMarket:
         p = self.panel
-        return MultiMarket(p.detail, p.world, p.countries, p.hs_codes, STAR)
+        return MultiMarket(p.detail, p.world, p.countries, p.hs_codes, STAR, pinned)
 
     @cached_property
     def single(self) -> SingleMarket:
         p = self.panel
-        return SingleMarket(p.detail, p.world, p.countries, p.hs_codes, STAR)
+        return SingleMarket(p.detail, p.world, p.countries, p.hs_codes, STAR, pinned)
 
     def scratch(self) -> str:
         """A new folder in the cluster's shared folder; a temporary one where unset."""

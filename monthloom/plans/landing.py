@@ -7,6 +7,7 @@ accepted when neither it nor any of its rows has one.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from monthloom.functions.text import valid_edition
 from monthloom.operators.aggregate import exact_sum
 from monthloom.params import (
     CUSTOMS_CODE,
+    FIRST_MONTH,
     FREQUENCY,
     IMPORT_FLOW,
     KINDS,
@@ -159,7 +161,9 @@ def unrequested(rows: DataFrame, requested: DataFrame) -> DataFrame:
     return rows.join(requested.select("reporter_code").distinct(), "reporter_code", "left_anti")
 
 
-def manifest_checks(products: Sequence[str]) -> list[tuple[Column, str]]:
+def manifest_checks(
+    products: Sequence[str], earliest: date = FIRST_MONTH
+) -> list[tuple[Column, str]]:
     """Rules of a manifest on its own and against its path."""
     request = F.col("request_parameters")
     stamped = F.col("ingested_at").rlike(r"(Z|[+-][0-9]{2}:?[0-9]{2})\z")
@@ -171,7 +175,7 @@ def manifest_checks(products: Sequence[str]) -> list[tuple[Column, str]]:
         (kind.isin(*KINDS), "query_type"),
         (F.col("cmd_code").isin(*products), "product"),
         (F.col("revision") > 0, "revision"),
-        (valid_period(F.col("period")), "period"),
+        (valid_period(F.col("period"), earliest), "period"),
         (stamped & F.col("ingested_at").try_cast("timestamp").isNotNull(), "ingested_at"),
         (
             (F.col("path_reporter_code") == F.col("reporter_code"))
@@ -200,6 +204,7 @@ def reconcile(
     rows: DataFrame,
     checksums: DataFrame,
     products: Sequence[str] = tuple(PRODUCTS),
+    earliest: date = FIRST_MONTH,
 ) -> DataFrame:
     """Manifests with ``reasons``: everything that keeps an extract from loading."""
     facts = extract_facts(check_identity(rows, manifests))
@@ -208,7 +213,7 @@ def reconcile(
     world = F.col("query_type") == "world_total"
     total = parse_decimal(F.col("primary_value_sum"))
     found = reasons(
-        *manifest_checks(products),
+        *manifest_checks(products, earliest),
         (F.col("checksum") == F.col("data_checksum"), "checksum"),
         (F.col("row_count") == count, "row_count"),
         (count > 0, "empty"),

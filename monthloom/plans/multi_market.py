@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
@@ -126,23 +127,33 @@ def multi_market_partners(fact: DataFrame, accepted: DataFrame, params: Params)
     )
 
 
+def as_is(frame: DataFrame) -> DataFrame:
+    return frame
+
+
 @dataclass(frozen=True)
 class MultiMarket:
-    """The marts of one build over raw detail and world rows."""
+    """The marts of one build over raw detail and world rows.
+
+    ``keep`` is applied to what several marts read: a stored table, a persisted
+    frame, or by default nothing.
+    """
 
     detail: DataFrame
     raw_world: DataFrame
     countries: DataFrame
     hs_codes: DataFrame
     params: Params
+    keep: Callable[[DataFrame], DataFrame] = as_is
 
     @cached_property
     def fact(self) -> DataFrame:
-        return multi_market_fact(self.detail, self.countries, self.hs_codes, self.params)
+        made = multi_market_fact(self.detail, self.countries, self.hs_codes, self.params)
+        return self.keep(made)
 
     @cached_property
     def world(self) -> DataFrame:
-        return accepted_world(self.raw_world, self.params)
+        return self.keep(accepted_world(self.raw_world, self.params))
 
     @cached_property
     def monthly(self) -> DataFrame:

@@ -5,6 +5,7 @@ The reporter is part of every key, so one plan serves one market or all of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 from decimal import Decimal
@@ -19,6 +20,7 @@ from monthloom.functions.calendar import with_calendar_lookups
 from monthloom.operators.dimensions import conform_dimensions, dim_countries
 from monthloom.operators.select import scope, source_columns, verified_country
 from monthloom.params import Params
+from monthloom.plans.multi_market import as_is
 from monthloom.schemas import RAW_COLUMNS
 from monthloom.sources.raw import in_range
 
@@ -262,13 +264,17 @@ def dashboard_partners(share: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class SingleMarket:
-    """The marts of one build over staged detail and world rows."""
+    """The marts of one build over staged detail and world rows.
+
+    ``keep`` is applied to what several marts read, see the multi-market build.
+    """
 
     detail: DataFrame
     world: DataFrame
     countries: DataFrame
     hs_codes: DataFrame
     params: Params
+    keep: Callable[[DataFrame], DataFrame] = as_is
 
     @cached_property
     def months(self) -> DataFrame:
@@ -277,13 +283,14 @@ class SingleMarket:
     @cached_property
     def fact(self) -> DataFrame:
         rows = self.detail.select(*RAW_COLUMNS)
-        return conform_dimensions(
+        made = conform_dimensions(
             rows, dim_countries(self.countries), self.hs_codes, self.months
         )
+        return self.keep(made)
 
     @cached_property
     def share(self) -> DataFrame:
-        return partner_market_share(self.fact, self.world)
+        return self.keep(partner_market_share(self.fact, self.world))
 
     @cached_property
     def concentration(self) -> DataFrame:
@@ -291,7 +298,7 @@ class SingleMarket:
 
     @cached_property
     def mart(self) -> DataFrame:
-        return supply_chain_mart(self.share, self.concentration)
+        return self.keep(supply_chain_mart(self.share, self.concentration))
 
     @cached_property
     def issues(self) -> DataFrame:
@@ -311,14 +318,3 @@ class SingleMarket:
     def partners(self) -> DataFrame:
         return dashboard_partners(self.share)
 
-
-def build(
-    detail: DataFrame,
-    world: DataFrame,
-    countries: DataFrame,
-    hs_codes: DataFrame,
-    params: Params,
-) -> SingleMarket:
-    return SingleMarket(detail, world, countries, hs_codes, params)
-
-
