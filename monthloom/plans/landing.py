@@ -219,7 +219,7 @@ def reconcile(
         (count > 0, "empty"),
         (~world | (count == 1), "world_rows"),
         (F.col("amount") == total, "amount_sum"),
-        (F.col("partners") == count, "duplicate_grain"),
+        (F.col("partners") == F.col("rows"), "duplicate_grain"),
         (F.col("editions") == 1, "single_edition"),
         (F.col("bad_rows") == 0, "rows"),
     )
