@@ -28,7 +28,8 @@ def country_totals(
 
 
 def exact_sum(value: Column) -> Column:
-    return F.sum(value.cast("decimal(28,9)")).cast(MONEY)
+    """Nine exact digits; a sum beyond 29 whole digits raises instead of rounding."""
+    return F.sum(value.cast(MONEY)).cast(MONEY)
 
 
 def complete_sum(value: Column, expected: int) -> Column:

@@ -101,6 +101,8 @@ def load_decision(incoming: DataFrame, stored: DataFrame, key: Sequence[str]) ->
         F.col("revision").alias("stored_revision"),
         F.col("checksum").alias("stored_checksum"),
         F.col("row_count").alias("stored_row_count"),
+        F.col("revisions").alias("stored_revisions"),
+        F.col("checksums").alias("stored_checksums"),
     )
     new, old = F.col("revision"), F.col("stored_revision")
     same = F.col("checksum") == F.col("stored_checksum")

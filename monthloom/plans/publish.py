@@ -145,16 +145,30 @@ def check_snapshot(
     """Row rules, complete spine per scope, some data, unique partner keys, no orphans."""
     wire_monthly = to_wire(monthly, MONTHLY_SCHEMA)
     wire_partners = to_wire(partners, PARTNER_SCHEMA)
-    bad_monthly = invalid(validate_monthly(wire_monthly, params.products, params.reporters))
-    require_none(bad_monthly, "invalid month row")
-    require_none(invalid(validate_partners(wire_partners, params.products)), "invalid partner row")
+    require_none(document_checks(wire_monthly, wire_partners, monthly, partners, params))
+
+
+def document_checks(
+    wire_monthly: DataFrame,
+    wire_partners: DataFrame,
+    monthly: DataFrame,
+    partners: DataFrame,
+    params: Params,
+) -> dict[str, DataFrame]:
+    """Violating rows per rule of the two documents."""
     key = ["reporter_code", "cmd_code", "month"]
-    require_none(spine_gaps(monthly, params), "incomplete month spine")
-    require_none(duplicates(monthly, key), "duplicate month row")
-    if not monthly.where(with_data()).limit(1).count():
-        raise ValueError("refusing to publish an entirely empty dataset")
-    require_none(duplicates(partners, [*key, "partner_code"]), "duplicate partner grain")
-    require_none(orphans(partners, monthly), "partner outside the monthly range")
+    filled = monthly.agg(F.count_if(with_data()).alias("n"))
+    return {
+        "invalid month row": invalid(
+            validate_monthly(wire_monthly, params.products, params.reporters)
+        ),
+        "invalid partner row": invalid(validate_partners(wire_partners, params.products)),
+        "incomplete month spine": spine_gaps(monthly, params),
+        "duplicate month row": duplicates(monthly, key),
+        "refusing to publish an entirely empty dataset": filled.where(F.col("n") == 0),
+        "duplicate partner grain": duplicates(partners, [*key, "partner_code"]),
+        "partner outside the monthly range": orphans(partners, monthly),
+    }
 
 
 def document_summary(frame: DataFrame, schema: T.StructType, name: str) -> DataFrame:
@@ -266,7 +280,7 @@ def publish_snapshot(
     metadata = scope_metadata(months, rows, params.start, end_exclusive)
     manifest = snapshot_manifest(metadata, snapshot_id, params, markets, products)
     manifest.write.json(f"{folder}/manifest")
-    verify_version(spark, folder, params)
+    verify_version(spark, folder, params, contents_only=True)
     pointer = spark.range(1, numPartitions=1).select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         F.lit(snapshot_id).alias("snapshot_id"),
@@ -296,22 +310,27 @@ def read_snapshot(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
     return monthly.select(*MONTHLY_COLUMNS), partners.select(*PARTNER_COLUMNS)
 
 
-def verify_version(spark: SparkSession, folder: str, params: Params) -> None:
-    """Recompute file hashes, row rules and metadata of one version and compare."""
+def verify_version(
+    spark: SparkSession, folder: str, params: Params, contents_only: bool = False
+) -> None:
+    """Recompute file hashes, row rules and metadata of one version and compare.
+
+    The metadata hold a digest of all rows, so ``contents_only`` is enough right after
+    the rows themselves were checked.
+    """
+    checks = {}
     for name in ("monthly", "partners"):
         schema = "file string, bytes bigint, sha256 string"
         wanted = spark.read.schema(schema).json(f"{folder}/files/{name}")
         found = file_index(spark, f"{folder}/{name}")
-        key = ["file", "bytes", "sha256"]
-        lost = wanted.join(found, key, "left_anti").unionByName(found.join(wanted, key, "left_anti"))
-        require_none(lost, "data checksum mismatch")
+        changed = symmetric_difference(wanted, found, ["file", "bytes", "sha256"])
+        checks[f"{name} checksum mismatch"] = changed
+    require_none(checks)
     wire_monthly, wire_partners = read_snapshot(spark, folder)
-    bad = invalid(validate_monthly(wire_monthly, params.products, params.reporters))
-    require_none(bad, "invalid month row")
-    require_none(invalid(validate_partners(wire_partners, params.products)), "invalid partner row")
     monthly = typed_rows(wire_monthly, MONTHLY_SCHEMA)
     partners = typed_rows(wire_partners, PARTNER_SCHEMA)
-    check_snapshot(monthly, partners, params)
+    if not contents_only:
+        require_none(document_checks(wire_monthly, wire_partners, monthly, partners, params))
     derived = scope_metadata(monthly, partners, params.start, _next_month(params.end))
     as_json = F.to_json(F.struct(*METADATA_FIELDS), {"ignoreNullFields": "false"})
     schema = T.StructType([derived.schema[name] for name in METADATA_FIELDS])
