@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from monthloom.catalog.oracle import SPINE, money
 from monthloom.catalog.marts import RAW_SQL
-from monthloom.catalog.registry import END, START, STAR, TYPES, Tables, query
+from monthloom.catalog.registry import END, START, STAR, TYPES, Tables, pinned, query
 from monthloom.operators import aggregate, revision, sets
 from monthloom.params import HHI_STATUSES
 from monthloom.plans import publish, quality
@@ -193,6 +193,8 @@ def contract_failures(t: Tables):
 
 def all_checks(t: Tables):
     single, multi = t.single, t.multi
+    monthly, partners = pinned(multi.monthly), pinned(multi.partners)
+    single_monthly, single_partners = pinned(single.monthly), pinned(single.partners)
     key = ["month", "reporter_code", "cmd_code", "partner_code"]
     month_key = {"month": "month_start_date"}
     return {
@@ -203,22 +205,22 @@ def all_checks(t: Tables):
             t.panel.detail, t.countries, single.issues
         ),
         "month_spine_complete": quality.month_dimension_contract(single.months, START, END),
-        "monthly_contract": quality.monthly_contract_multi(multi.monthly, multi.partners),
-        "partner_contract": quality.partner_contract_multi(multi.partners, multi.monthly),
+        "monthly_contract": quality.monthly_contract_multi(monthly, partners),
+        "partner_contract": quality.partner_contract_multi(partners, monthly),
         "monthly_contract_single": quality.monthly_contract_single(
-            single.monthly, single.partners
+            single_monthly, single_partners
         ),
         "partner_contract_single": quality.partner_contract_single(
-            single.partners, single.monthly
+            single_partners, single_monthly
         ),
         "hhi_status_accepted": quality.accepted_values(
-            multi.monthly, "hhi_status", HHI_STATUSES
+            monthly, "hhi_status", HHI_STATUSES
         ),
-        "unique_partner_grain": quality.compound_unique(multi.partners, key),
-        "month_relationship": quality.relationships(multi.partners, single.months, month_key),
-        "not_null_keys": quality.not_null(multi.partners, key),
-        "spine_per_scope": quality.spine_gaps(multi.monthly, STAR),
-        "orphans": quality.orphans(multi.partners, multi.monthly),
+        "unique_partner_grain": quality.compound_unique(partners, key),
+        "month_relationship": quality.relationships(partners, single.months, month_key),
+        "not_null_keys": quality.not_null(partners, key),
+        "spine_per_scope": quality.spine_gaps(monthly, STAR),
+        "orphans": quality.orphans(partners, monthly),
     }
 
 

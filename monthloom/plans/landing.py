@@ -31,31 +31,27 @@ from monthloom.sources.landing import split_kind
 MONEY = "decimal(38,9)"
 
 
-class Record:
-    """Typed access to one JSON record; a value of another JSON type reads as NULL."""
-
-    def __init__(self, column: str = "record") -> None:
-        self.column = column
-
-    def _raw(self, name: str) -> Column:
-        return F.try_variant_get(self.column, f"$.{name}", "variant")
-
-    def _typed(self, name: str, json_type: str, spark_type: str) -> Column:
-        right = F.schema_of_variant(self._raw(name)) == json_type
-        return F.when(right, F.try_variant_get(self.column, f"$.{name}", spark_type))
+# Fields of the contract. A JSON number also reads as text, so the text fields are
+# read a second time as numbers: whatever that finds was not written as text.
+RECORD_SCHEMA = (
+    "period string, freqCode string, flowCode string, cmdCode string, customsCode string, "
+    "classificationCode string, primaryValue string, netWgt string, qty string, "
+    "reporterCode bigint, partnerCode bigint, partner2Code bigint, motCode bigint, "
+    "isOriginalClassification boolean, malformed string"
+)
+NUMBER_SCHEMA = (
+    "period double, freqCode double, flowCode double, cmdCode double, customsCode double, "
+    "classificationCode double, primaryValue double, netWgt double, qty double"
+)
 
-    def text(self, name: str) -> Column:
-        return self._typed(name, "STRING", "string")
 
-    def whole(self, name: str) -> Column:
-        return self._typed(name, "BIGINT", "bigint")
+def _text(name: str) -> Column:
+    """The field if it was written as JSON text."""
+    return F.when(F.col(f"numeric.{name}").isNull(), F.col(f"record.{name}"))
 
-    def flag(self, name: str) -> Column:
-        return self._typed(name, "BOOLEAN", "boolean")
 
-    def absent(self, name: str) -> Column:
-        raw = self._raw(name)
-        return raw.isNull() | (F.schema_of_variant(raw) == "VOID")
+def _absent(name: str) -> Column:
+    return F.col(f"record.{name}").isNull() & F.col(f"numeric.{name}").isNull()
 
 
 def reasons(*checks: tuple[Column, str]) -> Column:
@@ -66,36 +62,45 @@ def reasons(*checks: tuple[Column, str]) -> Column:
 
 def parse_records(lines: DataFrame, line: str = "line") -> DataFrame:
     """Fields of the contract out of JSON lines, with the reason list of each row."""
-    record = Record()
-    amount = parse_decimal(record.text("primaryValue"))
-    optional = {
-        "net_weight": (record.absent("netWgt"), parse_decimal(record.text("netWgt"))),
-        "quantity": (record.absent("qty"), parse_decimal(record.text("qty"))),
-    }
-    parsed = lines.withColumn("record", F.try_parse_json(line))
+    both = F.struct(
+        F.from_json(line, RECORD_SCHEMA, {"columnNameOfCorruptRecord": "malformed"}).alias("record"),
+        F.from_json(line, NUMBER_SCHEMA, {"mode": "PERMISSIVE"}).alias("numeric"),
+    )
+    # Unfolding a one-element array keeps later filters from being pushed below the
+    # parsing, where every field they mention would parse the line again.
+    read = lines.select(*lines.columns, F.inline(F.array(both)))
+    parsed = read.withColumns(
+        {
+            "amount": parse_decimal(_text("primaryValue")),
+            "net_weight": parse_decimal(_text("netWgt")),
+            "quantity": parse_decimal(_text("qty")),
+        }
+    )
     checks = [
-        (F.col("record").isNotNull(), "invalid_json"),
-        (record.text("freqCode") == FREQUENCY, "frequency"),
-        (record.text("flowCode") == IMPORT_FLOW, "flow"),
-        (record.whole("partner2Code") == 0, "second_partner"),
-        (record.text("customsCode") == CUSTOMS_CODE, "customs"),
-        (record.whole("motCode") == 0, "transport"),
-        (record.flag("isOriginalClassification"), "original_classification"),
-        (record.whole("partnerCode") >= 0, "partner"),
-        (amount >= 0, "amount"),
-        *[(gone | number.isNotNull(), name) for name, (gone, number) in optional.items()],
+        (F.col("record.malformed").isNull(), "malformed"),
+        (_text("freqCode") == FREQUENCY, "frequency"),
+        (_text("flowCode") == IMPORT_FLOW, "flow"),
+        (F.col("record.partner2Code") == 0, "second_partner"),
+        (_text("customsCode") == CUSTOMS_CODE, "customs"),
+        (F.col("record.motCode") == 0, "transport"),
+        (F.col("record.isOriginalClassification"), "original_classification"),
+        (F.col("record.partnerCode") >= 0, "partner"),
+        (F.col("amount") >= 0, "amount"),
+        (_absent("netWgt") | F.col("net_weight").isNotNull(), "net_weight"),
+        (_absent("qty") | F.col("quantity").isNotNull(), "quantity"),
     ]
     kept = [name for name in lines.columns if name != line]
     return parsed.select(
         *kept,
-        record.text("period").alias("period"),
-        record.whole("reporterCode").cast("string").alias("reporter_code"),
-        record.whole("partnerCode").cast("string").alias("partner_code"),
-        record.text("flowCode").alias("flow_code"),
-        record.text("cmdCode").alias("cmd_code"),
-        record.text("classificationCode").alias("hs_version"),
-        amount.alias("primary_value"),
-        *[number.alias(name) for name, (_, number) in optional.items()],
+        _text("period").alias("period"),
+        F.col("record.reporterCode").cast("string").alias("reporter_code"),
+        F.col("record.partnerCode").cast("string").alias("partner_code"),
+        _text("flowCode").alias("flow_code"),
+        _text("cmdCode").alias("cmd_code"),
+        _text("classificationCode").alias("hs_version"),
+        F.col("amount").alias("primary_value"),
+        "net_weight",
+        "quantity",
         reasons(*checks).alias("row_reasons"),
     )
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthloom.functions.calendar import first_of_month, to_period
@@ -46,6 +46,15 @@ def typed(frame: DataFrame, schema) -> DataFrame:
     return frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def hundredths(value: Column) -> Column:
+    """Whole hundredths of a two-digit amount: exact sums on plain longs per line."""
+    return F.floor(value * 100 + 0.5)
+
+
+def two_digits(total: Column) -> Column:
+    return (total.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(38,9)")
+
+
 def star_cells(spark: SparkSession, folder: str) -> DataFrame:
     """One row per month, reporter, partner, product and revision.
 
@@ -81,18 +90,18 @@ def star_cells(spark: SparkSession, folder: str) -> DataFrame:
             "l_suppkey",
             first_of_month(F.col("l_shipdate")).alias("period_start_date"),
             (F.col("l_linenumber") % 3 + 1).cast("long").alias("revision"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
-            F.col("l_quantity").cast("decimal(12,2)").alias("units"),
-            weighed.cast("decimal(12,2)").alias("weight"),
+            hundredths(F.col("l_extendedprice")).alias("amount"),
+            hundredths(F.col("l_quantity")).alias("units"),
+            hundredths(weighed).alias("weight"),
         )
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(*EXTRACT, "partner_code")
         .agg(
-            F.sum("amount").alias("primary_value"),
-            F.sum("weight").alias("net_weight"),
-            F.sum("units").alias("quantity"),
+            two_digits(F.sum("amount")).alias("primary_value"),
+            two_digits(F.sum("weight")).alias("net_weight"),
+            two_digits(F.sum("units")).alias("quantity"),
             F.max("ordered_at").alias("ordered_at"),
         )
     )
