@@ -348,3 +348,13 @@ def snapshot_counters(t: Tables):
 )
 def status_counts(t: Tables):
     return t.multi.monthly.groupBy("hhi_status").agg(F.count("*").alias("months"))
+
+
+@query(
+    "representatives",
+    """SELECT par AS partner_code, min(name) AS source_name, min(map3) AS map_iso3
+FROM t_fact GROUP BY par""",
+)
+def representatives(t: Tables):
+    """Attributes that the partner code determines, taken from any of its rows."""
+    return aggregate.representatives(t.multi.fact, ["partner_code"], ["source_name", "map_iso3"])

@@ -18,15 +18,30 @@ MONEY = "decimal(38,9)"
 def country_totals(
     fact: DataFrame, key: Sequence[str] = ("period_start_date", "reporter_code", "cmd_code")
 ) -> DataFrame:
+    """Sum, count, newest edition and sum of squares of each month and scope.
+
+    Grouping by edition first keeps the large step a hash aggregate: a string maximum
+    would make Spark sort every row.
+    """
     value = F.col("primary_value")
-    return fact.groupBy(*key).agg(
+    per_edition = fact.groupBy(*key, "hs_version").agg(
+        F.sum(value).cast(MONEY).alias("v"),
+        F.count("*").alias("n"),
+        F.sum(F.pow(value.cast("double"), F.lit(2.0))).alias("sq"),
+    )
+    return per_edition.groupBy(*key).agg(
         F.max("hs_version").alias("hs_version"),
-        F.sum(value).cast(MONEY).alias("country_value"),
-        F.count("*").alias("country_count"),
-        F.sum(F.pow(value.cast("double"), F.lit(2.0))).alias("sum_squares"),
+        F.sum("v").cast(MONEY).alias("country_value"),
+        F.sum("n").alias("country_count"),
+        F.sum("sq").alias("sum_squares"),
     )
 
 
+def representatives(frame: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Any one value per key of columns that the key determines."""
+    return frame.groupBy(*key).agg(*[F.any_value(name).alias(name) for name in columns])
+
+
 def exact_sum(value: Column) -> Column:
     """Nine exact digits; a sum beyond 29 whole digits raises instead of rounding."""
     return F.sum(value.cast(MONEY)).cast(MONEY)

@@ -12,13 +12,22 @@ from monthloom.params import PAGE_SIZE
 
 
 def partner_totals(scope: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Value per partner over the range; name and map code of its first row."""
-    first = F.struct("month", "cmd_code")
+    """Value per partner over the range; name and map code of its first month.
+
+    Names group along with the code first, so the rows are summed by hashing; which
+    name comes first is settled on the few rows that are left.
+    """
     shown = F.coalesce(F.nullif(F.col("source_name"), F.lit("")), F.col("partner_code"))
-    return scope.groupBy(*by, "partner_code").agg(
-        F.min_by(shown, first).alias("name"),
-        F.min_by("map_iso3", first).alias("map_iso3"),
-        F.sum("import_value").cast("decimal(38,9)").alias("value"),
+    named = (
+        scope.withColumn("name", shown)
+        .groupBy(*by, "partner_code", "name", "map_iso3")
+        .agg(F.sum("import_value").cast("decimal(38,9)").alias("v"), F.min("month").alias("first"))
+    )
+    earliest = F.struct("first", "name", "map_iso3")
+    return named.groupBy(*by, "partner_code").agg(
+        F.min_by("name", earliest).alias("name"),
+        F.min_by("map_iso3", earliest).alias("map_iso3"),
+        F.sum("v").cast("decimal(38,9)").alias("value"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthloom.operators.joins import null_safe_join
@@ -159,17 +159,16 @@ def assign_revision(
     )
 
 
-def stamp_lineage(rows: DataFrame, manifests: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Attach run, version and file of the extract a row came from."""
-    run = F.concat_ws(
-        "-",
-        F.lit("multi"),
-        "period",
-        "reporter_code",
-        "cmd_code",
-        F.concat(F.lit("r"), F.col("revision").cast("string")),
-    )
-    lineage = manifests.select(
-        *key, "ingested_at", "source_file", "checksum", "revision"
+def run_id() -> Column:
+    version = F.concat(F.lit("r"), F.col("revision").cast("string"))
+    return F.concat_ws("-", F.lit("multi"), "period", "reporter_code", "cmd_code", version)
+
+
+def stamp_lineage(
+    rows: DataFrame, extracts: DataFrame, key: Sequence[str], also: Sequence[str] = ()
+) -> DataFrame:
+    """Attach run, version and file of the extract a row came from; others drop out."""
+    lineage = extracts.select(
+        *key, *also, "ingested_at", "source_file", "checksum", "revision"
     )
-    return rows.join(lineage, list(key)).withColumn("run_id", run)
+    return rows.join(lineage, list(key)).withColumn("run_id", run_id())
