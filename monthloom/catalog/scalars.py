@@ -83,7 +83,9 @@ def display_text(t: Tables):
     "percent_text",
     """SELECT strftime(m, '%Y-%m-%d') AS month, rep AS reporter_code, cmd AS cmd_code,
   par AS partner_code, CASE WHEN share IS NULL THEN '資料不足'
-    ELSE printf('%.2f%%', CAST(share AS DOUBLE) / 1e9 * 100) END AS share_text FROM t_partners""",
+    WHEN floor(y * 8) = y * 8 THEN printf('%.2f%%', floor(y * 100 + 0.5) / 100)
+    ELSE printf('%.2f%%', y) END AS share_text
+FROM (SELECT *, CAST(share AS DOUBLE) / 1e9 * 100 AS y FROM t_partners)""",
 )
 def percent_text(t: Tables):
     shown = text.percent_text(F.col("market_share")).alias("share_text")

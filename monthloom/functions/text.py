@@ -82,9 +82,36 @@ def compact_amount_text(value: Column) -> Column:
     return F.when(value.isNull(), F.lit(NO_DATA_TEXT)).otherwise(shown)
 
 
+def _hundredths(value: Column) -> Column:
+    """A non-negative double in hundredths, rounded by its exact binary value, ties up.
+
+    The fraction is split so that each part times 200 is exact; a guess from plain
+    rounding is then moved to the neighbour if the exact comparison asks for it.
+    """
+    whole = F.floor(value)
+    fraction = value - whole
+    coarse = F.floor(fraction * float(1 << 20)) / float(1 << 20)
+    fine = fraction - coarse
+    guess = F.floor(fraction * 100.0 + 0.5)
+
+    def reaches(bound: Column) -> Column:
+        return (coarse * 200.0 - bound.cast("double")) + fine * 200.0 >= 0
+
+    settled = (
+        F.when(~reaches(guess * 2 - 1), guess - 1)
+        .when(reaches(guess * 2 + 1), guess + 1)
+        .otherwise(guess)
+    )
+    return whole * 100 + settled
+
+
 def percent_text(ratio: Column) -> Column:
-    shown = F.format_string("%.2f%%", ratio.cast("double") * F.lit(100.0))
-    return F.when(ratio.isNull(), F.lit(NO_DATA_TEXT)).otherwise(shown)
+    """Two digits after rounding the double ratio times 100."""
+    percent = ratio.cast("double") * F.lit(100.0)
+    parts = _hundredths(F.abs(percent))
+    shown = F.format_string("%d.%02d%%", F.floor(parts / 100), parts % 100)
+    signed = F.when(percent < 0, F.concat(F.lit("-"), shown)).otherwise(shown)
+    return F.when(ratio.isNull(), F.lit(NO_DATA_TEXT)).otherwise(signed)
 
 
 def valid_code(code: Column) -> Column:

@@ -134,6 +134,22 @@ def test_amounts(spark, value, long, short):
     assert one(spark, text.compact_amount_text(F.col("v")), v=(value, D9)) == short
 
 
+@pytest.mark.parametrize(
+    ("ratio", "shown"),
+    [
+        ("0.01035", "1.03%"),
+        ("0.00125", "0.13%"),
+        ("-0.00125", "-0.13%"),
+        ("0.99999", "100.00%"),
+        ("0.01005", "1.00%"),
+        ("12.3456", "1234.56%"),
+        ("-0.0000001", "-0.00%"),
+    ],
+)
+def test_percent_rounds_the_binary_value(spark, ratio, shown):
+    assert one(spark, text.percent_text(F.col("v")), v=(ratio, D9)) == shown
+
+
 def test_percent_and_cells(spark):
     assert one(spark, text.percent_text(F.col("v")), v=("0.25", D9)) == "25.00%"
     assert one(spark, text.percent_text(F.col("v")), v=(None, D9)) == "資料不足"
