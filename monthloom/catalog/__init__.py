@@ -1,6 +1,16 @@
 """Registered queries over the star tables, each with its SQL counterpart."""
 
-from monthloom.catalog import explore, landing, loading, marts, quality, scalars
+from monthloom.catalog import explore, landing, loading, marts, quality, scalars, steps
 from monthloom.catalog.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "explore", "landing", "loading", "marts", "quality", "scalars"]
+__all__ = [
+    "ORACLES",
+    "QUERIES",
+    "explore",
+    "landing",
+    "loading",
+    "marts",
+    "quality",
+    "scalars",
+    "steps",
+]

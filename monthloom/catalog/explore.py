@@ -321,12 +321,12 @@ def detail_search(t: Tables):
 PLAIN = "rtrim(rtrim(CAST({x} AS VARCHAR), '0'), '.')"
 
 
-def _plain(cents: str) -> str:
+def plain_cents_sql(cents: str) -> str:
     text = PLAIN.format(x=f"CAST({cents} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2))")
     return f"CASE WHEN {cents} IS NULL THEN '' WHEN {cents} = 0 THEN '0' ELSE {text} END"
 
 
-def _plain_nano(x: str) -> str:
+def plain_nano_sql(x: str) -> str:
     text = PLAIN.format(x=f"CAST({x} AS DECIMAL(19,0)) * CAST(0.000000001 AS DECIMAL(10,9))")
     return f"CASE WHEN {x} IS NULL THEN '' WHEN {x} = 0 THEN '0' ELSE {text} END"
 
@@ -345,10 +345,10 @@ CSV_SQL = " || ',' || ".join(
         "hs",
         "par",
         "name",
-        _plain("v"),
-        _plain_nano("share"),
-        _plain_nano("yoy"),
-        _plain_nano("mom"),
+        plain_cents_sql("v"),
+        plain_nano_sql("share"),
+        plain_nano_sql("yoy"),
+        plain_nano_sql("mom"),
     )
 )
 

@@ -302,7 +302,7 @@ class SingleMarket:
 
     @cached_property
     def issues(self) -> DataFrame:
-        stamp = "1970-01-01T00:00:00Z"
+        stamp = "1970-01-01 00:00:00"
         return mapping_issues(self.detail, dim_countries(self.countries), stamp)
 
     @cached_property

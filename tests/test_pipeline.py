@@ -121,11 +121,16 @@ def test_load_replay_replace_and_stale(spark, tmp_path):
     assert load.scan_audit(spark, f"{tables}/audit").count() == 4
     assert run_load(spark, tmp_path / "a", tables)["status"] == "already_loaded"
     assert load.scan_audit(spark, f"{tables}/audit").count() == 4
+    token = load.change_token(load.scan_audit(spark, f"{tables}/audit"))
+    assert token[0] == 4
+    load.require_unmoved(token, load.scan_audit(spark, f"{tables}/audit"))
     land(tmp_path / "b", [record(156, 150, hs="H5")], revision=2)
     land(tmp_path / "b", [record(0, 150, hs="H5")], revision=2, kind="world_total")
     assert run_load(spark, tmp_path / "b", tables)["status"] == "success"
     after = {("842", "156", 150.0, 2), ("156", "156", 100.0, 1), ("156", "410", 200.0, 1)}
     assert stored(spark, tables) == after
+    with pytest.raises(ValueError, match="changed during the stage"):
+        load.require_unmoved(token, load.scan_audit(spark, f"{tables}/audit"))
     with pytest.raises(ValueError, match="stale_revision"):
         run_load(spark, tmp_path / "a", tables)
     land(tmp_path / "c", [record(156, 151, hs="H5")], revision=2)
