@@ -16,6 +16,7 @@ from monthloom.functions.calendar import month_frame, period_start, valid_period
 from monthloom.functions.text import canonical_json, namespaced_sha256, parse_decimal
 from monthloom.functions.text import valid_edition
 from monthloom.operators.aggregate import exact_sum
+from monthloom.operators.revision import latest_manifests
 from monthloom.params import (
     CUSTOMS_CODE,
     FIRST_MONTH,
@@ -29,6 +30,7 @@ from monthloom.params import (
 from monthloom.sources.landing import split_kind
 
 MONEY = "decimal(38,9)"
+EXTRACT_IDENTITY = ("kind", "reporter_code", "cmd_code", "period")
 
 
 # Fields of the contract. A JSON number also reads as text, so the text fields are
@@ -251,6 +253,18 @@ def accepted(reconciled: DataFrame) -> DataFrame:
     )
 
 
+def newest_extracts(extracts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The newest accepted revision per identity, and extracts that share a revision.
+
+    Two extracts of one identity with the same revision are ambiguous: neither loads.
+    """
+    newest = latest_manifests(extracts, EXTRACT_IDENTITY)
+    shared = newest.where(F.col("copies") > 1).select(*EXTRACT_IDENTITY, "revision")
+    ambiguous = extracts.join(shared, [*EXTRACT_IDENTITY, "revision"], "left_semi")
+    chosen = newest.where(F.col("copies") == 1).select(*extracts.columns)
+    return chosen, ambiguous
+
+
 def serialize_extracts(
     rows: DataFrame, key: Sequence[str], columns: Sequence[str], cap: int = RECORD_CAP
 ) -> DataFrame:

@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from monthloom.operators.revision import latest_manifests
 from monthloom.params import PRODUCTS, Params
-from monthloom.plans.landing import accepted, parse_records, reconcile
+from monthloom.plans.landing import accepted, newest_extracts, parse_records, reconcile
 from monthloom.plans.load import cut_lineage, load_extracts, months_of, refresh_fact
 from monthloom.schemas import RAW_SCHEMA
 from monthloom.sources.landing import MANIFEST_FILE, manifests_from_text
@@ -51,11 +50,11 @@ def load_batch(
         return
     rows = parse_records(scan_lines(spark, "", folders))
     checked = cut_lineage(reconcile(manifests, rows, scan_checksums(spark, "", folders), products))
-    refused = checked.where(F.size("reasons") > 0)
-    refused.select("extract", "reasons").write.mode("append").json(f"{tables}/rejected")
-    good = accepted(checked)
-    newest = latest_manifests(good, ("kind", "reporter_code", "cmd_code", "period"))
-    chosen = cut_lineage(newest.where(F.col("copies") == 1).drop("copies"))
+    refused = checked.where(F.size("reasons") > 0).select("extract", "reasons")
+    newest, ambiguous = newest_extracts(accepted(checked))
+    doubtful = ambiguous.select("extract", F.array(F.lit("ambiguous_revision")).alias("reasons"))
+    refused.unionByName(doubtful).write.mode("append").json(f"{tables}/rejected")
+    chosen = cut_lineage(newest)
     if not chosen.limit(1).count():
         return
     load_extracts(spark, tables, chosen, rows, skip_stale=True)

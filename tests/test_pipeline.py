@@ -237,6 +237,21 @@ def test_decisions(spark):
     assert found == ["stale_revision", "already_loaded", "conflict", "load", "load"]
 
 
+def test_newest_revision_is_chosen_and_ambiguous_ones_are_named(spark, tmp_path):
+    land(tmp_path, [record(156, 1)], revision=1)
+    land(tmp_path, [record(156, 2, hs="H5")], revision=2)
+    land(tmp_path, [record(156, 3, 156)], revision=1)
+    land(tmp_path, [record(156, 4, 156, hs="H5")], revision=1)
+    found, rows = checked(spark, tmp_path)
+    chosen, ambiguous = landing.newest_extracts(landing.accepted(found))
+    assert [(r.reporter_code, r.revision) for r in chosen.collect()] == [("842", 2)]
+    assert {r.hs_version for r in ambiguous.collect()} == {"H4", "H5"}
+    load.load_extracts(spark, str(tmp_path / "tables"), chosen, rows)
+    assert stored(spark, tmp_path / "tables") == {("842", "156", 2.0, 2)}
+    with pytest.raises(ValueError, match="duplicate source partition"):
+        load.load_extracts(spark, str(tmp_path / "tables"), landing.accepted(found), rows)
+
+
 def test_ambiguous_revisions_are_counted(spark):
     from monthloom.operators.revision import latest_manifests
 
