@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from monthloom.catalog.oracle import cut, cut_growth, iso, money, nano
 from monthloom.catalog.marts import PARTNER_SQL
-from monthloom.catalog.registry import END, REGIONS, START, TYPES, Tables, query
+from monthloom.catalog.registry import REGIONS, START, TYPES, Tables, query
 from monthloom.operators import aggregate, rank
 from monthloom.operators.dimensions import with_label
 from monthloom.operators.sets import common_months as months_in_all
