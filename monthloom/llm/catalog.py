@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.llm import chat, decontamination, mixing, toxicity
+from monthloom.llm import chat, decontamination, language, mixing, token_counts, token_files, toxicity
 from monthloom.llm.common import table
 
 
+#: Vocabulary files; ids 0 to 2 of the piece vocabulary are its controls.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 2
+
+
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), PIECES)
+
+
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"), PIECES)
+
+
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.encode_to_files(table(spark, folder, "documents"), BYTES, END_ID)
+
+
 def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.collapse_snapshots(table(spark, folder, "conversations"))
 
@@ -26,5 +45,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("passages")
 
 
-QUERIES = {f.__name__: f for f in (op6_chat, op7_mixing, op8_decontamination, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (
+    op2_token_counts, op4_language, op6_chat, op7_mixing, op8_decontamination, op9_token_files, op10_toxicity,
+)}
 ORACLES = {"op6_chat": chat.SQL, "op7_mixing": mixing.SQL, "op8_decontamination": decontamination.SQL}

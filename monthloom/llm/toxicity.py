@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -28,7 +29,6 @@ DRIFT = -0.25
 ALPHA = 0.01
 #: Bytes of a stem; a token without a weight takes its stem's.
 STEM = 5
-EULER = 0.5772156649015329
 
 
 @dataclass(frozen=True)
@@ -89,46 +89,72 @@ def training_rows(documents: DataFrame, labels: DataFrame, limit: int) -> DataFr
 
 
 def _count(batches):
-    counts: dict[bytes, list[int]] = defaultdict(lambda: [0, 0])
+    """For each token: clean and toxic documents with it, and 64-bit sets of its preceding words."""
+    counts: dict[bytes, list[int]] = {}
 
     def rows():
+        signed = lambda k: [v[k] - (1 << 64) if v[k] >> 63 else v[k] for v in counts.values()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(counts, pa.binary()), *(pa.array([v[k] for v in counts.values()], pa.int64()) for k in (0, 1))],
-            names=["token", "clean", "toxic"],
+            [pa.array(counts, pa.binary()), *(pa.array(signed(k), pa.int64()) for k in range(4))],
+            names=["token", "clean", "toxic", "clean_before", "toxic_before"],
         )
 
     for batch in batches:
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            label = int(toxic > 0)
+            label, before = int(toxic > 0), b""
+            seen: dict[bytes, int] = defaultdict(int)
             for word in words_of(text):
-                counts[word][label] += 1
-                counts[stem(word)][label] += 1
+                bit = 1 << (zlib.crc32(before) & 63)
+                seen[word] |= bit
+                seen[stem(word)] |= bit
+                before = word
+            for token, bits in seen.items():
+                own = counts.setdefault(token, [0, 0, 0, 0])
+                own[label] += 1
+                own[label + 2] |= bits
             if len(counts) > 300_000:
                 yield rows()
                 counts.clear()
     yield rows()
 
 
-def token_weights(train: DataFrame) -> dict[bytes, float]:
-    """Log-odds of toxic against clean of the tokens and stems that differ significantly.
+def token_weights(train: DataFrame) -> tuple[dict[bytes, float], float]:
+    """Log-odds of toxic against clean of the tokens and stems that differ significantly, and lambda.
 
-    The prior of a token is its share of the training text times PRIOR.
+    A token counts once a document, and no oftener than it follows different words: so a
+    passage that is copied into many documents counts like one. (The number of different
+    words is estimated from 64 bits; where those are nearly full, documents count.) The prior
+    of a token is its share of the training text times PRIOR, half a token at least. Lambda
+    solves ``sum of p * exp(lambda * score) = 1`` over the clean tokens.
     """
-    counts = in_arrow(train, _count, "token binary, clean long, toxic long").groupBy("token").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
+    counts = in_arrow(train, _count, "token binary, clean long, toxic long, clean_before long, toxic_before long").groupBy("token").agg(
+        *(F.sum(c).alias(c) for c in ("clean", "toxic")), *(F.bit_or(c).alias(c) for c in ("clean_before", "toxic_before"))
     )
-    counts = counts.filter("clean + toxic >= 3")
-    totals = counts.filter(F.substring("token", 1, 1) != F.lit(b"^")).agg(F.sum("clean"), F.sum("toxic")).first()
-    n_clean, n_toxic = (float(x or 0) for x in totals)
+    bits = lambda c: F.bit_count(f"{c}_before")
+    contexts = lambda c: F.round(-64 * F.log(1 - F.least(bits(c), F.lit(63)) / 64))
+    fair = lambda c: F.when(bits(c) >= 58, F.col(c).cast("double")).otherwise(F.least(F.col(c).cast("double"), contexts(c)))
+    counts = counts.select("token", *(fair(c).alias(c) for c in ("clean", "toxic")))
+    totals = counts.groupBy((F.substring("token", 1, 1) == F.lit(b"^")).alias("stem")).agg(F.sum("clean"), F.sum("toxic"))
+    sums = {r[0]: (r[1] or 0.0, r[2] or 0.0) for r in totals.collect()}
+    n_clean, n_toxic = sums.get(False, (0.0, 0.0))
     if not n_clean or not n_toxic:
-        return {}
-    prior = F.greatest((F.col("clean") + F.col("toxic")) * F.lit(PRIOR / (n_clean + n_toxic)), F.lit(0.01))
+        return {}, 1.0
+    prior = F.greatest((F.col("clean") + F.col("toxic")) * F.lit(PRIOR / (n_clean + n_toxic)), F.lit(0.5))
     rate = lambda c, n: F.log((F.col(c) + prior) / F.greatest(F.lit(n + PRIOR) - F.col(c) - prior, F.lit(1e-9)))
-    scored = counts.withColumn("odds", rate("toxic", n_toxic) - rate("clean", n_clean)).withColumn(
+    scored = counts.filter("clean + toxic >= 3").withColumn("odds", rate("toxic", n_toxic) - rate("clean", n_clean)).withColumn(
         "z", F.col("odds") / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     )
     best = scored.filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "token").limit(MAX_TOKENS)
-    return {bytes(r["token"]): r["odds"] + (DRIFT if r["odds"] < 0 else 0.0) for r in best.select("token", "odds").collect()}
+    rows = best.select("token", "odds", "clean").collect()
+    tokens = {bytes(r["token"]): min(r["odds"], 0.0) + DRIFT if r["odds"] < 0 else r["odds"] for r in rows}
+    p = np.array([(r["clean"] + 0.5) / n_clean for r in rows if not bytes(r["token"]).startswith(b"^")])
+    s = np.array([tokens[bytes(r["token"])] for r in rows if not bytes(r["token"]).startswith(b"^")])
+    low, high = 0.05, 5.0
+    for _ in range(60):
+        scale = (low + high) / 2
+        mass = float(np.sum(p * np.exp(scale * s))) + max(0.0, 1 - float(p.sum())) * math.exp(scale * DRIFT)
+        low, high = (scale, high) if mass < 1 else (low, scale)
+    return tokens, (low + high) / 2
 
 
 def features(best: float, total: float, n_significant: int) -> list[float]:
@@ -153,7 +179,7 @@ def _evidence(words, memo, scale, log_k):
 def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELS) -> Model:
     """Token weights, extreme-value law and calibration from labelled rows of the training folds."""
     train = training_rows(documents, labels, limit)
-    tokens = token_weights(train)
+    tokens, scale = token_weights(train)
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(tokens)
 
@@ -175,13 +201,10 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELS) -> Mod
             )
 
     rows = in_arrow(train, extremes, "best double, n long, toxic int, sums array<double>").collect()
-    clean = np.array([(r["best"], math.log(r["n"])) for r in rows if not r["toxic"] and r["best"] > 0 and r["n"]] or [(0.0, 0.0)])
-    # Moments of the extreme-value law: the spread gives lambda, the mean then K.
-    spread = float(np.std(clean[:, 0]))
-    scale = math.pi / (math.sqrt(6) * spread) if spread > 1e-6 else 1.0
-    scale = min(max(scale, 0.2), 3.0)
-    log_k = float(np.mean(scale * clean[:, 0] - clean[:, 1])) - EULER
+    # K such that a share ALPHA of the clean texts has a significant segment.
     least = -math.log(-math.log1p(-ALPHA))
+    clean = [scale * r["best"] - math.log(max(r["n"], 1)) for r in rows if not r["toxic"]]
+    log_k = float(np.quantile(clean, 1 - ALPHA)) - least if clean else 0.0
     x, y = [], []
     for r in rows:
         calibrated = [scale * s - log_k - math.log(max(r["n"], 1)) for s in r["sums"]]
