@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.llm import chat, decontamination, language, mixing, token_counts, token_files, toxicity
+from monthloom.llm import chat, decontamination, language, mixing, near_duplicates, token_counts, token_files, toxicity
 from monthloom.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), PIECES)
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"), PIECES)
 
@@ -46,6 +50,6 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_counts, op4_language, op6_chat, op7_mixing, op8_decontamination, op9_token_files, op10_toxicity,
+    op2_token_counts, op3_near_duplicates, op4_language, op6_chat, op7_mixing, op8_decontamination, op9_token_files, op10_toxicity,
 )}
-ORACLES = {"op6_chat": chat.SQL, "op7_mixing": mixing.SQL, "op8_decontamination": decontamination.SQL}
+ORACLES = {"op3_near_duplicates": near_duplicates.SQL, "op6_chat": chat.SQL, "op7_mixing": mixing.SQL, "op8_decontamination": decontamination.SQL}
