@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.llm import chat, decontamination, language, mixing, near_duplicates, token_counts, token_files, toxicity
+from monthloom.llm import chat, decontamination, embedding_duplicates, language, mixing, near_duplicates, token_counts, token_files, toxicity
 from monthloom.llm.common import table
 
 
@@ -16,6 +16,10 @@ BYTES = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 
 
+def op1_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_duplicates.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), PIECES)
 
@@ -50,6 +54,6 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_counts, op3_near_duplicates, op4_language, op6_chat, op7_mixing, op8_decontamination, op9_token_files, op10_toxicity,
+    op1_embedding_duplicates, op2_token_counts, op3_near_duplicates, op4_language, op6_chat, op7_mixing, op8_decontamination, op9_token_files, op10_toxicity,
 )}
-ORACLES = {"op3_near_duplicates": near_duplicates.SQL, "op6_chat": chat.SQL, "op7_mixing": mixing.SQL, "op8_decontamination": decontamination.SQL}
+ORACLES = {"op1_embedding_duplicates": embedding_duplicates.SQL, "op3_near_duplicates": near_duplicates.SQL, "op6_chat": chat.SQL, "op7_mixing": mixing.SQL, "op8_decontamination": decontamination.SQL}
