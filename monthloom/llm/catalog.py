@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.llm import chat, decontamination, embedding_duplicates, language, mixing, near_duplicates, token_counts, token_files, toxicity
+from monthloom.llm import chat, decontamination, embedding_duplicates, language, mixing, near_duplicates, recurrent, token_counts, token_files, toxicity
 from monthloom.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.encode_to_files(table(spark, folder, "documents"), BYTES, END_ID)
 
 
+def op5_recurrent(spark: SparkSession, folder: str) -> DataFrame:
+    return recurrent.score_texts(table(spark, folder, "documents"))
+
+
 def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.collapse_snapshots(table(spark, folder, "conversations"))
 
@@ -54,6 +58,6 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_embedding_duplicates, op2_token_counts, op3_near_duplicates, op4_language, op6_chat, op7_mixing, op8_decontamination, op9_token_files, op10_toxicity,
+    op1_embedding_duplicates, op2_token_counts, op3_near_duplicates, op4_language, op5_recurrent, op6_chat, op7_mixing, op8_decontamination, op9_token_files, op10_toxicity,
 )}
 ORACLES = {"op1_embedding_duplicates": embedding_duplicates.SQL, "op3_near_duplicates": near_duplicates.SQL, "op6_chat": chat.SQL, "op7_mixing": mixing.SQL, "op8_decontamination": decontamination.SQL}
