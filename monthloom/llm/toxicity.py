@@ -20,7 +20,7 @@ MAX_LABELS = 50_000
 #: Tokens and stems a model keeps at most, those with the largest z-score.
 MAX_TOKENS = 50_000
 #: Least z-score of a token that counts.
-LEAST_Z = 3.0
+LEAST_Z = 3.5
 #: Weight of the Dirichlet prior, in tokens of the whole training text.
 PRIOR = 200.0
 #: Score of a token without a weight: segments end where toxic words get rare.
