@@ -357,7 +357,7 @@ def extract_digest(t: Tables):
   count(*) AS row_count, CAST(sum(v) AS DOUBLE) / 100 AS primary_value_sum,
   'sha256:' || sha256(string_agg('{{"cmd_code":"' || cmd || '","hs_version":"' || hs ||
     '","partner_code":"' || par || '","period":"' || period || '"}}', chr(10)
-    ORDER BY CAST(par AS BIGINT)) || chr(10)) AS checksum, CAST(NULL AS VARCHAR) AS rejected
+    ORDER BY CAST(par AS BIGINT)) || chr(10)) AS checksum
 FROM t_detail GROUP BY period, rep, cmd, rev""",
 )
 def extract_canonical_text(t: Tables):

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from datetime import date
 from functools import cached_property
+from uuid import uuid4
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -61,15 +61,13 @@ class Tables:
         return SingleMarket(p.detail, p.world, p.countries, p.hs_codes, STAR, pinned)
 
     def scratch(self) -> str:
-        """A new folder in the cluster's shared folder; a temporary one where unset."""
+        """A new folder below the cluster's shared one, or the warehouse where that is unset."""
         shared = self.spark.conf.get("spark.checkpoint.dir", None)
-        if shared:
-            name = self.spark.sql("select uuid()").first()[0]
-            return f"{shared}/panel-{name}"
-        folder = tempfile.mkdtemp(prefix="panel-")
-        if self.spark.sparkContext.getCheckpointDir() is None:
-            self.spark.sparkContext.setCheckpointDir(f"{folder}/checkpoints")
-        return folder
+        if not shared:
+            shared = self.spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+            if self.spark.sparkContext.getCheckpointDir() is None:
+                self.spark.sparkContext.setCheckpointDir(f"{shared}/checkpoints")
+        return f"{shared.rstrip('/')}/panel-{uuid4().hex}"
 
 
 def report(frame: DataFrame) -> DataFrame:

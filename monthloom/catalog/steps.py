@@ -94,8 +94,9 @@ WHERE m IN (SELECT m FROM t_aworld WHERE v = 0)""",
 def months_listed(t: Tables):
     """Fact rows of the months in which some accepted world total is zero."""
     zero = t.multi.world.where(F.col("primary_value") == 0).select("period_start_date")
+    months = [row[0] for row in zero.distinct().collect()]  # calendar months
     fact = t.multi.fact.select(*GRAIN, "primary_value")
-    return fact.join(zero.distinct(), "period_start_date", "left_semi")
+    return select.months_listed(fact, months, "period_start_date")
 
 
 @query(

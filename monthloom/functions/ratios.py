@@ -2,27 +2,116 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # decimal(29,9) operands make Spark's quotient decimal(38,9), rounded half up.
 OPERAND = "decimal(29,9)"
-RATIO = "decimal(29,9)"
 NANO = 1_000_000_000
+# Below this, operands, and a quotient on its way through decimal(29,9), fit in 20 whole digits.
+NARROW = 10**20
+
+
+def _scaled(value: Column) -> Column:
+    """A non-negative decimal(38,9) times 1e9 as decimal(38,0), exactly."""
+    nano = F.lit(NANO).cast("decimal(10,0)")
+    whole = F.floor(value).cast("decimal(29,0)")
+    rest = (value % F.lit(1).cast("decimal(1,0)")).cast("decimal(10,9)") * nano
+    return (whole * nano).cast("decimal(38,0)") + rest.cast("decimal(10,0)")
+
+
+def _magnitude(value: Column) -> Column:
+    """Absolute value; Spark's own rounds to 34 digits."""
+    return F.ltrim(value.cast("decimal(38,9)").cast("string"), F.lit("-")).cast("decimal(38,9)")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once and not copied into the expression."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _exact_quotient(numerator: Column, denominator: Column, rounded: bool) -> Column:
+    """Quotient of any two decimal(38,9) with nine digits, rounded half up or cut.
+
+    Long division in two steps: whole part and remainder first, then the remainder by the
+    denominator in units of 1e-9. Remainders are exact in Spark's types where a quotient of
+    38-digit operands is not; a rounded quotient less its rounded fraction gives the whole
+    part. Only a result beyond decimal(38,9) fails.
+    """
+    none = F.lit(0).cast("decimal(38,9)")
+
+    def scaled(pair: Column) -> Column:
+        return F.struct(
+            pair["d"].alias("d"), _scaled(pair["n"]).alias("top"), _scaled(pair["d"]).alias("bottom")
+        )
+
+    def split(x: Column) -> Column:
+        rest = (x["top"] % x["bottom"]).cast("decimal(38,0)")
+        whole = F.round(x["top"] / x["bottom"] - rest / x["bottom"], 0).cast("decimal(29,0)")
+        return F.struct(x["d"].alias("d"), x["bottom"].alias("bottom"), rest.alias("rest"), whole.alias("whole"))
+
+    def digits(x: Column) -> Column:
+        left = (x["rest"] % x["d"]).cast("decimal(38,9)")
+        nanos = F.round(x["rest"] / x["d"] - left / x["d"], 0).cast("bigint")
+        if rounded:
+            odd = _scaled(left)
+            nanos = nanos + F.when(odd >= x["bottom"] - odd, 1).otherwise(0)
+        return F.struct(x["whole"].alias("whole"), nanos.alias("nanos"))
+
+    def text(x: Column) -> Column:
+        full = F.when(x["nanos"] >= NANO, 1).otherwise(0)
+        whole = (x["whole"] + full.cast("decimal(1,0)")).cast("decimal(30,0)").cast("string")
+        return F.concat(whole, F.lit("."), F.lpad((x["nanos"] - full * NANO).cast("string"), 9, "0"))
+
+    pair = F.struct(
+        _magnitude(numerator).alias("n"), F.nullif(_magnitude(denominator), none).alias("d")
+    )
+    found = _let(pair, lambda p: _let(scaled(p), lambda x: _let(split(x), lambda y: _let(digits(y), text))))
+    sign = F.when((numerator < 0) != (denominator < 0), F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, found).cast("decimal(38,9)")
+
+
+def _narrow(*values: Column) -> Column:
+    fits, limit = F.lit(True), F.lit(str(NARROW)).cast("decimal(29,0)")
+    for value in values:
+        fits = fits & (value < limit) & (value > F.lit(f"-{NARROW}").cast("decimal(29,0)"))
+    return fits
+
+
+def _quick(numerator: Column, denominator: Column) -> Column:
+    n, d = (x.try_cast(OPERAND) for x in (numerator, denominator))
+    return F.try_divide(n, d).cast("decimal(38,9)")
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:
-    """NULL for a NULL or zero denominator; nine fractional digits."""
-    return F.try_divide(numerator.cast(OPERAND), denominator.cast(OPERAND)).cast("decimal(38,9)")
+    """NULL for a NULL or zero denominator; nine fractional digits, rounded half up.
+
+    Narrow operands take one division; the result is the same either way.
+    """
+    exact = _exact_quotient(numerator, denominator, rounded=True)
+    return F.when(_narrow(numerator, denominator), _quick(numerator, denominator)).otherwise(exact)
 
 
 def positive_ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, safe_divide(numerator, denominator))
 
 
+def _less_one(ratio: Column) -> Column:
+    """A ratio minus one with all digits; a wide one is far from zero, so its fraction stays."""
+    text = ratio.cast("string")
+    whole = F.substring_index(text, ".", 1).cast("decimal(29,0)") - F.lit(1).cast("decimal(1,0)")
+    wide = F.concat(whole.cast("string"), F.lit("."), F.substring_index(text, ".", -1))
+    quick = (ratio.try_cast(OPERAND) - F.lit(1)).cast("decimal(38,9)")
+    return F.when(_narrow(ratio), quick).otherwise(wide.cast("decimal(38,9)"))
+
+
 def growth(current: Column, base: Column) -> Column:
-    change = safe_divide(current, base).cast(RATIO) - F.lit(1)
-    return F.when(base > 0, change.cast("decimal(38,9)"))
+    """Ratio minus one; above a base of one, narrow operands have a narrow ratio."""
+    quick = (_quick(current, base).try_cast(OPERAND) - F.lit(1)).cast("decimal(38,9)")
+    exact = _let(_exact_quotient(current, base, rounded=True), _less_one)
+    return F.when((base >= 1) & _narrow(current, base), quick).when(base > 0, exact)
 
 
 def unit_value(value: Column, weight: Column) -> Column:
@@ -30,28 +119,26 @@ def unit_value(value: Column, weight: Column) -> Column:
 
 
 def _nano(value: Column) -> Column:
-    scaled = value.cast("decimal(38,9)") * F.lit(NANO).cast("decimal(10,0)")
+    scaled = value.try_cast(OPERAND) * F.lit(NANO).cast("decimal(10,0)")
     return scaled.cast("decimal(29,0)")
 
 
 def trunc_share(numerator: Column, denominator: Column) -> Column:
     """Ratio cut (not rounded) at nine digits; used by the interactive layer.
 
-    Spark's ``div`` yields a BIGINT, so the quotient has to stay below 9e9.
+    Spark's ``div`` yields a BIGINT: it serves while the quotient in units of 1e-9 surely is one.
     """
-    top, bottom = _nano(numerator), _nano(denominator)
-    scaled = (top * F.lit(NANO).cast("decimal(10,0)")).cast("decimal(38,0)")
-    too_big = F.abs(top).cast("decimal(38,0)") >= bottom.cast("decimal(38,0)") * F.lit(9 * NANO)
-    quotient = F.call_function("div", scaled, bottom)
-    exact = (quotient.cast("decimal(19,0)") * F.lit("0.000000001").cast("decimal(9,9)")).cast(
-        "decimal(38,9)"
-    )
-    guarded = F.when(too_big, F.raise_error(F.lit("ratio exceeds 9e9"))).otherwise(exact)
-    return F.when(denominator > 0, guarded)
+    limit = F.lit("1e9").cast("decimal(10,0)")
+    simple = (denominator >= 1) & (numerator < limit) & (numerator > F.lit("-1e9").cast("decimal(10,0)"))
+    top = (_nano(numerator) * F.lit(NANO).cast("decimal(10,0)")).cast("decimal(38,0)")
+    quotient = F.call_function("div", top, _nano(denominator)).cast("decimal(19,0)")
+    quick = (quotient * F.lit("0.000000001").cast("decimal(9,9)")).cast("decimal(38,9)")
+    exact = _exact_quotient(numerator, denominator, rounded=False)
+    return F.when(simple & _narrow(denominator), quick).when(denominator > 0, exact)
 
 
 def trunc_growth(current: Column, base: Column) -> Column:
-    return (trunc_share(current, base).cast(RATIO) - F.lit(1)).cast("decimal(38,9)")
+    return _let(trunc_share(current, base), _less_one)
 
 
 def float_to_decimal(value: Column) -> Column:

@@ -126,6 +126,11 @@ def valid_edition(edition: Column) -> Column:
     return F.coalesce(edition.rlike(r"^H[0-6]\z"), F.lit(False))
 
 
+def valid_run_id(run: Column) -> Column:
+    """Letters, digits, hyphens and underscores, 128 at most."""
+    return F.coalesce(run.rlike(r"^[A-Za-z0-9_-]{1,128}\z"), F.lit(False))
+
+
 def search_text(columns: Sequence[Column], query: str) -> Column:
     """Case-insensitive substring over several columns joined by blanks."""
     haystack = F.lower(F.concat_ws(" ", *columns))

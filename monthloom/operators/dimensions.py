@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthloom.functions.text import valid_iso3
 from monthloom.operators.select import valid_amount, verified_country
 
 HS_KEY = ("hs_version", "cmd_code")
@@ -157,7 +156,3 @@ def with_label(
     for source, shown in (overrides or {}).items():
         label = F.when(original == source, F.lit(shown)).otherwise(label)
     return frame.join(looked_up, iso3, "left").select(*frame.columns, label.alias("label"))
-
-
-def bad_map_codes(countries: DataFrame) -> DataFrame:
-    return countries.where(F.col("map_iso3").isNotNull() & ~valid_iso3(F.col("map_iso3")))

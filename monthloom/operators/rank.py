@@ -80,9 +80,16 @@ def gap_segments(
 
 
 def partner_options(partners: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct partners under their latest name, sorted by it."""
+    """Distinct partners under their latest name, sorted by it.
+
+    Rows are hashed down to one per name, code and product first; which name is the
+    latest is settled on what is left.
+    """
+    names = partners.groupBy(*by, "partner_code", "source_name", "map_iso3", "cmd_code").agg(
+        F.max("month").alias("month")
+    )
     latest = F.struct("month", "cmd_code")
-    options = partners.groupBy(*by, "partner_code").agg(
+    options = names.groupBy(*by, "partner_code").agg(
         F.max_by("source_name", latest).alias("source_name"),
         F.max_by("map_iso3", latest).alias("map_iso3"),
     )

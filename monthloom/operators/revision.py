@@ -46,30 +46,44 @@ def accept_latest_row(
     scope: Sequence[str] = SCOPE,
     newest: Sequence[str] = ("revision", "ingested_at", "hs_version"),
 ) -> DataFrame:
-    """One row per scope: the newest, ties broken by the remaining columns."""
-    rest = [name for name in world.columns if name not in (*scope, *newest)]
-    best = world.groupBy(*scope).agg(F.max(F.struct(*newest, *rest)).alias("best"))
-    return best.select(
-        *[
-            F.col(name) if name in scope else F.col(f"best.{name}").alias(name)
-            for name in world.columns
-        ]
+    """One row per scope: the newest, ties broken by the remaining columns.
+
+    Versions are counted by hashing and the winners semi-joined; only rows that share
+    the winning version of their scope are compared as a whole.
+    """
+    versions = world.groupBy(*scope, *newest).agg(F.count("*").alias("n"))
+    best = versions.groupBy(*scope).agg(F.max(F.struct(*newest, "n")).alias("best"))
+    winners = best.select(*scope, *[F.col(f"best.{name}").alias(name) for name in (*newest, "n")])
+    key = (*scope, *newest)
+    single = null_safe_join(world, winners.where("n = 1").drop("n"), key, "left_semi")
+    tied = null_safe_join(world, winners.where("n > 1").drop("n"), key, "left_semi")
+    rest = [name for name in world.columns if name not in key]
+    if not rest:
+        return single.unionByName(tied.distinct())
+    chosen = tied.groupBy(*key).agg(F.max(F.struct(*rest)).alias("kept"))
+    one = chosen.select(
+        *[F.col(n) if n in key else F.col(f"kept.{n}").alias(n) for n in world.columns]
     )
+    return single.select(*world.columns).unionByName(one)
 
 
 def latest_manifests(manifests: DataFrame, identity: Sequence[str] = IDENTITY) -> DataFrame:
-    """Newest revision per identity with ``copies`` of that revision (1 unless ambiguous)."""
+    """Newest revision per identity with ``copies`` of that revision (1 unless ambiguous).
+
+    Revisions are counted by hashing; manifests are compared as a whole only where several
+    share the newest one.
+    """
     rest = [name for name in manifests.columns if name not in (*identity, "revision")]
-    counted = manifests.groupBy(*identity, "revision").agg(
-        F.count("*").alias("copies"), F.max(F.struct(*rest)).alias("kept")
-    )
-    best = counted.groupBy(*identity).agg(F.max(F.struct("revision", "copies", "kept")).alias("b"))
-    return best.select(
-        *identity,
-        F.col("b.revision").alias("revision"),
-        *[F.col(f"b.kept.{name}").alias(name) for name in rest],
-        F.col("b.copies").alias("copies"),
-    )
+    key = (*identity, "revision")
+    counted = manifests.groupBy(*key).agg(F.count("*").alias("copies"))
+    best = counted.groupBy(*identity).agg(F.max(F.struct("revision", "copies")).alias("b"))
+    newest = best.select(*identity, F.col("b.revision").alias("revision"), F.col("b.copies").alias("copies"))
+    order = [*key, *rest, "copies"]
+    single = null_safe_join(manifests, newest.where("copies = 1").drop("copies"), key, "left_semi")
+    tied = null_safe_join(manifests, newest.where("copies > 1").drop("copies"), key, "left_semi")
+    chosen = tied.groupBy(*key).agg(F.count("*").alias("copies"), F.max(F.struct(*rest)).alias("kept"))
+    one = chosen.select(*key, *[F.col(f"kept.{name}").alias(name) for name in rest], "copies")
+    return single.withColumn("copies", F.lit(1).cast("long")).select(*order).unionByName(one)
 
 
 def stored_versions(
@@ -159,6 +173,13 @@ def assign_revision(
     )
 
 
+def require_refreshed(decided: DataFrame) -> None:
+    """A refresh that brings nothing for an accepted identity is an error, not a deletion."""
+    missing = decided.where(F.col("action") == "missing_refresh").count()
+    if missing:
+        raise ValueError(f"{missing} accepted extracts are missing from the refresh")
+
+
 def run_id() -> Column:
     version = F.concat(F.lit("r"), F.col("revision").cast("string"))
     return F.concat_ws("-", F.lit("multi"), "period", "reporter_code", "cmd_code", version)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from monthloom.functions.calendar import month_frame, period_start, valid_period
 from monthloom.functions.text import canonical_json, namespaced_sha256, parse_decimal
 from monthloom.functions.text import valid_edition
-from monthloom.operators.aggregate import exact_sum
+from monthloom.operators.aggregate import exact_sum, row_multiset_digest
 from monthloom.operators.revision import latest_manifests
 from monthloom.params import (
     CUSTOMS_CODE,
@@ -24,7 +24,6 @@ from monthloom.params import (
     IMPORT_FLOW,
     KINDS,
     PRODUCTS,
-    RECORD_CAP,
     SCHEMA_VERSION,
 )
 from monthloom.sources.landing import split_kind
@@ -157,13 +156,6 @@ def edition_splits(facts: DataFrame) -> DataFrame:
     return facts.where(F.col("editions") != 1)
 
 
-def split_violations(facts: DataFrame, kind: str = "kind") -> DataFrame:
-    """World extracts have one row; detail extracts have some, none of them world."""
-    world = (F.col(kind) == "world_total") & (F.col("rows") != 1)
-    detail = (F.col(kind) == "partner_detail") & (F.col("rows") == 0)
-    return facts.where(world | detail)
-
-
 def unrequested(rows: DataFrame, requested: DataFrame) -> DataFrame:
     return rows.join(requested.select("reporter_code").distinct(), "reporter_code", "left_anti")
 
@@ -265,19 +257,29 @@ def newest_extracts(extracts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return chosen, ambiguous
 
 
+def digest_extracts(
+    rows: DataFrame, key: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Count, sum and content digest of each extract, whatever its size.
+
+    The digest adds up hash lanes of the canonical lines, so it is combined before the
+    shuffle and no extract is gathered.
+    """
+    return rows.groupBy(*key).agg(
+        F.count("*").alias("row_count"),
+        exact_sum(F.col("primary_value")).alias("primary_value_sum"),
+        row_multiset_digest(canonical_json(columns)).alias("content_digest"),
+    )
+
+
 def serialize_extracts(
-    rows: DataFrame, key: Sequence[str], columns: Sequence[str], cap: int = RECORD_CAP
+    rows: DataFrame, key: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
     """Canonical text, checksum, count and sum of each extract.
 
-    The text of one extract has to be in one row. Extracts at the record cap are
-    truncated by contract; they are listed with ``rejected`` and never gathered, so
-    a gathered group has fewer than ``cap`` rows.
+    For a consumer that wants the text of one extract as one value; all extracts are
+    treated alike. ``digest_extracts`` identifies contents without gathering them.
     """
-    facts = rows.groupBy(*key).agg(
-        F.count("*").alias("row_count"), exact_sum(F.col("primary_value")).alias("amount")
-    )
-    small = rows.join(facts.where(F.col("row_count") < cap).select(*key), list(key), "left_semi")
     order = F.struct(
         F.col("period").alias("p"),
         F.col("partner_code").cast("bigint").alias("c"),
@@ -285,17 +287,12 @@ def serialize_extracts(
         canonical_json(columns).alias("line"),
     )
     sorted_lines = F.transform(F.array_sort(F.collect_list(order)), lambda item: item["line"])
-    text = F.concat(F.array_join(sorted_lines, "\n"), F.lit("\n"))
-    texts = small.groupBy(*key).agg(text.alias("data"))
-    joined = facts.join(texts, list(key), "left")
-    return joined.select(
-        *key,
-        "row_count",
-        F.col("amount").alias("primary_value_sum"),
-        "data",
-        namespaced_sha256(F.col("data")).alias("checksum"),
-        F.when(F.col("data").isNull(), "truncated").alias("rejected"),
+    texts = rows.groupBy(*key).agg(
+        F.count("*").alias("row_count"),
+        exact_sum(F.col("primary_value")).alias("primary_value_sum"),
+        F.concat(F.array_join(sorted_lines, "\n"), F.lit("\n")).alias("data"),
     )
+    return texts.withColumn("checksum", namespaced_sha256(F.col("data")))
 
 
 def worklist(spark, start, end, products, reporters, kinds=KINDS) -> DataFrame:

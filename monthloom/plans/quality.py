@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from monthloom.functions import ratios, status
 from monthloom.functions.calendar import add_spine, month_dimension, month_frame, to_period
 from monthloom.functions.calendar import with_calendar_lookups
-from monthloom.operators.aggregate import duplicates, grain_count, layer_totals
+from monthloom.operators.aggregate import duplicates, layer_totals
 from monthloom.operators.joins import null_safe_join
 from monthloom.operators.select import differs
 from monthloom.operators.sets import symmetric_difference, union_tagged
@@ -95,13 +95,11 @@ def staging_contract(
     """Rows of either raw table that break grain, scope, calendar or value rules."""
     combined = union_tagged({"partner_detail": detail, "world_total": world}, "source_type")
     grain = ("source_type", "period_start_date", "reporter_code", "partner_code", "cmd_code")
-    sized = grain_count(combined, (*grain, "hs_version"))
     required = [name for name in RAW_COLUMNS if name not in ("net_weight", "quantity")]
     month, value = F.col("period_start_date"), F.col("primary_value")
     is_world = F.col("source_type") == "world_total"
     world_partner = F.col("partner_code") == "0"
     tests = [
-        F.col("grain_count") > 1,
         *[F.col(name).isNull() for name in required],
         F.col("flow_code") != IMPORT_FLOW,
         F.col("revision") <= 0,
@@ -112,7 +110,12 @@ def staging_contract(
     ]
     fixed = {"reporter_code": reporter, "cmd_code": product, "hs_version": edition}
     tests += [F.col(name) != wanted for name, wanted in fixed.items() if wanted is not None]
-    return sized.where(_any(tests)).drop("grain_count")
+    # Row rules move nothing; only rows of repeated grains are looked up again.
+    broken = combined.where(_any(tests))
+    key = (*grain, "hs_version")
+    repeated = duplicates(combined, key).select(*key)
+    sound = combined.where(~_any(tests))
+    return broken.unionByName(null_safe_join(sound, repeated, key, "left_semi").select(*combined.columns))
 
 
 def preserves(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -22,8 +22,6 @@ PATH_PATTERN = (
     r"/period=([^/]+)/query_type=([^/]+)/revision=([0-9]+)/[^/]+$"
 )
 PATH_FIELDS = ("reporter_code", "hs_version", "cmd_code", "period", "query_type", "revision")
-# An extract holds fewer rows than the record cap, so its file stays far below this.
-MAX_FILE_BYTES = 1 << 30
 _ENVELOPE = "elapsedTime string, count bigint, data array<string>, error string"
 
 
@@ -88,19 +86,16 @@ def scan_lines(spark: SparkSession, root: str, paths: list[str] | None = None) -
 def scan_checksums(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
     """SHA-256 of the exact bytes of each data file.
 
-    One file is one row here, so files above the size an extract can have are not
-    read: they come back without a checksum and fail reconciliation.
+    Every file is hashed alike. One file is one row here: a file that Spark cannot hold in
+    a row (2 GiB) stops the job instead of being passed over.
     """
     files = _files(spark, DATA_FILE).format("binaryFile")
     read = files.load(paths if paths is not None else f"{root}/v3")
-    hashed = read.where(F.col("length") <= MAX_FILE_BYTES).select(
-        "path", "length", namespaced_sha256(F.col("content")).alias("data_checksum")
+    return read.select(
+        folder_of(F.col("path")).alias("extract"),
+        "length",
+        namespaced_sha256(F.col("content")).alias("data_checksum"),
     )
-    oversized = read.where(F.col("length") > MAX_FILE_BYTES).select(
-        "path", "length", F.lit(None).cast("string").alias("data_checksum")
-    )
-    both = hashed.unionByName(oversized)
-    return both.select(folder_of(F.col("path")).alias("extract"), "length", "data_checksum")
 
 
 def uncommitted(checksums: DataFrame, manifests: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthloom.functions.text import namespaced_sha256, plain_decimal
+from monthloom.functions.text import csv_cell, namespaced_sha256, plain_decimal
 
 # Keeps every file small enough to be hashed as one row.
 MAX_RECORDS_PER_FILE = 1_000_000
@@ -73,6 +73,14 @@ def file_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
-    """Every cell quoted; Spark writes no byte-order mark."""
-    writer = frame.write.mode("errorifexists").option("header", True).option("quoteAll", True)
+    """Every cell quoted, formula signs guarded, decimals plain; no byte-order mark."""
+    cells = []
+    for field in frame.schema:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DecimalType):
+            # A number: its sign is not a formula.
+            cells.append(plain_decimal(value).alias(field.name))
+        else:
+            cells.append(csv_cell(value).alias(field.name))
+    writer = frame.select(*cells).write.mode("errorifexists").option("header", True).option("quoteAll", True)
     writer.option("escape", '"').option("emptyValue", "").option("nullValue", "").csv(path)

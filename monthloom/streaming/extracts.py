@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from monthloom.params import PRODUCTS, Params
 from monthloom.plans.landing import accepted, newest_extracts, parse_records, reconcile
-from monthloom.plans.load import cut_lineage, load_extracts, months_of, refresh_fact
+from monthloom.plans.load import contradictions, cut_lineage, load_extracts, months_of, refresh_fact
 from monthloom.schemas import RAW_SCHEMA
 from monthloom.sources.landing import MANIFEST_FILE, manifests_from_text
 from monthloom.sources.landing import scan_checksums, scan_lines
@@ -36,12 +36,15 @@ def load_batch(
     hs_codes: DataFrame,
     params: Params,
     products: Sequence[str] = tuple(PRODUCTS),
+    number: int = 0,
 ) -> None:
     """Check, load and publish to the fact the extracts of one batch.
 
     The batch is bounded by ``files_per_batch``; so is the list of its folders.
-    Rejected extracts are appended to ``rejected`` with their reasons; a revision that
-    arrives after a newer one is passed over.
+    Rejected extracts are written to ``rejected/batch=<number>`` with their reasons: a
+    repeated batch writes its own again. An extract that contradicts what is stored is
+    rejected like one that is unsound, and the others load; a revision that arrives after a
+    newer one is passed over.
     """
     spark = batch.sparkSession
     manifests = cut_lineage(manifests_from_text(batch))
@@ -53,8 +56,10 @@ def load_batch(
     refused = checked.where(F.size("reasons") > 0).select("extract", "reasons")
     newest, ambiguous = newest_extracts(accepted(checked))
     doubtful = ambiguous.select("extract", F.array(F.lit("ambiguous_revision")).alias("reasons"))
-    refused.unionByName(doubtful).write.mode("append").json(f"{tables}/rejected")
-    chosen = cut_lineage(newest)
+    judged = contradictions(spark, tables, cut_lineage(newest))
+    refused = refused.unionByName(doubtful).unionByName(judged)
+    refused.write.mode("overwrite").json(f"{tables}/rejected/batch={number}")
+    chosen = cut_lineage(newest.join(judged.select("extract"), "extract", "left_anti"))
     if not chosen.limit(1).count():
         return
     load_extracts(spark, tables, chosen, rows, skip_stale=True)
@@ -78,8 +83,8 @@ def stream_extracts(
     A batch that is repeated after a failure finds its versions stored already.
     """
 
-    def each(batch: DataFrame, _: int) -> None:
-        load_batch(batch, tables, countries, hs_codes, params, params.products)
+    def each(batch: DataFrame, number: int) -> None:
+        load_batch(batch, tables, countries, hs_codes, params, params.products, number)
 
     writer = stream_manifests(spark, landing, files_per_batch).writeStream.foreachBatch(each)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

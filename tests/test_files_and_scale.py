@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,10 +46,11 @@ def test_seeds_keep_codes_and_empty_map_codes_become_null(spark, tmp_path):
 
 
 def test_csv_quotes_every_cell(spark, tmp_path):
-    rows = spark.createDataFrame([('a "b"', None), ("=x", "1")], "x string, y string").coalesce(1)
+    rows = [('a "b"', None, None), ("=x", "1", Decimal("-1.500000000"))]
+    rows = spark.createDataFrame(rows, "x string, y string, z decimal(38,9)").coalesce(1)
     write_csv(rows, str(tmp_path / "out"))
     text = next((tmp_path / "out").glob("*.csv")).read_text()
-    assert text.splitlines() == ['"x","y"', '"a ""b""",""', '"=x","1"']
+    assert text.splitlines() == ['"x","y","z"', '"a ""b""","",""', '"\'=x","1","-1.5"']
 
 
 def test_raw_scan_prunes_months_and_columns(spark, tmp_path):

@@ -1,5 +1,5 @@
 from datetime import date
-from decimal import Decimal
+from decimal import Decimal, getcontext
 
 import pytest
 from hypothesis import given, settings
@@ -17,6 +17,7 @@ def one(spark, column, **values):
 
 
 D9 = "decimal(38,9)"
+getcontext().prec = 60
 
 
 @pytest.mark.parametrize(
@@ -38,16 +39,38 @@ def test_ratios(spark, n, d, rounded, cut):
     assert one(spark, ratios.trunc_share(F.col("n"), F.col("d")), **values) == expected[1]
 
 
-def test_ratio_operands_beyond_twenty_digits_raise(spark):
-    values = {"n": ("123456789012345678901.123456789", D9), "d": ("1", D9)}
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
-        one(spark, ratios.safe_divide(F.col("n"), F.col("d")), **values)
+NINES = "9" * 29 + "." + "9" * 9
 
 
-def test_truncated_ratio_beyond_its_range_raises(spark):
-    values = {"n": ("9000000000", D9), "d": ("1", D9)}
-    with pytest.raises(Exception, match="ratio exceeds"):
-        one(spark, ratios.trunc_share(F.col("n"), F.col("d")), **values)
+@pytest.mark.parametrize(
+    ("n", "d"),
+    [
+        ("123456789012345678901.123456789", "1"),
+        ("9000000000", "1"),
+        ("100", "0.000000001"),
+        (NINES, "1"),
+        (NINES, NINES),
+        (NINES, "3"),
+        ("1", NINES),
+        ("-" + NINES, "7.000000001"),
+        ("12345678901234567890123456789", "98765432109876543210987654321.5"),
+        ("5", "20000000000"),
+        ("49999999999999999999999999999.5", "99999999999999999999999999999"),
+    ],
+)
+def test_wide_ratios_are_exact(spark, n, d):
+    top, bottom = (int(Decimal(x).scaleb(9)) for x in (n, d))
+    sign = -1 if top < 0 else 1
+    rounded = sign * ((2 * abs(top) * 10**9 + bottom) // (2 * bottom))
+    cut = sign * (abs(top) * 10**9 // bottom)
+    both = F.struct(
+        ratios.safe_divide(F.col("n"), F.col("d")),
+        ratios.trunc_share(F.col("n"), F.col("d")),
+        ratios.growth(F.col("n"), F.col("d")),
+        ratios.trunc_growth(F.col("n"), F.col("d")),
+    )
+    expected = [rounded, cut, rounded - 10**9, cut - 10**9]
+    assert [int(x.scaleb(9)) for x in one(spark, both, n=(n, D9), d=(d, D9))] == expected
 
 
 def test_growth_needs_a_positive_base(spark):

@@ -16,7 +16,7 @@ from monthloom.plans import landing, load, publish
 from monthloom.plans.multi_market import MultiMarket
 from monthloom.sources import landing as source
 from monthloom.sources.raw import overwrite_partitions, scan_table, write_table
-from monthloom.streaming.extracts import stream_extracts
+from monthloom.streaming.extracts import load_batch, stream_extracts
 
 CMD = "854231"
 DIMS = [("156", "country", "verified", "CHN"), ("410", "country", "verified", "KOR")]
@@ -129,7 +129,7 @@ def test_load_replay_replace_and_stale(spark, tmp_path):
     assert run_load(spark, tmp_path / "b", tables)["status"] == "success"
     after = {("842", "156", 150.0, 2), ("156", "156", 100.0, 1), ("156", "410", 200.0, 1)}
     assert stored(spark, tables) == after
-    with pytest.raises(ValueError, match="changed during the stage"):
+    with pytest.raises(ValueError, match="while the stage ran"):
         load.require_unmoved(token, load.scan_audit(spark, f"{tables}/audit"))
     with pytest.raises(ValueError, match="stale_revision"):
         run_load(spark, tmp_path / "a", tables)
@@ -152,6 +152,34 @@ def test_lost_audit_events_are_completed_by_a_rerun(spark, tmp_path):
     assert load.scan_audit(spark, str(tmp_path / "copy/audit")).count() == 2
 
 
+def test_rows_of_another_flow_stay(spark, tmp_path):
+    tables = tmp_path / "tables"
+    land(tmp_path / "a", [record(156, 100), record(410, 200)])
+    run_load(spark, tmp_path / "a", tables)
+    path = f"{tables}/partner_detail"
+    exports = scan_table(spark, path).withColumn("flow_code", F.lit("X")).withColumn("revision", F.lit(7))
+    exports = spark.createDataFrame(exports.collect(), exports.schema)
+    overwrite_partitions(scan_table(spark, path).unionByName(exports).checkpoint(), path)
+    land(tmp_path / "b", [record(156, 150)], revision=2)
+    assert run_load(spark, tmp_path / "b", tables)["status"] == "success"
+    rows = {(r.flow_code, r.partner_code, r.revision) for r in scan_table(spark, path).collect()}
+    assert rows == {("M", "156", 2), ("X", "156", 7), ("X", "410", 7)}
+
+
+def test_a_refresh_must_bring_what_was_accepted(spark):
+    from monthloom.operators.revision import assign_revision, require_refreshed
+
+    key = {"reporter_code": "842", "cmd_code": CMD, "query_type": "world_total"}
+    wanted = [{**key, "period": p} for p in ("201601", "201602")]
+    requested = spark.createDataFrame(wanted)
+    accepted = spark.createDataFrame([{**wanted[0], "revision": 1, "checksum": "a"}])
+    fetched = spark.createDataFrame([{**wanted[1], "checksum": "b"}])
+    decided = assign_revision(requested, fetched, accepted)
+    with pytest.raises(ValueError, match="1 accepted extracts are missing"):
+        require_refreshed(decided)
+    require_refreshed(decided.where("action <> 'missing_refresh'"))
+
+
 REJECTIONS = [
     ({"primaryValue": 1.5}, None, "rows"),
     ({"primaryValue": "1e3"}, {"primary_value_sum": "1000"}, "rows"),
@@ -220,8 +248,12 @@ def test_canonical_text_matches_hashlib(spark):
     text = "\n".join(lines) + "\n"
     assert made.data == text
     assert made.checksum == "sha256:" + hashlib.sha256(text.encode()).hexdigest()
-    capped = landing.serialize_extracts(rows, ("period", "reporter_code"), columns, cap=3).first()
-    assert (capped.rejected, capped.data, capped.row_count) == ("truncated", None, 3)
+    key = ("period", "reporter_code")
+    shuffled = landing.digest_extracts(rows.orderBy("partner_code"), key, columns).first()
+    assert (shuffled.row_count, number(shuffled.primary_value_sum)) == (3, 3.0)
+    assert shuffled.content_digest == landing.digest_extracts(rows, key, columns).first().content_digest
+    fewer = landing.digest_extracts(rows.where("partner_code <> '36'"), key, columns).first()
+    assert fewer.content_digest != shuffled.content_digest
 
 
 def test_decisions(spark):
@@ -248,7 +280,7 @@ def test_newest_revision_is_chosen_and_ambiguous_ones_are_named(spark, tmp_path)
     assert {r.hs_version for r in ambiguous.collect()} == {"H4", "H5"}
     load.load_extracts(spark, str(tmp_path / "tables"), chosen, rows)
     assert stored(spark, tmp_path / "tables") == {("842", "156", 2.0, 2)}
-    with pytest.raises(ValueError, match="duplicate source partition"):
+    with pytest.raises(ValueError, match="several extracts for one unit"):
         load.load_extracts(spark, str(tmp_path / "tables"), landing.accepted(found), rows)
 
 
@@ -272,7 +304,7 @@ def test_mixed_versions_stop_a_load(spark, tmp_path):
         ],
     )
     write_table(rows, str(tmp_path / "tables/partner_detail"))
-    with pytest.raises(ValueError, match="mixes source versions"):
+    with pytest.raises(ValueError, match="stored in several versions"):
         run_load(spark, tmp_path / "a", tmp_path / "tables")
 
 
@@ -347,6 +379,22 @@ def test_stream_loads_arrivals_and_skips_outdated_ones(spark, tmp_path):
     }
 
 
+def test_a_conflict_is_set_aside_and_the_rest_of_its_batch_loads(spark, tmp_path):
+    root, tables = tmp_path / "landing", tmp_path / "tables"
+    dims, codes = countries(spark, DIMS), hs_codes(spark, [("H4", CMD), ("H5", CMD)])
+    first_batch(root)
+    run_load(spark, root, tables)
+    land(root, [record(156, 999, hs="H5")])
+    land(root, [record(156, 70, 156, hs="H5")], revision=2)
+    files = [str(p) for p in root.rglob("manifest.json") if "hs_version=H5" in str(p)]
+    batch = spark.createDataFrame([("file:" + f, open(f).read()) for f in files], "manifest_file string, value string")
+    for _ in range(2):  # as after a failure behind the writes
+        load_batch(batch, str(tables), dims, codes, PARAMS, number=4)
+        assert stored(spark, tables) == {("842", "156", 100.0, 1), ("842", "410", 200.0, 1), ("156", "156", 70.0, 2)}
+        refused = spark.read.json(str(tables / "rejected")).collect()
+        assert [(r.reasons, r.batch) for r in refused] == [(["conflict"], 4)]
+
+
 def marts(spark):
     detail = [
         {"month": m, "partner": p, "value": v, "cmd": CMD, "hs": "H4"}
@@ -397,7 +445,7 @@ def test_snapshot_round_trip_and_damage(spark, tmp_path):
         (lambda m, p: (m, p.withColumn("reporter_code", F.lit("156"))), "outside the monthly range"),
         (
             lambda m, p: (m.withColumns({"has_world": F.lit(False), "has_countries": F.lit(False)}), p),
-            "entirely empty",
+            "no month has data",
         ),
     ],
 )
