@@ -30,9 +30,20 @@ RUN = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: which can begin a contraction, the pattern always splits as well.
 PLAIN, MARK = "0-9A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f", r"!-&(-/:-@\[-`{-~"
 INNER = re.compile(f"(?<=[{PLAIN}])(?=[{MARK}])|(?<=[{MARK}])(?=[{PLAIN}])")
+#: What the pattern makes one word of, certainly.
+WORD = re.compile(" ?[A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f]+")
+#: White space other than single spaces and line ends between other characters.
+UNEVEN = re.compile(f"[{SPACE}](?:[{SPACE}]|$)|^ |[^\\S \\n]")
 REMEMBERED = 64
 
 
+def byte_symbols() -> dict[int, str]:
+    """The public byte-level convention: printable bytes stand for themselves, others for 256 and up."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, whose results for parts are remembered.
 
@@ -49,20 +60,42 @@ class Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.parts = Memo(self._ids, 900_000)
-        self.runs = Memo(self._run, 300_000)
+        self.model, self.symbols = self.tokenizer.model, byte_symbols()
+        self.parts = Memo(self._part, 900_000)
+        self.runs = Memo(self._run, 200_000)
+        self.spaced = Memo(lambda word: self._run(" " + word), 300_000)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _part(self, part: str) -> bytes:
+        if WORD.fullmatch(part):  # one word for the pattern: straight to the library's merges
+            shown = part.encode().decode("latin-1").translate(self.symbols)
+            return np.array([t.id for t in self.model.tokenize(shown)], self.kind).tobytes()
+        return self._ids(part)
+
     def _run(self, run: str) -> bytes:
         parts = self.parts
-        return b"".join([parts[p] if len(p) <= REMEMBERED else self._ids(p) for p in INNER.split(run)])
+        return b"".join([parts[p] if len(p) <= REMEMBERED else self._part(p) for p in INNER.split(run)])
 
     def encode(self, text: str) -> bytes:
         if any(a in text for a in self.added):
             return self._ids(text)
-        found, runs = RUN.findall(text), self.runs
+        runs = self.runs
+        if not UNEVEN.search(text):
+            out, spaced = [], self.spaced
+            for k, line in enumerate(text.split("\n")):
+                if k:
+                    out.append(runs["\n"])
+                words = line.split(" ")
+                if len(line) > 5_000 and max(map(len, words)) > REMEMBERED:
+                    out += [runs[r] if len(r) <= REMEMBERED else self._run(r) for r in RUN.findall(line)]
+                    continue
+                if words[0]:
+                    out.append(runs[words[0]])
+                out += map(spaced.__getitem__, words[1:])
+            return b"".join(out)
+        found = RUN.findall(text)
         if found and max(map(len, found)) > REMEMBERED:
             return b"".join([runs[r] if len(r) <= REMEMBERED else self._run(r) for r in found])
         return b"".join(map(runs.__getitem__, found))
