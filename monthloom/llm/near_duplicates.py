@@ -2,15 +2,18 @@
 
 Every tree starts with all distinct sets in its root. A node picks some of the minwise tokens
 (by a hash of the node) and sends each set to the children its own tokens name, so sets
-that are alike stay together and the rest parts. Nodes are handled by size:
-
-* in each root child, every set is compared with the smallest id in it: a number of pairs
-  that is linear in the rows, and enough to join a group of copies of any size;
-* nodes whose sets are not all joined by then are compared exhaustively once they are small;
-  larger ones branch again, and what is left at the last depth is compared block by block.
-
-Pairs with alike sketches are confirmed on full sets. Trees are independent: a pair at the
-threshold is missed in the root children with a chance of 0.25 ** (TREES * FANOUT).
+that are alike stay together and the rest parts.
+
+* In each root child, every set is paired with the smallest id in it: a number of pairs
+  linear in the rows. Pairs with alike sketches are confirmed on full sets; that alone joins
+  most of a group of copies of any size.
+* Sets that resemble the same smallest id are a family. In it, whoever is not yet joined to
+  the largest part is compared with everyone on full sets, block by block.
+* What other nodes still hold apart is compared exhaustively where nodes are small, branches
+  again where they are not, and is compared block by block at the last depth.
+
+Trees are independent: a pair at the threshold misses all root children with a chance of
+0.25 ** (TREES * FANOUT).
 """
 
 from __future__ import annotations
@@ -26,13 +29,17 @@ from monthloom.llm.common import Memo, components, in_arrow, saved
 WORDS = 5
 #: Least similarity of linked sets, in hundredths.
 PERCENT = 75
-TREES, FANOUT, DEPTH = 12, 2, 7
+TREES, FANOUT, DEPTH = 12, 2, 5
 #: Minwise tokens of a sketch, a byte each.
 TOKENS = 128
-#: Sketches that agree in a smaller share are not confirmed: 4 standard deviations below PERCENT.
-LEAST_AGREEMENT = 0.60
+#: Sketches that agree in a smaller share are not confirmed: 3.4 standard deviations below PERCENT.
+LEAST_AGREEMENT = 0.62
+#: Sets whose sketch agrees that much with that of the smallest id are of its family.
+RESEMBLES = 0.35
 #: Sets of a node that is compared exhaustively.
 SMALL = 64
+#: Sets of a family that are compared in one place.
+BLOCK = 256
 
 _RANDOM = np.random.default_rng(20240501)
 MULTIPLIERS = _RANDOM.integers(1, 1 << 63, TOKENS + TREES * FANOUT, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -87,11 +94,11 @@ def _signatures(batches):
         )
 
 
-def _alike(batches):
+def _agreement(batches):
     for batch in batches:
         a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, TOKENS) for k in (2, 3))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
-            pa.array((a == b).mean(axis=1) >= LEAST_AGREEMENT)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array((a == b).mean(axis=1), pa.float64())], names=["a", "b", "agreement"]
         )
 
 
@@ -109,62 +116,126 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sketches and then full sets are similar, as a saved table."""
+def resembling(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """(a, b, agreement) of the pairs whose sketches agree enough, as a saved table."""
     sketch = classes.select("cid", "sketch")
-    likely = (
+    both = (
         pairs.join(sketch.select(F.col("cid").alias("a"), F.col("sketch").alias("sa")), "a")
         .join(sketch.select(F.col("cid").alias("b"), F.col("sketch").alias("sb")), "b")
         .select("a", "b", "sa", "sb")
     )
-    likely = saved(in_arrow(likely, _alike, "a long, b long"))
-    wanted = likely.select(F.col("a").alias("cid")).union(likely.select("b")).distinct().join(classes.select("cid", "set1"), "cid")
-    texts = (
-        documents.select(F.col("doc_id").cast("long").alias("cid"), F.col("text").cast("binary").alias("text"))
-        .join(wanted, "cid")
-        .dropDuplicates(["cid"])
-    )
-    texts = saved(texts.select("cid", "text"))
+    return saved(in_arrow(both, _agreement, "a long, b long, agreement double").filter(F.col("agreement") >= least))
+
+
+def texts_of(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+    """(cid, text) of every set in ``pairs``, as a saved table; several of a doc_id if it has them."""
+    wanted = saved(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
+    texts = documents.select(F.col("doc_id").cast("long").alias("cid"), F.col("text").cast("binary").alias("text"))
+    return saved(texts.join(wanted, "cid", "left_semi").dropDuplicates(["cid", "text"]))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` whose full sets are similar, as a saved table."""
     both = (
-        likely.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
+        pairs.select("a", "b")
+        .join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
         .join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
         .select("a", "b", "ta", "tb")
     )
     return saved(in_arrow(both, _confirm, "a long, b long"))
 
 
+def _across(batches):
+    """Links on full sets that join parts of a block; of several that join the same, the first.
+
+    Sets outside the largest part are compared with all others of the block.
+    """
+    for batch in batches:
+        left, right = [], []
+        for members in batch.column(0).to_pylist():
+            ids, root = [m["cid"] for m in members], {}
+
+            def find(x, root=root):
+                while root.setdefault(x, x) != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            sets = [shingles(m["text"]) for m in members]
+            sizes = np.array([len(x) for x in sets])
+            owner, values = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+            for k, m in enumerate(members):
+                if not m["outside"]:
+                    continue
+                common = np.bincount(owner[np.isin(values, sets[k])], minlength=len(sets))
+                for j in np.flatnonzero(100 * common >= PERCENT * (sizes + sizes[k] - common)).tolist():
+                    x, y = find(m["part"]), find(members[j]["part"])
+                    if x != y:
+                        root[x] = y
+                        left.append(min(ids[k], ids[j]))
+                        right.append(max(ids[k], ids[j]))
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+
+def family_links(families: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links across the parts of each family (a, b: smallest id and member), as a saved table.
+
+    Sets of the largest part stay in one block each; the others visit every block.
+    """
+    members = (
+        families.select("a", F.col("b").alias("cid")).union(families.select("a", "a")).distinct()
+        .join(parts, "cid", "left").select("a", "cid", F.coalesce("component", "cid").alias("part"))
+    )
+    counted = members.groupBy("a", "part").agg(F.count("*").alias("n"))
+    shape = counted.groupBy("a").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("largest"))
+    apart = shape.filter("largest.n < n").select("a", F.col("largest.part").alias("main"), F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    placed = (
+        members.join(apart, "a")
+        .withColumn("outside", F.col("part") != F.col("main"))
+        .withColumn("block", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(own))))
+    )
+    gathered = placed.join(texts, "cid").groupBy("a", "block").agg(F.collect_list(F.struct("cid", "part", "outside", "text")).alias("members"))
+    return saved(in_arrow(gathered.select("members"), _across, "a long, b long"))
+
+
 def _children(depth):
     def run(batches):
         for batch in batches:
-            nodes, ids, parts, sketches = (batch.column(k).to_pylist() for k in range(4))
+            nodes, ids, parts, families, sketches = (batch.column(k).to_pylist() for k in range(5))
             value = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, TOKENS)
             node = np.array(nodes, np.int64).view(np.uint64)
             out = []
             with np.errstate(over="ignore"):
-                for branch in range(FANOUT):
+                for branch in range(2):
                     chosen = mixed(node * STEP[branch] + np.uint64(depth))
+                    # The second token is picked by every third node: 4/3 children, one over the threshold.
+                    rows = np.flatnonzero(chosen % np.uint64(3) == 0) if branch else np.arange(len(node))
                     token = (chosen >> np.uint64(40)) % np.uint64(TOKENS)
-                    byte = value[np.arange(len(node)), token.astype(np.int64)]
-                    out.append(mixed(chosen + STEP[2] * (byte.astype(np.uint64) + np.uint64(1))).view(np.int64))
+                    byte = value[rows, token[rows].astype(np.int64)]
+                    child = mixed(chosen[rows] + STEP[2] * (byte.astype(np.uint64) + np.uint64(1))).view(np.int64)
+                    out.append((child, rows))
+            rows = np.concatenate([r for _, r in out]).tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out)), pa.array(ids * FANOUT, pa.int64()), pa.array(parts * FANOUT, pa.int64()), pa.array(sketches * FANOUT, pa.binary())],
-                names=["node", "cid", "part", "sketch"],
-            )
+                [pa.array(np.concatenate([c for c, _ in out])), *(pa.array([x[r] for r in rows], pa.int64()) for x in (ids, parts, families)),
+                 pa.array([sketches[r] for r in rows], pa.binary())],
+                names=["node", "cid", "part", "family", "sketch"],
+            )
 
     return run
 
 
 def _exhaustive(batches):
-    """Pairs of alike sketches and different parts inside each node; of two blocks, across them."""
+    """Pairs of alike sketches, different parts and families inside each node; of two blocks, across them."""
     for batch in batches:
         left, right = [], []
         for members in batch.column(0).to_pylist():
             value = np.frombuffer(b"".join(m["sketch"] for m in members), np.uint8).reshape(-1, TOKENS)
             ids, part = np.array([m["cid"] for m in members]), np.array([m["part"] for m in members])
-            side = np.array([m["side"] for m in members])
+            family, side = np.array([m["family"] for m in members]), np.array([m["side"] for m in members])
             across = side.min() != side.max()
             for k in range(len(members)):
-                ok = (part[k + 1 :] != part[k]) & ((side[k + 1 :] != side[k]) if across else True)
+                ok = (part[k + 1 :] != part[k]) & (family[k + 1 :] != family[k]) & ((side[k + 1 :] != side[k]) if across else True)
                 rest = np.flatnonzero(ok) + k + 1
                 rest = rest[(value[rest] == value[k]).mean(axis=1) >= LEAST_AGREEMENT] if len(rest) else rest
                 left += np.minimum(ids[rest], ids[k]).tolist()
@@ -174,18 +245,26 @@ def _exhaustive(batches):
 
 def _pairs_within(rows: DataFrame, *keys: str) -> DataFrame:
     """Exhaustive pairs of nodes of bounded size."""
-    gathered = rows.groupBy(*keys).agg(F.collect_list(F.struct("cid", "part", "sketch", "side")).alias("members"))
+    gathered = rows.groupBy(*keys).agg(F.collect_list(F.struct("cid", "part", "family", "sketch", "side")).alias("members"))
     return in_arrow(gathered.select("members"), _exhaustive, "a long, b long")
 
 
+#: Holds for nodes with several parts and several families, of ``_spread``.
+APART = "p0 < p1 and f0 < f1"
+
+
+def _spread():
+    return [f(c).alias(f"{c[0]}{k}") for c in ("part", "family") for k, f in enumerate((F.min, F.max))]
+
+
 def _branching(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) to confirm from nodes (node, cid, part, sketch) whose sets are not all joined."""
+    """Pairs (a, b) to confirm from nodes (node, cid, part, family, sketch) that hold sets apart."""
     found = None
     for depth in range(DEPTH + 1):
         sizes = (
             nodes.groupBy("node")
-            .agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
-            .filter("n > 1 and low < high")
+            .agg(F.count("*").alias("n"), *_spread())
+            .filter(APART)
             .select("node", "n")
         )
         nodes = saved(nodes.join(sizes, "node").withColumn("side", F.lit(0)))
@@ -208,7 +287,7 @@ def _branching(nodes: DataFrame) -> DataFrame:
         found = pairs if found is None else found.union(pairs)
         if last:
             return found.distinct()
-        nodes = in_arrow(large.select("node", "cid", "part", "sketch"), _children(depth), "node long, cid long, part long, sketch binary")
+        nodes = in_arrow(large.select("node", "cid", "part", "family", "sketch"), _children(depth), "node long, cid long, part long, family long, sketch binary")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -242,16 +321,21 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     nodes = placed.groupBy("node").agg(F.count("*").alias("n"), F.min("cid").alias("pivot")).filter("n > 1")
     members = saved(placed.join(nodes, "node"))
     stars = members.filter("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
-    links = confirmed(stars, classes, documents)
-    joined = saved(components(links))
-    parts = joined.select(F.col("id").alias("cid"), F.col("component"))
+    stars = resembling(stars, classes, RESEMBLES)
+    families = stars.groupBy("b").agg(F.min("a").alias("a"))
+    texts = texts_of(stars, source)
+    links = confirmed(stars.filter(F.col("agreement") >= LEAST_AGREEMENT), texts)
+    parts = saved(components(links)).select(F.col("id").alias("cid"), "component")
+    links = links.union(family_links(families, parts, texts))
     open_ = (
         members.filter("n > 2").select("node", "cid").join(parts, "cid", "left")
-        .select("node", "cid", F.coalesce("component", "cid").alias("part"))
+        .join(families.select(F.col("b").alias("cid"), F.col("a").alias("family")), "cid", "left")
+        .select("node", "cid", F.coalesce("component", "cid").alias("part"), F.coalesce("family", "cid").alias("family"))
     )
-    mixed_nodes = open_.groupBy("node").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("node")
-    rows = open_.join(mixed_nodes, "node", "left_semi").join(classes.select("cid", "sketch"), "cid").select("node", "cid", "part", "sketch")
-    more = confirmed(_branching(rows), classes, documents)
+    apart = open_.groupBy("node").agg(*_spread()).filter(APART).select("node")
+    rows = open_.join(apart, "node", "left_semi").join(classes.select("cid", "sketch"), "cid")
+    pairs = resembling(_branching(rows.select("node", "cid", "part", "family", "sketch")), classes, LEAST_AGREEMENT)
+    more = confirmed(pairs, texts_of(pairs, source))
     final = components(links.union(more).union(signed_ids(filled, names)))
     of = names.join(final.select(F.col("id").alias("cid"), "component"), "cid", "left").select(
         "set1", "set2", F.coalesce("component", "cid").alias("component_id")
