@@ -1,13 +1,15 @@
 """Registered queries over the star tables, each with its SQL counterpart."""
 
-from monthloom.catalog import explore, landing, loading, marts, quality, scalars, steps
+from monthloom.catalog import explore, files, landing, lines, loading, marts, quality, scalars, steps
 from monthloom.catalog.registry import ORACLES, QUERIES
 
 __all__ = [
     "ORACLES",
     "QUERIES",
     "explore",
+    "files",
     "landing",
+    "lines",
     "loading",
     "marts",
     "quality",

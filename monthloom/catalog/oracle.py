@@ -233,3 +233,25 @@ def with_tables(sql: str) -> str:
     joiner = ",\n" if body.upper().startswith("WITH ") else "\n"
     rest = body[5:] if joiner == ",\n" else body
     return "WITH " + ",\n".join(parts) + joiner + rest
+
+
+# Partners and products of the panel by line, in the first tables of the chain.
+BY_LINE = (
+    ("p_type AS cmd, CAST", "CAST(p_partkey AS VARCHAR) AS cmd, CAST"),
+    ("p_type AS cmd,", "CAST(p_partkey AS VARCHAR) AS cmd,"),
+    ("CAST(s_nationkey AS VARCHAR)", "CAST(s_suppkey AS VARCHAR)"),
+    ("DISTINCT p_type AS cmd", "DISTINCT CAST(p_partkey AS VARCHAR) AS cmd"),
+    ("n_name AS name", "'Supplier ' || s_suppkey AS name"),
+    ("FROM nation)", "FROM supplier)"),
+)
+
+
+def by_line(sql: str) -> str:
+    """The same SQL with suppliers as partners and parts as products."""
+    for old, new in BY_LINE:
+        sql = sql.replace(old, new)
+    head, mark, rest = sql.partition("t_country AS MATERIALIZED (")
+    if mark:
+        body, end, after = rest.partition("FROM supplier)")
+        rest = body.replace("n_nationkey", "CAST(s_suppkey AS INTEGER)") + end + after
+    return head + mark + rest

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthloom.catalog.oracle import with_tables
+from monthloom.catalog.oracle import by_line, with_tables
 from monthloom.operators.dimensions import dim_countries
 from monthloom.params import Params
 from monthloom.plans.multi_market import MultiMarket
@@ -26,6 +26,7 @@ STAR = Params(start=START, end=END, products=TYPES, reporters=REGIONS)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+FUNCTIONS: dict[str, tuple] = {}
 
 
 def pinned(frame: DataFrame) -> DataFrame:
@@ -39,12 +40,12 @@ def pinned(frame: DataFrame) -> DataFrame:
 class Tables:
     """The panel of one data folder and the marts built on it, made when asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, by_line: bool = False) -> None:
+        self.spark, self.folder, self.by_line = spark, folder, by_line
 
     @cached_property
     def panel(self) -> Panel:
-        return Panel(self.spark, self.folder)
+        return Panel(self.spark, self.folder, self.by_line)
 
     @cached_property
     def countries(self) -> DataFrame:
@@ -92,6 +93,7 @@ def query(name: str, sql: str | None = None):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             return report(function(Tables(spark, folder)))
 
+        FUNCTIONS[name] = function, sql
         run.__name__ = name
         run.__doc__ = function.__doc__
         QUERIES[name] = run
@@ -100,3 +102,16 @@ def query(name: str, sql: str | None = None):
         return function
 
     return register
+
+
+def also_by_line(name: str) -> None:
+    """Register the query ``name`` once more, as ``line_<name>``, on the panel by line."""
+    function, sql = FUNCTIONS[name]
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return report(function(Tables(spark, folder, by_line=True)))
+
+    run.__name__ = f"line_{name}"
+    run.__doc__ = function.__doc__
+    QUERIES[run.__name__] = run
+    ORACLES[run.__name__] = by_line(with_tables(sql))

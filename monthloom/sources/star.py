@@ -55,14 +55,17 @@ def two_digits(total: Column) -> Column:
     return (total.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(38,9)")
 
 
-def star_cells(spark: SparkSession, folder: str) -> DataFrame:
+def star_cells(spark: SparkSession, folder: str, by_line: bool = False) -> DataFrame:
     """One row per month, reporter, partner, product and revision.
 
+    ``by_line`` takes the supplier itself as partner and the part as product: about one
+    row per line, so the panel grows with the table.
+
     No join carries a broadcast hint: Spark broadcasts a side only below its size
     threshold and sorts and merges otherwise, where it also splits skewed keys.
     Orders meet customers before the lines do, so the widest input is shuffled with
     two narrow columns attached instead of the customer row. The sums combine on
-    the map side; what is left is bounded by the codes, not by the line count.
+    the map side; unless ``by_line``, what is left is bounded by the codes.
     """
     nation = read(spark, folder, "nation")
     region = read(spark, folder, "region")
@@ -77,9 +80,11 @@ def star_cells(spark: SparkSession, folder: str) -> DataFrame:
         .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "reporter_code", F.col("o_orderdate").alias("ordered_at"))
     )
-    parts = read(spark, folder, "part").select("p_partkey", F.col("p_type").alias("cmd_code"))
+    product = F.col("p_partkey").cast("string") if by_line else F.col("p_type")
+    partner = F.col("s_suppkey") if by_line else F.col("s_nationkey")
+    parts = read(spark, folder, "part").select("p_partkey", product.alias("cmd_code"))
     sellers = read(spark, folder, "supplier").select(
-        "s_suppkey", F.col("s_nationkey").cast("string").alias("partner_code")
+        "s_suppkey", partner.cast("string").alias("partner_code")
     )
     weighed = F.when(F.col("l_linenumber") != 7, F.col("l_quantity"))
     return (
@@ -136,13 +141,18 @@ def star_detail(cells: DataFrame) -> DataFrame:
     return typed(stamped, RAW_SCHEMA)
 
 
-def star_countries(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("n_nationkey")
+def star_countries(spark: SparkSession, folder: str, by_line: bool = False) -> DataFrame:
+    if by_line:  # suppliers are numbered from 1, so none has the world code
+        name = F.concat(F.lit("Supplier "), F.col("s_suppkey").cast("string"))
+        partners = read(spark, folder, "supplier").select("s_suppkey", name.alias("n_name"))
+        key = F.col("s_suppkey").cast("int")
+    else:
+        partners, key = read(spark, folder, "nation"), F.col("n_nationkey")
     iso3 = F.concat(F.lit("Q"), F.format_string("%s%s", _letter(key, 26), _letter(key, 1)))
     special, group, unsure = key % 8 == 0, key % 8 == 1, key % 11 == 10
     kind = F.when(special, "special").when(group, "group").otherwise("country")
     mapped = F.when(key % 7 == 0, F.lit("")).otherwise(iso3)
-    shaped = read(spark, folder, "nation").select(
+    shaped = partners.select(
         key.cast("string").alias("partner_code"),
         F.col("n_name").alias("source_name"),
         F.lit("").alias("source_note"),
@@ -166,9 +176,10 @@ def _letter(key, divisor: int):
     return F.chr(F.floor(key / divisor).cast("long") % 26 + 65)
 
 
-def star_hs_codes(spark: SparkSession, folder: str) -> DataFrame:
-    """Every part type in editions H4 and H6; only some of them in H5."""
-    types = read(spark, folder, "part").select(F.col("p_type").alias("cmd_code")).distinct()
+def star_hs_codes(spark: SparkSession, folder: str, by_line: bool = False) -> DataFrame:
+    """Every product in editions H4 and H6; only some of them in H5."""
+    product = F.col("p_partkey").cast("string") if by_line else F.col("p_type")
+    types = read(spark, folder, "part").select(product.alias("cmd_code")).distinct()
     editions = types.withColumn("hs_version", F.explode(F.array(*map(F.lit, ("H4", "H5", "H6")))))
     listed = (F.col("hs_version") != "H5") | (F.length("cmd_code") % 2 == 0)
     shaped = editions.where(listed).select(
@@ -218,24 +229,26 @@ class Panel:
 
     Several branches of a plan read the detail rows, so they are persisted. Their
     number is bounded by months x regions x types x nations x 3 revisions, however
-    many lines were read; lost blocks are rebuilt from the tables.
+    many lines were read; lost blocks are rebuilt from the tables. A panel ``by_line`` has
+    about as many rows as there are lines and is not kept.
     """
 
     spark: SparkSession
     folder: str
+    by_line: bool = False
 
     @cached_property
     def detail(self) -> DataFrame:
-        rows = star_detail(star_cells(self.spark, self.folder))
-        return rows.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = star_detail(star_cells(self.spark, self.folder, self.by_line))
+        return rows if self.by_line else rows.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def countries(self) -> DataFrame:
-        return star_countries(self.spark, self.folder)
+        return star_countries(self.spark, self.folder, self.by_line)
 
     @cached_property
     def hs_codes(self) -> DataFrame:
-        return star_hs_codes(self.spark, self.folder)
+        return star_hs_codes(self.spark, self.folder, self.by_line)
 
     @cached_property
     def world(self) -> DataFrame:
