@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -281,9 +281,11 @@ def publish_snapshot(
     manifest = snapshot_manifest(metadata, snapshot_id, params, markets, products)
     manifest.write.json(f"{folder}/manifest")
     verify_version(spark, folder, params, contents_only=True)
+    verify_identity(spark, folder, snapshot_id, params, markets, products)
     pointer = spark.range(1, numPartitions=1).select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         F.lit(snapshot_id).alias("snapshot_id"),
+        F.lit(manifest_hash(spark, folder)).alias("manifest_sha256"),
         F.current_timestamp().alias("published_at"),
     )
     pointer.write.mode("append").json(f"{output}/pointers")
@@ -294,14 +296,56 @@ def snapshot_folder(output: str, snapshot_id: str) -> str:
     return f"{output}/snapshots/{snapshot_id}"
 
 
-def current_snapshot(spark: SparkSession, output: str) -> str | None:
-    """Id of the version published last."""
+def current_pointer(spark: SparkSession, output: str) -> Row | None:
+    """The pointer written last: schema version, id and manifest hash."""
     path = f"{output}/pointers"
     if not path_exists(spark, path):
         return None
-    schema = "schema_version string, snapshot_id string, published_at timestamp"
+    schema = "schema_version string, snapshot_id string, manifest_sha256 string, published_at timestamp"
     pointers = spark.read.schema(schema).json(path)
-    return pointers.agg(F.max_by("snapshot_id", F.struct("published_at", "snapshot_id"))).first()[0]
+    last = pointers.agg(F.max(F.struct("published_at", *pointers.columns[:3])).alias("last"))
+    return last.first()["last"]
+
+
+def current_snapshot(spark: SparkSession, output: str) -> str | None:
+    """Id of the version published last."""
+    pointer = current_pointer(spark, output)
+    return pointer and pointer["snapshot_id"]
+
+
+def manifest_hash(spark: SparkSession, folder: str) -> str:
+    """SHA-256 over the manifest, which is one line."""
+    lines = spark.read.text(f"{folder}/manifest").select(F.sha2("value", 256)).collect()
+    if len(lines) != 1:
+        raise ValueError(f"{len(lines)} lines in the manifest")
+    return lines[0][0]
+
+
+def verify_identity(
+    spark: SparkSession,
+    folder: str,
+    snapshot_id: str,
+    params: Params,
+    markets: dict[str, str] = MARKETS,
+    products: dict[str, str] = PRODUCTS,
+) -> None:
+    """The manifest names this version, this schema and the markets and products asked for."""
+    found = spark.read.json(f"{folder}/manifest").first()
+    expected = {
+        "schema_version": SCHEMA_VERSION,
+        "snapshot_id": snapshot_id,
+        "currency": "USD",
+        "decimal_encoding": "string",
+        "hhi_coverage_tolerance": str(params.tolerance),
+    }
+    wrong = [name for name, value in expected.items() if found is None or found[name] != value]
+    if found is not None:
+        if [(m["reporter_code"], m["name"]) for m in found["markets"]] != list(markets.items()):
+            wrong.append("markets")
+        if [(p["cmd_code"], p["name"]) for p in found["products"]] != list(products.items()):
+            wrong.append("products")
+    if wrong:
+        raise ValueError(f"manifest fields differ: {', '.join(wrong)}")
 
 
 def read_snapshot(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -320,10 +364,10 @@ def verify_version(
     """
     checks = {}
     for name in ("monthly", "partners"):
-        schema = "file string, bytes bigint, sha256 string"
+        schema = "file string, bytes bigint, rows bigint, sha256 string"
         wanted = spark.read.schema(schema).json(f"{folder}/files/{name}")
         found = file_index(spark, f"{folder}/{name}")
-        changed = symmetric_difference(wanted, found, ["file", "bytes", "sha256"])
+        changed = symmetric_difference(wanted, found, ["file", "bytes", "rows", "sha256"])
         checks[f"{name} checksum mismatch"] = changed
     require_none(checks)
     wire_monthly, wire_partners = read_snapshot(spark, folder)
@@ -339,11 +383,24 @@ def verify_version(
         raise ValueError("manifest metadata differs from data")
 
 
-def verify_snapshot(spark: SparkSession, output: str, params: Params) -> str:
-    snapshot_id = current_snapshot(spark, output)
-    if snapshot_id is None:
+def verify_snapshot(
+    spark: SparkSession,
+    output: str,
+    params: Params,
+    markets: dict[str, str] = MARKETS,
+    products: dict[str, str] = PRODUCTS,
+) -> str:
+    pointer = current_pointer(spark, output)
+    if pointer is None:
         raise ValueError("nothing is published")
-    verify_version(spark, snapshot_folder(output, snapshot_id), params)
+    snapshot_id = pointer["snapshot_id"]
+    folder = snapshot_folder(output, snapshot_id)
+    if pointer["schema_version"] != SCHEMA_VERSION:
+        raise ValueError("pointer of another schema version")
+    if manifest_hash(spark, folder) != pointer["manifest_sha256"]:
+        raise ValueError("manifest is not the published one")
+    verify_identity(spark, folder, snapshot_id, params, markets, products)
+    verify_version(spark, folder, params)
     return snapshot_id
 
 

@@ -57,19 +57,23 @@ def scan_documents(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def file_index(spark: SparkSession, path: str) -> DataFrame:
-    """Relative name, bytes and SHA-256 of each data file below ``path``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    read = files.option("pathGlobFilter", "*.json.gz").load(path)
-    name = F.concat_ws(
-        "/",
-        F.nullif(F.regexp_extract("path", r"/(reporter_code=[^/]+)/[^/]+$", 1), F.lit("")),
-        F.regexp_extract("path", r"([^/]+)$", 1),
-    )
-    return read.select(
-        name.alias("file"),
+    """Relative name, bytes, rows and SHA-256 of each data file below ``path``."""
+
+    def name(file: Column) -> Column:
+        market = F.nullif(F.regexp_extract(file, r"/(reporter_code=[^/]+)/[^/]+$", 1), F.lit(""))
+        return F.concat_ws("/", market, F.regexp_extract(file, r"([^/]+)$", 1)).alias("file")
+
+    options = {"recursiveFileLookup": True, "pathGlobFilter": "*.json.gz"}
+    hashed = spark.read.format("binaryFile").options(**options).load(path).select(
+        name(F.col("path")),
         F.col("length").alias("bytes"),
         namespaced_sha256(F.col("content")).alias("sha256"),
     )
+    # A damaged file is told by its hash; here it only loses rows.
+    lines = spark.read.options(**options).option("ignoreCorruptFiles", True).text(path)
+    counted = lines.groupBy(name(F.col("_metadata.file_path"))).agg(F.count("*").alias("rows"))
+    joined = hashed.join(counted, "file", "left")
+    return joined.select("file", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"), "sha256")
 
 
 def write_csv(frame: DataFrame, path: str) -> None:

@@ -425,6 +425,21 @@ def test_snapshot_round_trip_and_damage(spark, tmp_path):
     manifest = spark.read.json(f"{folder}/manifest").first()
     assert (manifest.valid_detail_count, manifest.positive_amount_count) == (4, 2)
     assert manifest.latest_data_month == "2016-03-01" and len(manifest.markets) == 10
+    index = spark.read.json(f"{folder}/files/partners").agg(F.sum("rows")).first()[0]
+    assert index == partners.count()
+    held = next((tmp_path / f"out/snapshots/{snapshot}/manifest").glob("part-*.json"))
+    (held.parent / f".{held.name}.crc").unlink()
+    sound = held.read_text()
+    for field in ("schema_version", "snapshot_id", "currency", "hhi_coverage_tolerance", "markets", "products"):
+        content = json.loads(sound)
+        content[field] = content[field][:-1]
+        held.write_text(json.dumps(content) + "\n")
+        with pytest.raises(ValueError, match="not the published one"):
+            publish.verify_snapshot(spark, out, PARAMS)
+        with pytest.raises(ValueError, match=f"differ: {field}"):
+            publish.verify_identity(spark, folder, snapshot, PARAMS)
+    held.write_text(sound)
+    publish.verify_snapshot(spark, out, PARAMS)
     part = next((tmp_path / f"out/snapshots/{snapshot}/partners").rglob("*.json.gz"))
     # Hadoop's own sidecar would complain first.
     (part.parent / f".{part.name}.crc").unlink()
