@@ -61,9 +61,9 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.model, self.symbols = self.tokenizer.model, byte_symbols()
-        self.parts = Memo(self._part, 900_000)
-        self.runs = Memo(self._run, 200_000)
-        self.spaced = Memo(lambda word: self._run(" " + word), 300_000)
+        self.parts = Memo(self._part, 600_000)
+        self.runs = Memo(self._run, 100_000)
+        self.spaced = Memo(lambda word: self._run(" " + word), 250_000)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
