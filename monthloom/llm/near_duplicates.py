@@ -36,9 +36,9 @@ TOKENS = 128
 LEAST_AGREEMENT = 0.62
 #: Sets whose sketch agrees that much with that of the smallest id are of its family.
 RESEMBLES = 0.35
-#: Sets of a node that is compared exhaustively.
+#: Sets outside the largest family of a node that is compared exhaustively.
 SMALL = 64
-#: Sets of a family that are compared in one place.
+#: Sets of a family or a node's largest family that are compared in one place.
 BLOCK = 256
 
 _RANDOM = np.random.default_rng(20240501)
@@ -261,15 +261,26 @@ def _branching(nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) to confirm from nodes (node, cid, part, family, sketch) that hold sets apart."""
     found = None
     for depth in range(DEPTH + 1):
+        by_family = nodes.groupBy("node", "family").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
         sizes = (
-            nodes.groupBy("node")
-            .agg(F.count("*").alias("n"), *_spread())
-            .filter(APART)
-            .select("node", "n")
-        )
+            by_family.groupBy("node")
+            .agg(
+                F.sum("n").alias("n"), F.max(F.struct("n", "family")).alias("largest"), F.min("low").alias("p0"),
+                F.max("high").alias("p1"), F.min("family").alias("f0"), F.max("family").alias("f1"),
+            )
+            .filter(f"n > 1 and {APART}")
+            .select("node", "n", (F.col("n") - F.col("largest.n")).alias("outside"), F.col("largest.family").alias("main"))
+        )
         nodes = saved(nodes.join(sizes, "node").withColumn("side", F.lit(0)))
-        pairs = _pairs_within(nodes.filter(F.col("n") <= SMALL), "node")
-        large = nodes.filter(F.col("n") > SMALL)
+        # Few sets outside the largest family meet all others, in blocks of the rest.
+        blocks = F.ceil(F.col("n") / BLOCK)
+        own = F.array(F.pmod(F.xxhash64("cid"), blocks))
+        every = F.sequence(F.lit(0).cast("long"), blocks - 1)
+        small = nodes.filter(F.col("outside") <= SMALL).withColumn(
+            "block", F.explode(F.when(F.col("family") == F.col("main"), own).otherwise(every))
+        )
+        pairs = _pairs_within(small, "node", "block")
+        large = nodes.filter(F.col("outside") > SMALL)
         last = depth == DEPTH or large.isEmpty()
         if last:
             # Blocks of SMALL / 2 sets meet two by two.
