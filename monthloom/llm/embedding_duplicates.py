@@ -1,11 +1,13 @@
 """Near duplicates of embeddings by NN-descent.
 
 Distinct vectors get neighbour lists from leaves of random-hyperplane trees; rounds of
-neighbours-of-neighbours joins refine them. Neighbours at the threshold are links, their
-components are where saturated lists are enlarged: inside a component all vectors are
-compared, in blocks that emit counts and no pairs, so a list of any length is complete. A
-fixed number of query vectors compared with all rows audits the recall; too low, everything
-is done again with longer lists and more trees.
+neighbours-of-neighbours joins refine them. Neighbours at the threshold are links and make
+components. A list full of such neighbours is saturated, it may hide links: saturated vectors
+search again for neighbours outside their component, until such a search finds no link. Each
+search at least halves the number of components that others join, so a list is continued as far
+as it takes without getting long. Then all vectors of a component are compared, in blocks that
+emit counts and no pairs. A fixed number of query vectors compared with all rows audits the
+recall; too low, everything is done again with longer lists and more trees.
 """
 
 from __future__ import annotations
@@ -70,7 +72,7 @@ def _leaves(bits: int, trees: range):
                     planes[len(x)] = np.random.default_rng(len(x) + 7919 * trees.start).standard_normal((len(trees) * bits, len(x)), np.float32)
                 side = (planes[len(x)] @ x > 0).reshape(len(trees), bits)
                 keys.append([(len(x) << 40) + int.from_bytes(xxhash.xxh3_64_digest(bytes([t % 251]) + row.tobytes())[:5], "little") if bits else (len(x) << 40) + t for t, row in zip(trees, _codes(side))])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["cid", "half", "leaves"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64()))], names=["cid", "half", "component", "leaves"])
 
     return run
 
@@ -79,16 +81,17 @@ def _codes(side: np.ndarray) -> np.ndarray:
     return np.packbits(side, axis=1)
 
 
-def _best(sims: np.ndarray, ids: np.ndarray, most: int) -> tuple[list, list]:
-    """Lists of the ``most`` nearest others for each row of a square matrix."""
-    np.fill_diagonal(sims, -2.0)
+def _best(sims: np.ndarray, ids: np.ndarray, components: np.ndarray, most: int) -> tuple[list, list]:
+    """Lists of the ``most`` nearest of other components for each row of a square matrix."""
+    sims[components[:, None] == components[None, :]] = -2.0
     k = min(most, len(ids) - 1)
     order = np.argpartition(-sims, k - 1, axis=1)[:, :k] if k < len(ids) - 1 else np.argsort(-sims, axis=1)[:, :k]
-    return [ids[row].tolist() for row in order], np.take_along_axis(sims, order, axis=1).tolist()
+    how = np.take_along_axis(sims, order, axis=1)
+    return [ids[row[own > -1.5]].tolist() for row, own in zip(order, how)], [own[own > -1.5].tolist() for own in how]
 
 
 def _local(most: int):
-    """All members of a group compared with each other; each gets its nearest proposed."""
+    """All members of a group compared with those of other components; each gets its nearest proposed."""
 
     def run(batches):
         for batch in batches:
@@ -96,9 +99,9 @@ def _local(most: int):
             for members in batch.column(0).to_pylist():
                 if len(members) < 2:
                     continue
-                ids = np.array([m["cid"] for m in members])
+                ids, of = np.array([m["cid"] for m in members]), np.array([m["component"] for m in members])
                 x = np.frombuffer(b"".join(m["half"] for m in members), np.float16).reshape(len(ids), -1).astype(np.float32)
-                near, how = _best(x @ x.T, ids, most)
+                near, how = _best(x @ x.T, ids, of, most)
                 out += ids.tolist()
                 lists += near
                 sims += how
@@ -133,17 +136,23 @@ def merged(lists: DataFrame, most: int) -> DataFrame:
 def initial_lists(classes: DataFrame, n: int, most: int, trees: range) -> DataFrame:
     """Nearest vectors in the leaves of several trees. A crowded leaf is dealt into chunks by a hash."""
     bits = max(0, math.ceil(math.log2(max(1, n / LEAF))))
-    coded = in_arrow(classes.select("cid", "half"), _leaves(bits, trees), "cid long, half binary, leaves array<long>")
-    placed = coded.select("cid", "half", F.posexplode("leaves").alias("tree", "leaf"))
+    coded = in_arrow(classes.select("cid", "half", "component"), _leaves(bits, trees), "cid long, half binary, component long, leaves array<long>")
+    placed = coded.select("cid", "half", "component", F.posexplode("leaves").alias("tree", "leaf"))
     sizes = placed.groupBy("tree", "leaf").agg(F.count("*").alias("n"))
     chunk = F.pmod(F.xxhash64("cid", "tree"), F.ceil(F.col("n") / LEAF))
-    groups = placed.join(sizes, ["tree", "leaf"]).groupBy("tree", "leaf", chunk.alias("chunk")).agg(F.collect_list(F.struct("cid", "half")).alias("members"))
+    groups = placed.join(sizes, ["tree", "leaf"]).groupBy("tree", "leaf", chunk.alias("chunk")).agg(F.collect_list(F.struct("cid", "half", "component")).alias("members"))
     return merged(in_arrow(groups.select("members"), _local(most), LISTS), most)
 
 
-def refine(lists: DataFrame, classes: DataFrame, most: int) -> DataFrame:
-    """One round: a vector's neighbours and reverse neighbours are compared with each other."""
+def refine(lists: DataFrame, classes: DataFrame, most: int, inner: DataFrame | None = None) -> DataFrame:
+    """One round: a vector's neighbours and reverse neighbours are compared with each other.
+
+    With ``inner``, the neighbours in its lists join in: those inside a component, where
+    ``lists`` hold those outside.
+    """
     edges = lists.select("cid", F.explode("ids").alias("other"))
+    if inner is not None:
+        edges = edges.union(inner.select("cid", F.explode("ids"))).distinct()
     order = Window.partitionBy("other").orderBy(F.xxhash64("cid", "other"))
     reverse = edges.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= REVERSE)
     members = (
@@ -152,10 +161,23 @@ def refine(lists: DataFrame, classes: DataFrame, most: int) -> DataFrame:
         .union(lists.select("cid", "cid"))
         .distinct()
     )
-    groups = members.join(classes.select("cid", "half"), "cid").groupBy("owner").agg(F.collect_list(F.struct("cid", "half")).alias("members"))
+    groups = members.join(classes.select("cid", "half", "component"), "cid").groupBy("owner").agg(F.collect_list(F.struct("cid", "half", "component")).alias("members"))
     return merged(in_arrow(groups.select("members"), _local(PROPOSED), LISTS).union(lists), most)
 
 
+def neighbours(classes: DataFrame, n: int, most: int, trees: range, inner: DataFrame | None = None) -> DataFrame:
+    """Lists of the nearest vectors of other components, refined until they hardly change."""
+    lists = initial_lists(classes, n, most, trees)
+    total = None
+    for _ in range(ROUNDS):
+        lists = refine(lists, classes, most, inner)
+        now = lists.agg(F.sum(F.aggregate("sims", F.lit(0.0), lambda a, s: a + s))).first()[0] or 0.0
+        if total is not None and now - total <= 0.002 * abs(now):
+            break
+        total = now
+    return lists
+
+
 def _exact(batches):
     for batch in batches:
         a, b = ([np.frombuffer(u) for u in batch.column(k).to_pylist()] for k in (2, 3))
@@ -175,6 +197,24 @@ def exact_links(lists: DataFrame, classes: DataFrame) -> DataFrame:
     return in_arrow(both, _exact, "a long, b long")
 
 
+def joined_components(lists: DataFrame, classes: DataFrame, most: int, trees: range) -> DataFrame:
+    """(id, component) by the links of ``lists``, and of what saturated lists do not hold, as a saved table."""
+    joined = saved(components(saved(exact_links(lists, classes))))
+    full = saved(lists.filter((F.size("ids") >= most) & (F.array_min("sims") >= THRESHOLD - SLACK)).select("cid"))
+    while True:
+        searching = saved(
+            classes.select("cid", "half").join(full, "cid", "left_semi").join(joined.withColumnRenamed("id", "cid"), "cid", "left")
+            .select("cid", "half", F.coalesce("component", "cid").alias("component"))
+        )
+        n, low, high = searching.agg(F.count("*"), F.min("component"), F.max("component")).first()
+        if low == high:  # of one component, or none
+            return joined
+        new = saved(exact_links(neighbours(searching, n, most, trees, lists), classes))
+        if new.isEmpty():
+            return joined
+        joined = saved(components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).union(new)))
+
+
 def _degrees(batches):
     for batch in batches:
         ids, links = [], []
@@ -263,15 +303,9 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     )
     n, most, trees, first = classes.count(), NEIGHBOURS, TREES, 0
     for attempt in range(TRIES):
-        lists = initial_lists(classes, n, most, range(first, first + trees))
-        total = None
-        for _ in range(ROUNDS):
-            lists = refine(lists, classes, most)
-            now = lists.agg(F.sum(F.aggregate("sims", F.lit(0.0), lambda a, s: a + s))).first()[0] or 0.0
-            if total is not None and now - total <= 0.002 * abs(now):
-                break
-            total = now
-        joined = saved(components(saved(exact_links(lists, classes))))
+        own = range(first, first + trees)
+        lists = neighbours(classes.withColumn("component", F.col("cid")), n, most, own)
+        joined = joined_components(lists, classes, most, own)
         found = saved(degrees(joined, classes))
         if attempt == TRIES - 1 or audit(classes, found) >= LEAST_RECALL:
             break

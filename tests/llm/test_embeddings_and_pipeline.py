@@ -45,6 +45,16 @@ def test_groups_copies_and_odd_vectors(spark):
     assert _found(spark, rows) == _brute(rows)
 
 
+def test_links_between_clumps_whose_lists_are_saturated(spark):
+    dice = np.random.default_rng(17)
+    side, noise = np.eye(64)[:2], lambda: dice.standard_normal(64) * np.sqrt(0.0101 / 64)
+    centers = [side[0], 0.9697 * side[0] + np.sqrt(1 - 0.9697**2) * side[1]]
+    rows = [(100 * c + k, (centers[c] + noise()).tolist()) for c in range(2) for k in range(60)]
+    expected = _brute(rows)
+    assert min(n for _, n, _ in expected) > 100 and {c for _, _, c in expected} == {0}
+    assert _found(spark, rows) == expected
+
+
 def test_recall_on_scattered_pairs(spark):
     dice = np.random.default_rng(9)
     rows = []
