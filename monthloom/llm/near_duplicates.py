@@ -8,7 +8,8 @@ that are alike stay together and the rest parts.
   linear in the rows. Pairs with alike sketches are confirmed on full sets; that alone joins
   most of a group of copies of any size.
 * Sets that resemble the same smallest id are a family. In it, whoever is not yet joined to
-  the largest part is compared with everyone on full sets, block by block.
+  the largest part is compared with everyone on full sets, block by block, if these are few.
+  If they are many, each counts as a family of its own in what follows.
 * What other nodes still hold apart is compared exhaustively where nodes are small, branches
   again where they are not, and is compared block by block at the last depth.
 
@@ -36,7 +37,7 @@ TOKENS = 128
 LEAST_AGREEMENT = 0.62
 #: Sets whose sketch agrees that much with that of the smallest id are of its family.
 RESEMBLES = 0.35
-#: Sets outside the largest family of a node that is compared exhaustively.
+#: Sets outside the largest family of a node, or the largest part of a family, that is compared exhaustively.
 SMALL = 64
 #: Sets of a family or a node's largest family that are compared in one place.
 BLOCK = 256
@@ -177,10 +178,10 @@ def _across(batches):
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def family_links(families: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links across the parts of each family (a, b: smallest id and member), as a saved table.
+def apart_families(families: DataFrame, parts: DataFrame) -> DataFrame:
+    """(a, cid, part, outside, n_outside, blocks): members of families of several parts, as a saved table.
 
-    Sets of the largest part stay in one block each; the others visit every block.
+    ``outside`` are those that are not in the largest part.
     """
     members = (
         families.select("a", F.col("b").alias("cid")).union(families.select("a", "a")).distinct()
@@ -188,12 +189,22 @@ def family_links(families: DataFrame, parts: DataFrame, texts: DataFrame) -> Dat
     )
     counted = members.groupBy("a", "part").agg(F.count("*").alias("n"))
     shape = counted.groupBy("a").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("largest"))
-    apart = shape.filter("largest.n < n").select("a", F.col("largest.part").alias("main"), F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    apart = shape.filter("largest.n < n").select(
+        "a", F.col("largest.part").alias("main"), (F.col("n") - F.col("largest.n")).alias("n_outside"), F.ceil(F.col("n") / BLOCK).alias("blocks")
+    )
+    return saved(
+        members.join(apart, "a").select("a", "cid", "part", (F.col("part") != F.col("main")).alias("outside"), "n_outside", "blocks")
+    )
+
+
+def family_links(apart: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links across the parts of each family with few sets outside its largest part, as a saved table.
+
+    Sets of the largest part stay in one block each; the others, at most SMALL, visit every block.
+    """
     own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
-    placed = (
-        members.join(apart, "a")
-        .withColumn("outside", F.col("part") != F.col("main"))
-        .withColumn("block", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(own))))
+    placed = apart.filter(F.col("n_outside") <= SMALL).withColumn(
+        "block", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(own)))
     )
     gathered = placed.join(texts, "cid").groupBy("a", "block").agg(F.collect_list(F.struct("cid", "part", "outside", "text")).alias("members"))
     return saved(in_arrow(gathered.select("members"), _across, "a long, b long"))
@@ -337,7 +348,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     texts = texts_of(stars, source)
     links = confirmed(stars.filter(F.col("agreement") >= LEAST_AGREEMENT), texts)
     parts = saved(components(links)).select(F.col("id").alias("cid"), "component")
-    links = links.union(family_links(families, parts, texts))
+    divided = apart_families(families, parts)
+    links = links.union(family_links(divided, texts))
+    # Many outside a largest part are compared with their family by branching, as if of no family.
+    single = divided.filter(F.col("outside") & (F.col("n_outside") > SMALL)).select("a", F.col("cid").alias("b"))
+    families = families.join(single, ["a", "b"], "left_anti")
     open_ = (
         members.filter("n > 2").select("node", "cid").join(parts, "cid", "left")
         .join(families.select(F.col("b").alias("cid"), F.col("a").alias("family")), "cid", "left")

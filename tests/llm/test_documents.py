@@ -13,6 +13,7 @@ import public_tokenizers
 import pytest
 from comparison import connect, difference, rows_of_spark, rows_of_sql
 from llm.frames import BASE, LONG, ROWS, documents, listed
+from pyspark.sql import functions as F
 
 from monthloom.llm import chat, decontamination, language, mixing, near_duplicates, recurrent, token_counts, token_files, toxicity
 from monthloom.llm.catalog import BYTES, ORACLES, PIECES, QUERIES
@@ -108,6 +109,27 @@ def test_large_groups_of_near_copies_and_shared_passages(spark):
     assert listed(near_duplicates.near_duplicates(frame), "doc_id", "component_id") == [(i, root(i)) for i in ids]
 
 
+def test_documents_on_one_template_are_not_gathered(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 64)
+    monkeypatch.setattr(near_duplicates, "SMALL", 16)
+    gathered, in_arrow = [], near_duplicates.in_arrow
+
+    def spied(frame, function, schema):
+        if function is near_duplicates._across:
+            gathered.append(frame.agg(F.max(F.size("members"))).first()[0] or 0)
+        return in_arrow(frame, function, schema)
+
+    monkeypatch.setattr(near_duplicates, "in_arrow", spied)
+    template, rows = [f"t{k}" for k in range(80)], []
+    for k in range(130):
+        rows.append((k, " ".join(template + [f"d{k}w{j}" for j in range(30)])))
+    rows += [(200 + k, rows[3 * k][1] + " and more") for k in range(30)]
+    frame = documents(spark, [(i, t, None, None) for i, t in rows])
+    expected = [(i, 3 * (i - 200) if i >= 200 else i) for i, _ in rows]
+    assert listed(near_duplicates.near_duplicates(frame), "doc_id", "component_id") == expected
+    assert max(gathered) <= 64 + 16
+
+
 def test_languages(spark):
     found = QUERIES["op4_language"](spark, SMALL).collect()
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
