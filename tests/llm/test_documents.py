@@ -181,6 +181,24 @@ def test_recurrent_model_beats_unigrams_on_held_out_texts(spark):
     assert sum(r["score"] for r in found) > sum(r["base_score"] for r in found)
 
 
+def test_all_training_rows_train_the_network(spark, monkeypatch):
+    monkeypatch.setattr(recurrent, "VOCABULARY", 8)
+    seen, limits, in_arrow, initial = [], [], recurrent.in_arrow, recurrent.Network.initial
+
+    def spied(frame, function, schema):
+        if function.__name__ == "run" and schema.startswith("name"):
+            seen.append(frame.count())
+        return in_arrow(frame, function, schema)
+
+    monkeypatch.setattr(recurrent, "in_arrow", spied)
+    monkeypatch.setattr(recurrent.Network, "initial", staticmethod(lambda counts: limits.append(len(counts)) or initial(counts)))
+    rows = [(k, f"w{k % 40} x{k % 7} y", None, None) for k in range(2_500)]
+    recurrent.score_texts(documents(spark, rows), rounds=2).count()
+    training = sum(zlib.crc32(str(k).encode()) % 10 != 0 for k in range(2_500))
+    assert seen == [training] * 2
+    assert limits == [min(49, int((4 * training) ** 0.5) - 1) + 1]
+
+
 def test_network_is_a_distribution_with_right_gradients():
     dice, n = np.random.default_rng(1), 130
     p = {k: v.astype(np.float64) for k, v in recurrent.Network.initial(np.arange(n, 0, -1.0)).items()}
