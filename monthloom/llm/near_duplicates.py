@@ -14,7 +14,8 @@ that are alike stay together and the rest parts.
   again where they are not, and is compared block by block at the last depth.
 
 Trees are independent: a pair at the threshold misses all root children with a chance of
-0.25 ** (TREES * FANOUT).
+0.25 ** (TREES * FANOUT). Its sketch is the same in all trees: it agrees in less than
+LEAST_AGREEMENT, so that no tree confirms the pair, with a chance of 0.00007.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ PERCENT = 75
 TREES, FANOUT, DEPTH = 12, 2, 5
 #: Minwise tokens of a sketch, a byte each.
 TOKENS = 128
-#: Sketches that agree in a smaller share are not confirmed: 3.4 standard deviations below PERCENT.
-LEAST_AGREEMENT = 0.62
+#: Sketches that agree in a smaller share are not confirmed: 3.9 standard deviations below PERCENT.
+LEAST_AGREEMENT = 0.60
 #: Sets whose sketch agrees that much with that of the smallest id are of its family.
 RESEMBLES = 0.35
 #: Sets outside the largest family of a node, or the largest part of a family, that is compared exhaustively.

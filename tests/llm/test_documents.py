@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -130,6 +131,12 @@ def test_documents_on_one_template_are_not_gathered(spark, monkeypatch):
     assert max(gathered) <= 64 + 16
 
 
+def test_sketches_hardly_reject_pairs_at_the_threshold():
+    n, agree = near_duplicates.TOKENS, 0.75 + 0.25 / 256
+    fewest = math.ceil(near_duplicates.LEAST_AGREEMENT * n)
+    assert sum(math.comb(n, k) * agree**k * (1 - agree) ** (n - k) for k in range(fewest)) < 1e-4
+
+
 def test_languages(spark):
     found = QUERIES["op4_language"](spark, SMALL).collect()
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
