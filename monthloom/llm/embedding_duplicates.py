@@ -7,7 +7,8 @@ search again for neighbours outside their component, until such a search finds n
 search at least halves the number of components that others join, so a list is continued as far
 as it takes without getting long. Then all vectors of a component are compared, in blocks that
 emit counts and no pairs. A fixed number of query vectors compared with all rows audits the
-recall; too low, everything is done again with longer lists and more trees.
+recall; too low, more trees are added and lists get longer, and if that does not help it is an
+error.
 """
 
 from __future__ import annotations
@@ -23,8 +24,12 @@ from pyspark.sql import functions as F
 from monthloom.llm.common import components, in_arrow, saved
 
 THRESHOLD = 0.95
-#: Neighbours in a list, reverse neighbours that join in, trees, vectors of a leaf, rounds.
+#: Neighbours in a list, reverse neighbours that join in, least number of trees, vectors of a leaf, rounds.
 NEIGHBOURS, REVERSE, TREES, LEAF, ROUNDS = 10, 10, 8, 96, 3
+#: Least chance that a pair at the threshold shares a leaf of some tree.
+SHARED = 0.99
+#: Further hyperplanes of a tree that divide its crowded leaves.
+FURTHER = 24
 #: Neighbours that one local join proposes to each of its members.
 PROPOSED = 6
 #: Vectors of a block of exact comparison.
@@ -58,21 +63,33 @@ def _units(batches):
         )
 
 
+def bits_for(n: int) -> int:
+    return max(0, math.ceil(math.log2(max(1, n / LEAF))))
+
+
+def trees_for(bits: int) -> int:
+    """Trees of ``bits`` hyperplanes that a pair at the threshold needs to share a leaf with a chance of SHARED."""
+    same = (1 - math.acos(THRESHOLD) / math.pi) ** bits
+    return TREES if same == 1 else max(TREES, math.ceil(math.log(1 - SHARED) / math.log(1 - same)))
+
+
 def _leaves(bits: int, trees: range):
-    """For each tree, the side of ``bits`` random hyperplanes a vector is on."""
+    """For each tree, the side of ``bits`` random hyperplanes a vector is on, and of FURTHER ones."""
 
     def run(batches):
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
             halves = batch.column(1).to_pylist()
             keys: list[list[int]] = []
+            further: list[list[int]] = []
             for half in halves:
                 x = np.frombuffer(half, np.float16).astype(np.float32)
                 if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng(len(x) + 7919 * trees.start).standard_normal((len(trees) * bits, len(x)), np.float32)
-                side = (planes[len(x)] @ x > 0).reshape(len(trees), bits)
-                keys.append([(len(x) << 40) + int.from_bytes(xxhash.xxh3_64_digest(bytes([t % 251]) + row.tobytes())[:5], "little") if bits else (len(x) << 40) + t for t, row in zip(trees, _codes(side))])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64()))], names=["cid", "half", "component", "leaves"])
+                    planes[len(x)] = np.random.default_rng(len(x) + 7919 * trees.start).standard_normal((len(trees) * (bits + FURTHER), len(x)), np.float32)
+                side = (planes[len(x)] @ x > 0).reshape(len(trees), bits + FURTHER)
+                keys.append([(len(x) << 40) + int.from_bytes(xxhash.xxh3_64_digest(bytes([t % 251]) + row.tobytes())[:5], "little") if bits else (len(x) << 40) + t for t, row in zip(trees, _codes(side[:, :bits]))])
+                further.append((side[:, bits:] @ (1 << np.arange(FURTHER))).tolist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64())), pa.array(further, pa.list_(pa.int64()))], names=["cid", "half", "component", "leaves", "further"])
 
     return run
 
@@ -134,13 +151,22 @@ def merged(lists: DataFrame, most: int) -> DataFrame:
 
 
 def initial_lists(classes: DataFrame, n: int, most: int, trees: range) -> DataFrame:
-    """Nearest vectors in the leaves of several trees. A crowded leaf is dealt into chunks by a hash."""
-    bits = max(0, math.ceil(math.log2(max(1, n / LEAF))))
-    coded = in_arrow(classes.select("cid", "half", "component"), _leaves(bits, trees), "cid long, half binary, component long, leaves array<long>")
-    placed = coded.select("cid", "half", "component", F.posexplode("leaves").alias("tree", "leaf"))
-    sizes = placed.groupBy("tree", "leaf").agg(F.count("*").alias("n"))
+    """Nearest vectors in the leaves of several trees.
+
+    A crowded leaf is divided by further hyperplanes, what is still crowded then into chunks by a hash.
+    """
+    kind = "cid long, half binary, component long, leaves array<long>, further array<long>"
+    coded = in_arrow(classes.select("cid", "half", "component"), _leaves(bits_for(n), trees), kind)
+    placed = coded.select("cid", "half", "component", F.posexplode(F.arrays_zip("leaves", "further")).alias("tree", "leaf")).select(
+        "cid", "half", "component", "tree", "leaf.leaves", "leaf.further"
+    )
+    crowds = placed.groupBy("tree", "leaves").agg(F.count("*").alias("n"))
+    depth = F.least(F.lit(FURTHER), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / LEAF)))).cast("long")
+    part = F.pmod("further", F.pow(F.lit(2.0), depth).cast("long"))
+    placed = placed.join(crowds, ["tree", "leaves"]).withColumn("part", part).drop("n", "further")
+    sizes = placed.groupBy("tree", "leaves", "part").agg(F.count("*").alias("n"))
     chunk = F.pmod(F.xxhash64("cid", "tree"), F.ceil(F.col("n") / LEAF))
-    groups = placed.join(sizes, ["tree", "leaf"]).groupBy("tree", "leaf", chunk.alias("chunk")).agg(F.collect_list(F.struct("cid", "half", "component")).alias("members"))
+    groups = placed.join(sizes, ["tree", "leaves", "part"]).groupBy("tree", "leaves", "part", chunk.alias("chunk")).agg(F.collect_list(F.struct("cid", "half", "component")).alias("members"))
     return merged(in_arrow(groups.select("members"), _local(most), LISTS), most)
 
 
@@ -257,7 +283,10 @@ def degrees(joined: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def audit(classes: DataFrame, found: DataFrame) -> float:
-    """Share of the links of QUERIES vectors, compared with all rows, that are in ``found``."""
+    """Mean share of a vector's links that are in ``found``, over those of QUERIES vectors that have links.
+
+    The vectors are compared with all rows.
+    """
     chosen = classes.orderBy(F.xxhash64("unit"), "cid").select("cid", "unit").limit(QUERIES)
     rows = [(r["cid"], bytes(r["unit"])) for r in chosen.collect()]
     if not rows:
@@ -280,8 +309,8 @@ def audit(classes: DataFrame, found: DataFrame) -> float:
             yield pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(total.values(), pa.int64())], names=["cid", "links"])
 
     truth = in_arrow(classes.select("cid", "copies", "unit"), run, "cid long, links long").groupBy("cid").agg(F.sum("links").alias("true"))
-    sums = truth.join(found, "cid", "left").agg(F.sum("true"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return 1.0 if not sums[0] else float(sums[1]) / float(sums[0])
+    share = truth.join(found, "cid", "left").agg(F.avg(F.coalesce("links", F.lit(0)) / F.col("true"))).first()[0]
+    return 1.0 if share is None else float(share)
 
 
 def near_duplicates(embeddings: DataFrame) -> DataFrame:
@@ -294,6 +323,7 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     vectors of different lengths do not link. Equal directions are compared once and counted
     with their copies; repeated rows are copies. A row with null vec_id links like others but
     names no component; it is kept. An empty table gives no rows; other columns are ignored.
+    A recall that stays under LEAST_RECALL in the audit is an error.
     """
     kind = embeddings.schema["vec_id"].dataType.simpleString()
     rows = saved(in_arrow(embeddings.select("vec_id", "embedding"), _units, f"vec_id {kind}, unit binary, half binary"))
@@ -301,15 +331,21 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
         rows.filter("unit is not null").groupBy("unit", "half").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
         .withColumn("cid", F.monotonically_increasing_id())
     )
-    n, most, trees, first = classes.count(), NEIGHBOURS, TREES, 0
-    for attempt in range(TRIES):
+    n, most, first, before = classes.count(), NEIGHBOURS, 0, None
+    trees = trees_for(bits_for(n))
+    for _ in range(TRIES):
         own = range(first, first + trees)
         lists = neighbours(classes.withColumn("component", F.col("cid")), n, most, own)
+        if before is not None:
+            lists = merged(lists.union(before), most)
         joined = joined_components(lists, classes, most, own)
         found = saved(degrees(joined, classes))
-        if attempt == TRIES - 1 or audit(classes, found) >= LEAST_RECALL:
+        recall = audit(classes, found)
+        if recall >= LEAST_RECALL:
             break
-        most, first, trees = most * 2, first + trees, trees * 2
+        most, first, trees, before = most * 2, first + trees, trees * 2, lists
+    else:
+        raise RuntimeError(f"recall {recall:.4f} of {QUERIES} vectors is under {LEAST_RECALL} after {TRIES} tries")
     own = classes.join(joined.withColumnRenamed("id", "cid"), "cid", "left").join(found, "cid", "left")
     smallest = own.filter("component is not null").groupBy("component").agg(F.min("low").alias("least"))
     own = own.join(smallest, "component", "left").select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 import numpy as np
+import pytest
 from llm.frames import ROWS, documents
 
 from monthloom.llm import embedding_duplicates, toxicity
@@ -66,6 +67,29 @@ def test_recall_on_scattered_pairs(spark):
     assert _found(spark, []) == []
 
 
+def test_audit_weighs_vectors_alike_and_guards_the_last_try(spark, monkeypatch):
+    dice = np.random.default_rng(23)
+    unit = lambda v: embedding_duplicates.unit(v.tolist())
+    rows = [(k, 1, unit(np.eye(32)[0] + 0.001 * dice.standard_normal(32))) for k in range(100)]
+    for k in range(10):
+        v = dice.standard_normal(32)
+        rows += [(100 + 2 * k, 1, unit(v)), (101 + 2 * k, 1, unit(v + 0.01 * dice.standard_normal(32)))]
+    classes = spark.createDataFrame(rows, "cid long, copies long, unit binary")
+    found = spark.createDataFrame([(k, 99) for k in range(100)], "cid long, links long")
+    assert np.isclose(embedding_duplicates.audit(classes, found), 100 / 120)
+    monkeypatch.setattr(embedding_duplicates, "TRIES", 1)
+    monkeypatch.setattr(embedding_duplicates, "audit", lambda classes, found: 0.5)
+    with pytest.raises(RuntimeError, match="recall"):
+        _found(spark, [(1, [1.0, 0.0]), (2, [0.0, 1.0])])
+
+
+def test_trees_grow_with_their_depth():
+    for n in (10**3, 10**6, 10**9):
+        bits = embedding_duplicates.bits_for(n)
+        same = (1 - np.arccos(0.95) / np.pi) ** bits
+        assert 1 - (1 - same) ** embedding_duplicates.trees_for(bits) >= 0.99
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(1, 60)] + [(100, 101), (101, 102), (7, 7), (200, 100)] + [(500, k) for k in range(501, 700)]
     found = {r["id"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
