@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.llm import chat, decontamination, embedding_duplicates, language, mixing, near_duplicates, prefix_trie, recurrent, token_counts, token_files, toxicity
+from monthloom.llm import centroids, chat, decontamination, embedding_duplicates, language, mixing, near_duplicates, prefix_trie, recurrent, token_counts, token_files, toxicity, url_filter
 from monthloom.llm.common import table
 
 
@@ -61,8 +61,16 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
 
 
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages"))
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, folder, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_duplicates, op2_token_counts, op3_near_duplicates, op4_language, op5_recurrent, op6_chat, op7_mixing, op8_decontamination, op9_token_files, op10_toxicity,
-    op11_prefix_trie,
+    op11_prefix_trie, op12_url_filter, op13_centroids,
 )}
-ORACLES = {"op1_embedding_duplicates": embedding_duplicates.SQL, "op3_near_duplicates": near_duplicates.SQL, "op6_chat": chat.SQL, "op7_mixing": mixing.SQL, "op8_decontamination": decontamination.SQL, "op11_prefix_trie": prefix_trie.SQL}
+ORACLES = {"op1_embedding_duplicates": embedding_duplicates.SQL, "op3_near_duplicates": near_duplicates.SQL, "op6_chat": chat.SQL, "op7_mixing": mixing.SQL, "op8_decontamination": decontamination.SQL, "op11_prefix_trie": prefix_trie.SQL, "op13_centroids": centroids.SQL}
