@@ -6,8 +6,8 @@ split of the largest product of probabilities is taken. Multinomial naive Bayes
 words of the host and the path. It starts from two short word lists (parameters) and learns
 from the hosts without labels: hosts weighted by their probability give the counts of the next
 round, a fixed number of rounds. Both classes are smoothed with all words alike, so that words
-they share say nothing. A host counts once, whatever its share of the pages, and rules are no
-evidence: they judge places, not words.
+they share say nothing. A host counts once, whatever its share of the pages, and so does a word
+in a host or a path. Rules are no evidence: they judge places, not words.
 
 Only words that occur in some name are joined to their counts; neither the vocabulary nor the
 model is held in one place.
@@ -166,23 +166,22 @@ def log_ratio(model: DataFrame) -> DataFrame:
 
 
 def summed(bags: DataFrame, ratios: DataFrame, key: str) -> DataFrame:
-    """(key, score): log-odds of the words of each bag (key, word, n)."""
-    return bags.join(ratios, "word").groupBy(key).agg(F.sum(F.col("n") * F.col("ratio")).alias("score"))
+    """(key, score): log-odds of the distinct words (key, word) of each key."""
+    return bags.join(ratios, "word").groupBy(key).agg(F.sum("ratio").alias("score"))
 
 
 def learned(sites: DataFrame, paths: DataFrame, unwanted: Sequence[str], wanted: Sequence[str], rounds: int) -> DataFrame:
     """(word, ratio) after ``rounds`` over all hosts.
 
-    ``sites``: (host, word, n) of the host's own words; ``paths``: (host, word, n) of the
-    distinct words in paths below it.
+    ``sites``: distinct (host, word) of the host's own words; ``paths``: those of paths below it.
     """
     spark = sites.sparkSession
     listed = [(w, (w in unwanted) / len(unwanted), (w in wanted) / len(wanted)) for w in sorted({*unwanted, *wanted})]
     lists = spark.createDataFrame(listed, "word string, in_unwanted double, in_wanted double").withColumn("n", F.lit(0.0))
     bags = saved(sites.unionByName(paths))
     none = F.lit(0.0)
-    counted = bags.select("word", F.col("n").cast("double").alias("n"))
-    words = lists.unionByName(counted.withColumn("in_unwanted", none).withColumn("in_wanted", none))
+    counted = bags.select("word", F.lit(1.0).alias("n"), none.alias("in_unwanted"), none.alias("in_wanted"))
+    words = lists.unionByName(counted)
     words = saved(words.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "in_unwanted", "in_wanted")]))
     model = words.withColumns({"unwanted": none, "wanted": none})
     for _ in range(rounds):
@@ -190,7 +189,7 @@ def learned(sites: DataFrame, paths: DataFrame, unwanted: Sequence[str], wanted:
         counts = (
             bags.join(scored, "host")
             .groupBy("word")
-            .agg(F.sum(F.col("n") * F.col("share")).alias("unwanted"), F.sum(F.col("n") * (1 - F.col("share"))).alias("wanted"))
+            .agg(F.sum("share").alias("unwanted"), F.sum(1 - F.col("share")).alias("wanted"))
         )
         model = saved(words.join(counts, "word", "left").na.fill({"unwanted": 0.0, "wanted": 0.0}))
     return saved(log_ratio(model))
@@ -227,9 +226,9 @@ def judge_urls(
         F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "words"))), lambda x: x["words"])), " ").alias("host_words")
     )
     shown = saved(shown)
-    sites = saved(shown.select("host", F.explode(F.split("host_words", " ")).alias("word")).groupBy("host", "word").agg(F.count("*").alias("n")))
-    ways = saved(placed.select("path").distinct().select("path", F.explode(tokens(F.col("path"))).alias("word")).groupBy("path", "word").agg(F.count("*").alias("n")))
-    below = placed.select("host", "path").distinct().join(ways, "path").select("host", "word").distinct().withColumn("n", F.lit(1).cast("long"))
+    sites = saved(shown.select("host", F.explode(F.split("host_words", " ")).alias("word")).distinct())
+    ways = saved(placed.select("path").distinct().select("path", F.explode(tokens(F.col("path"))).alias("word")).distinct())
+    below = placed.select("host", "path").distinct().join(ways, "path").select("host", "word").distinct()
     ratios = learned(sites, below.filter("host <> ''"), unwanted, wanted, rounds)
     by_host = shown.join(summed(sites, ratios, "host"), "host", "left").withColumnRenamed("score", "host_score")
     by_path = summed(ways, ratios, "path").withColumnRenamed("score", "path_score")

@@ -136,10 +136,10 @@ def test_a_long_name_is_split_whole(spark):
 
 
 def plain_ratios(sites, paths, unwanted, wanted, rounds):
-    bags = [(host, w, n) for table in (sites, paths) for host, bag in table.items() for w, n in bag.items()]
+    bags = [(host, w) for table in (sites, paths) for host, bag in table.items() for w in bag]
     count = {w: 0.0 for w in (*unwanted, *wanted)}
-    for _, w, n in bags:
-        count[w] = count.get(w, 0.0) + n
+    for _, w in bags:
+        count[w] = count.get(w, 0.0) + 1
     background = {w: (n + url_filter.UNSEEN) / (sum(count.values()) + url_filter.UNSEEN * len(count)) for w, n in count.items()}
 
     def probability(w, names, learned):
@@ -151,33 +151,33 @@ def plain_ratios(sites, paths, unwanted, wanted, rounds):
 
     ratio = ratios({}, {})
     for _ in range(rounds):
-        share = {h: 1 / (1 + math.exp(-url_filter.PRIOR - sum(n * ratio[w] for w, n in bag.items()))) for h, bag in sites.items()}
+        share = {h: 1 / (1 + math.exp(-url_filter.PRIOR - sum(ratio[w] for w in bag))) for h, bag in sites.items()}
         u, v = {}, {}
-        for host, w, n in bags:
-            u[w], v[w] = u.get(w, 0.0) + n * share[host], v.get(w, 0.0) + n * (1 - share[host])
+        for host, w in bags:
+            u[w], v[w] = u.get(w, 0.0) + share[host], v.get(w, 0.0) + 1 - share[host]
         ratio = ratios(u, v)
     return ratio
 
 
 def test_learned_words(spark):
-    sites = {"a": {"ads": 1, "blip": 2}, "b": {"news": 1, "blop": 1}, "c": {"blip": 1, "blop": 3}}
-    paths = {"a": {"en": 1, "#": 1}, "c": {"#": 1}}
-    frame = lambda bags: spark.createDataFrame([(h, w, n) for h, bag in bags.items() for w, n in bag.items()], "host string, word string, n long")
+    sites = {"a": ["ads", "blip"], "b": ["news", "blop"], "c": ["blip", "blop"]}
+    paths = {"a": ["en", "#"], "c": ["#"]}
+    frame = lambda bags: spark.createDataFrame([(h, w) for h, bag in bags.items() for w in bag], "host string, word string")
     found = url_filter.learned(frame(sites), frame(paths), ["ads"], ["news", "en"], 2).collect()
     expected = plain_ratios(sites, paths, ["ads"], ["news", "en"], 2)
     assert {r["word"]: pytest.approx(r["ratio"]) for r in found} == expected
 
 
 def test_judgements(spark):
-    rows = [(k, f"http://www.quiet{k % 7}river.example.com/en/{k}", "<p>quiet river the quiet</p>") for k in range(40)]
+    rows = [(k, f"http://www.quiet{k % 7}river.{'abcdefgh'[k % 8]}.example.com/en/{k}", "<p>quiet river the quiet</p>") for k in range(40)]
     rows += [
         (100, "http://casinobonus.example.com/en/1", "<p>"),
         (101, "http://cheappills.shop.example.com/x", None),
         (102, None, None),
         (103, "not an url", "x" * 90_000 + "<" * 50_000),
         (104, "http://casinobonus.example.com/de/1", ""),
-        (105, "http://www.example.org/fr/casino-bonus-pills", ""),
-        (105, "http://www.example.org/fr/casino-bonus-pills", ""),
+        (105, "http://www.example.org/fr/quiet-river-casino", ""),
+        (105, "http://www.example.org/fr/quiet-river-casino", ""),
         (None, "http://---/", None),
         (106, "http://" + "riverquiet" * 500 + ".example.com/" + "a/" * 3000, None),
     ]
