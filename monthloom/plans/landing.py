@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from monthloom.functions.calendar import month_frame, period_start, valid_period
 from monthloom.functions.text import canonical_json, namespaced_sha256, parse_decimal
-from monthloom.functions.text import valid_edition
+from monthloom.functions.text import plain_decimal, valid_edition
 from monthloom.operators.aggregate import exact_sum, row_multiset_digest
 from monthloom.operators.revision import latest_manifests
 from monthloom.params import (
@@ -26,7 +26,15 @@ from monthloom.params import (
     PRODUCTS,
     SCHEMA_VERSION,
 )
-from monthloom.sources.landing import split_kind
+from monthloom.sources.landing import (
+    PATH_FIELDS,
+    path_identity,
+    scan_checksums,
+    scope_paths,
+    split_kind,
+    write_lines,
+    write_manifests,
+)
 
 MONEY = "decimal(38,9)"
 EXTRACT_IDENTITY = ("kind", "reporter_code", "cmd_code", "period")
@@ -320,3 +328,77 @@ def recent_window(planned: DataFrame, anchor: Column, months: int = 3) -> DataFr
         (F.col("period_start_date") >= F.add_months(first, -months))
         & (F.col("period_start_date") < first)
     )
+
+
+def record_line() -> Column:
+    """A raw row as the source's JSON line: sorted keys, exact amounts as text."""
+    fields = {
+        "classificationCode": F.col("hs_version"),
+        "cmdCode": F.col("cmd_code"),
+        "customsCode": F.lit(CUSTOMS_CODE),
+        "flowCode": F.col("flow_code"),
+        "freqCode": F.lit(FREQUENCY),
+        "isOriginalClassification": F.lit(True),
+        "motCode": F.lit(0),
+        "netWgt": plain_decimal(F.col("net_weight")),
+        "partner2Code": F.lit(0),
+        "partnerCode": F.col("partner_code").cast("bigint"),
+        "period": F.col("period"),
+        "primaryValue": plain_decimal(F.col("primary_value")),
+        "qty": plain_decimal(F.col("quantity")),
+        "reporterCode": F.col("reporter_code").cast("bigint"),
+    }
+    row = F.struct(*[column.alias(name) for name, column in fields.items()])
+    return F.to_json(row, {"ignoreNullFields": "false"})
+
+
+def request_of(kind: Column) -> Column:
+    """Parameters of the request an extract answers."""
+    fixed = {
+        "flowCode": F.lit(IMPORT_FLOW),
+        "partner2Code": F.lit("0"),
+        "customsCode": F.lit(CUSTOMS_CODE),
+        "motCode": F.lit("0"),
+        "reporterCode": F.col("reporter_code"),
+        "period": F.col("period"),
+        "cmdCode": F.col("cmd_code"),
+    }
+    pairs = [part for name, value in fixed.items() for part in (F.lit(name), value)]
+    world = F.create_map(F.lit("partnerCode"), F.lit("0"))
+    nothing = F.create_map().cast("map<string,string>")
+    return F.map_concat(F.create_map(*pairs), F.when(kind == "world_total", world).otherwise(nothing))
+
+
+def land_extracts(rows: DataFrame, root: str, source: str = "panel") -> None:
+    """Store extracts below ``root``: their data, then the manifests that commit them.
+
+    ``rows`` are raw rows with ``query_type``. Checksums are those of the files as they were
+    written. A failure before the manifests leaves data that a scan refuses.
+    """
+    spark = rows.sparkSession
+    keyed = rows.withColumns({"line": record_line(), "place": F.col("partner_code").cast("bigint")})
+    write_lines(keyed, root, ("place", "line"))
+    facts = rows.groupBy(*PATH_FIELDS).agg(
+        F.count("*").alias("row_count"),
+        exact_sum(F.col("primary_value")).alias("total"),
+        F.max("ingested_at").alias("at"),
+    )
+    wanted: dict[str, list[str]] = {}
+    for row in rows.select("reporter_code", "period").distinct().collect():  # markets x months
+        wanted.setdefault(row[0], []).append(row[1])
+    if not wanted:
+        return
+    hashed = scan_checksums(spark, root, scope_paths(root, wanted))
+    path = path_identity(F.concat("extract", F.lit("/x")))
+    named = hashed.select(*[path[f"path_{name}"].alias(name) for name in PATH_FIELDS], "data_checksum")
+    manifests = facts.join(named, list(PATH_FIELDS)).select(
+        *PATH_FIELDS,
+        request_of(F.col("query_type")).alias("request_parameters"),
+        F.col("data_checksum").alias("checksum"),
+        F.lit(SCHEMA_VERSION).alias("schema_version"),
+        "row_count",
+        plain_decimal(F.col("total")).alias("primary_value_sum"),
+        F.date_format("at", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("ingested_at"),
+        F.lit(source).alias("source"),
+    )
+    write_manifests(manifests, root)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -253,11 +253,13 @@ def publish_snapshot(
     gate: DataFrame | None = None,
     markets: dict[str, str] = MARKETS,
     products: dict[str, str] = PRODUCTS,
+    unmoved: Callable[[], None] | None = None,
 ) -> str:
     """Write and check a new version, then add a pointer to it; returns its id.
 
-    Both marts are pinned first, so the checks and the files see the same rows. A
-    failure leaves the last pointer, and with it the published version, as it was.
+    Both marts are pinned first, so the checks and the files see the same rows. ``unmoved``
+    is called right before the pointer and may refuse. A failure leaves the last pointer, and
+    with it the published version, as it was.
     """
     end_exclusive = _next_month(params.end)
     check_export_range(params.start, end_exclusive)
@@ -288,6 +290,8 @@ def publish_snapshot(
         F.lit(manifest_hash(spark, folder)).alias("manifest_sha256"),
         F.current_timestamp().alias("published_at"),
     )
+    if unmoved is not None:
+        unmoved()
     pointer.write.mode("append").json(f"{output}/pointers")
     return snapshot_id
 
