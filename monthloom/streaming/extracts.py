@@ -52,7 +52,8 @@ def load_batch(
     if not folders:
         return
     rows = parse_records(scan_lines(spark, "", folders))
-    checked = cut_lineage(reconcile(manifests, rows, scan_checksums(spark, "", folders), products))
+    sums = scan_checksums(spark, "", folders)
+    checked = cut_lineage(reconcile(manifests, rows, sums, products, params.start))
     refused = checked.where(F.size("reasons") > 0).select("extract", "reasons")
     newest, ambiguous = newest_extracts(accepted(checked))
     doubtful = ambiguous.select("extract", F.array(F.lit("ambiguous_revision")).alias("reasons"))
