@@ -309,6 +309,18 @@ def detail_page(t: Tables):
     return explore.detail_page(rows.where(F.col("reporter_code") == "ASIA"), 2)
 
 
+@query(
+    "detail_last_page",
+    f"""SELECT * FROM (SELECT {PARTNER_SQL} FROM t_partners WHERE {RANGE} AND rep = 'EUROPE')
+ORDER BY month DESC, partner_code, cmd_code LIMIT 50 OFFSET
+  (SELECT 50 * greatest((count(*) - 1) // 50, 0) FROM t_partners WHERE {RANGE} AND rep = 'EUROPE')""",
+)
+def detail_last_page(t: Tables):
+    """A page number beyond the last one shows the last one."""
+    rows = explore.detail_rows(t.multi.partners, START, LAST)
+    return explore.detail_page(rows.where(F.col("reporter_code") == "EUROPE"), 10**6)
+
+
 @query(
     "detail_search",
     f"""SELECT {PARTNER_SQL} FROM t_partners WHERE {RANGE} AND

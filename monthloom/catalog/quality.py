@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from monthloom.catalog.oracle import SPINE, money
 from monthloom.catalog.marts import RAW_SQL
-from monthloom.catalog.registry import END, START, STAR, TYPES, Tables, pinned, query
+from monthloom.catalog.registry import END, START, STAR, TYPES, Tables, query
 from monthloom.operators import aggregate, revision, sets
 from monthloom.params import HHI_STATUSES
 from monthloom.plans import publish, quality
+from monthloom.plans.load import cut_lineage
 
 
 @query(
@@ -192,17 +193,20 @@ def contract_failures(t: Tables):
 
 
 def all_checks(t: Tables):
+    """Marts are stored first: each of many checks then plans over a stored table."""
+    t.scratch()
     single, multi = t.single, t.multi
-    monthly, partners = pinned(multi.monthly), pinned(multi.partners)
-    single_monthly, single_partners = pinned(single.monthly), pinned(single.partners)
+    monthly, partners = cut_lineage(multi.monthly), cut_lineage(multi.partners)
+    fact, mart, issues = cut_lineage(single.fact), cut_lineage(single.mart), cut_lineage(single.issues)
+    single_monthly, single_partners = cut_lineage(single.monthly), cut_lineage(single.partners)
     key = ["month", "reporter_code", "cmd_code", "partner_code"]
     month_key = {"month": "month_start_date"}
     return {
-        "fact_preserves_staging": quality.preserves(t.panel.detail, single.fact),
-        "mart_preserves_fact": quality.preserves(single.fact, single.mart),
-        "metric_contract": quality.metric_contract(single.mart),
+        "fact_preserves_staging": quality.preserves(t.panel.detail, fact),
+        "mart_preserves_fact": quality.preserves(fact, mart),
+        "metric_contract": quality.metric_contract(mart),
         "missing_country_audited": quality.unaudited_partners(
-            t.panel.detail, t.countries, single.issues
+            t.panel.detail, t.countries, issues
         ),
         "month_spine_complete": quality.month_dimension_contract(single.months, START, END),
         "monthly_contract": quality.monthly_contract_multi(monthly, partners),
@@ -224,6 +228,77 @@ def all_checks(t: Tables):
     }
 
 
+def count_sql(name: str, sql: str) -> str:
+    return f"SELECT '{name}' AS failed_check, CAST(({sql}) AS BIGINT) AS violations"
+
+
+SPOILED_SQL = {
+    "fact_preserves_staging": "SELECT 2 * count(*) + 1 FROM t_detail WHERE rep = 'ASIA'",
+    "mart_preserves_fact": "SELECT count(*) + 1 FROM t_detail WHERE rep = 'EUROPE'",
+    "metric_contract": "SELECT count(*) FROM t_share WHERE world IS NULL OR world <= 0",
+    "missing_country_audited": "SELECT count(*) FROM t_detail WHERE CAST(par AS INTEGER) % 5 = 2",
+    "month_spine_complete": f"SELECT count(*) FROM (SELECT unnest({SPINE}) AS u) WHERE month(u) IN (3, 6)",
+    "monthly_contract": "SELECT count(*) FROM t_monthly WHERE rep = 'ASIA'",
+    "partner_contract": "SELECT count(*) FROM t_partners WHERE rep = 'EUROPE'",
+    "monthly_contract_single": f"""SELECT count(*) FROM (SELECT unnest({SPINE})), (SELECT DISTINCT cmd, hs FROM
+      (SELECT rep, cmd, hs FROM t_detail UNION ALL SELECT rep, cmd, hs FROM t_world) JOIN t_hs USING (cmd, hs) WHERE rep = 'ASIA')""",
+    "partner_contract_single": """SELECT count(*) FROM t_share WHERE kind = 'country' AND cstatus = 'verified'
+      AND rep = 'AMERICA' AND coalesce(pyv, 0) <= 0 AND (cmd, hs) IN (SELECT (cmd, hs) FROM t_hs)""",
+    "hhi_status_accepted": "SELECT count(*) FROM t_monthly WHERE rep = 'AFRICA'",
+    "unique_partner_grain": "SELECT count(*) FROM t_partners WHERE rep = 'ASIA'",
+    "month_relationship": "SELECT count(*) FROM t_partners WHERE month(m) = 6",
+    "not_null_keys": "SELECT count(*) FROM t_partners WHERE rep = 'AMERICA'",
+    "spine_per_scope": "SELECT count(*) FROM t_monthly WHERE month(m) = 2",
+    "orphans": "SELECT count(*) FROM t_partners WHERE rep = 'AFRICA'",
+}
+
+
+@query("contract_violations", " UNION ALL ".join(count_sql(n, s) for n, s in SPOILED_SQL.items()))
+def contract_violations(t: Tables):
+    """Violations per check over marts that are spoiled by rule, one rule a check."""
+    t.scratch()
+    single, multi = t.single, t.multi
+    monthly, partners = cut_lineage(multi.monthly), cut_lineage(multi.partners)
+    fact, mart, issues = cut_lineage(single.fact), cut_lineage(single.mart), cut_lineage(single.issues)
+    single_monthly, single_partners = cut_lineage(single.monthly), cut_lineage(single.partners)
+    key = ["month", "reporter_code", "cmd_code", "partner_code"]
+
+    def where(frame, name, column, value):
+        """``frame`` with another value of a column in the rows of one market."""
+        kind = frame.schema[column].dataType
+        return frame.withColumn(column, F.when(F.col("reporter_code") == name, value.cast(kind)).otherwise(F.col(column)))
+
+    dearer = where(fact, "ASIA", "primary_value", F.col("primary_value") + 1)
+    shares = F.when(quality.not_positive(F.col("world_value")), F.lit(1)).otherwise(F.col("market_share"))
+    number = F.col("partner_code").cast("int")
+    month = F.month("month_start_date")
+    months = single.months.where(month != 6)
+    no_growth = quality.not_positive(F.col("previous_year_value"))
+    grown = single_partners.withColumn(
+        "yoy", F.when(no_growth & (F.col("reporter_code") == "AMERICA"), F.lit(1).cast("decimal(38,9)")).otherwise(F.col("yoy"))
+    )
+    checks = {
+        "fact_preserves_staging": quality.preserves(t.panel.detail, dearer),
+        "mart_preserves_fact": quality.preserves(fact, mart.where("reporter_code <> 'EUROPE'")),
+        "metric_contract": quality.metric_contract(mart.withColumn("market_share", shares.cast("decimal(38,9)"))),
+        "missing_country_audited": quality.unaudited_partners(t.panel.detail, t.countries.where(number % 5 != 2), issues),
+        "month_spine_complete": quality.month_dimension_contract(months.unionByName(months.where(month == 3)), START, END),
+        "monthly_contract": quality.monthly_contract_multi(where(monthly, "ASIA", "country_count", F.col("country_count") + 1), partners),
+        "partner_contract": quality.partner_contract_multi(where(partners, "EUROPE", "market_share_status", F.lit("odd")), monthly),
+        "monthly_contract_single": quality.monthly_contract_single(
+            where(single_monthly, "ASIA", "has_countries", ~F.col("has_countries")).where("reporter_code = 'ASIA'"), single_partners
+        ),
+        "partner_contract_single": quality.partner_contract_single(grown, single_monthly),
+        "hhi_status_accepted": quality.accepted_values(where(monthly, "AFRICA", "hhi_status", F.lit("odd")), "hhi_status", HHI_STATUSES),
+        "unique_partner_grain": quality.compound_unique(partners.unionByName(partners.where("reporter_code = 'ASIA'")), key),
+        "month_relationship": quality.relationships(partners, months, {"month": "month_start_date"}),
+        "not_null_keys": quality.not_null(where(partners, "AMERICA", "partner_code", F.lit(None)), key),
+        "spine_per_scope": quality.spine_gaps(monthly.where(F.month("month") != 2), STAR),
+        "orphans": quality.orphans(partners, monthly.where("reporter_code <> 'AFRICA'")),
+    }
+    return quality.check_report(checks)
+
+
 @query(
     "quality_gate",
     """SELECT count(*) FILTER (v > 0) AS failed_nodes, CAST(1 AS BIGINT) AS required_passed,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthloom.functions.calendar import month_index
+from monthloom.operators.joins import null_safe_join
 from monthloom.params import PAGE_SIZE
 
 
@@ -51,16 +52,48 @@ def top_n(
     return leaders.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
+#: Order of detail rows: column and whether it descends.
+DETAIL_ORDER = (("month", True), ("partner_code", False), ("cmd_code", False))
+
+
+def _ordered(name: str, descends: bool) -> Column:
+    return F.col(name).desc() if descends else F.col(name).asc()
+
+
 def page(
-    frame: DataFrame, order: Sequence[Column], number: int, size: int = PAGE_SIZE
+    frame: DataFrame, order: Sequence[tuple[str, bool]], number: int, size: int = PAGE_SIZE
 ) -> DataFrame:
-    """Page ``number`` (0-based), clamped to the last page that exists."""
-    last = max(1, -(-frame.count() // size)) - 1
-    return frame.orderBy(*order).offset(min(max(number, 0), last) * size).limit(size)
-
+    """Page ``number`` (0-based), clamped to the last page that exists.
 
-def detail_order() -> list[Column]:
-    return [F.col("month").desc(), F.col("partner_code").asc(), F.col("cmd_code").asc()]
+    The page is found by counting. Rows per value of the first two columns are counted by
+    hashing; counts of the first (few values, as months) place the page in one or two of them,
+    counts of the second inside these place it in at most ``size`` groups, and only rows of
+    those groups are ordered. No row that is not near the page is sorted, none passes through
+    one task, and nothing runs before the result is asked for.
+    """
+    first, second, *rest = order
+    outer, inner = first[0], second[0]
+    per_group = frame.groupBy(outer, inner).agg(F.count("*").alias("n"))
+    per_outer = per_group.groupBy(outer).agg(F.sum("n").alias("n"))
+    total = per_outer.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
+    last = F.greatest(F.ceil(total / size), F.lit(1)) - 1
+    begin = F.least(F.lit(max(number, 0)), last) * size
+    end = begin + size
+
+    def placed(counts: DataFrame, by: Sequence[str], key: tuple[str, bool], base: Column) -> DataFrame:
+        before = Window.partitionBy(*by).orderBy(_ordered(*key)).rowsBetween(Window.unboundedPreceding, -1)
+        start = base + F.coalesce(F.sum("n").over(before), F.lit(0))
+        held = counts.withColumn("start", start)
+        return held.where((F.col("start") < end) & (F.col("start") + F.col("n") > begin))
+
+    outers = placed(per_outer, [], first, F.lit(0)).select(outer, F.col("start").alias("base"))
+    inside = null_safe_join(per_group, outers, [outer], "inner")
+    groups = placed(inside, [outer], second, F.col("base")).select(outer, inner, "start")
+    near = null_safe_join(frame, groups, [outer, inner], "inner")
+    tail = Window.partitionBy(outer, inner).orderBy(*[_ordered(*key) for key in rest or order])
+    place = F.col("start") + F.row_number().over(tail) - 1
+    chosen = near.withColumn("start", place).where((F.col("start") >= begin) & (F.col("start") < end))
+    return chosen.orderBy("start").limit(size).select(*frame.columns)
 
 
 def gap_segments(

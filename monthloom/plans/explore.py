@@ -305,7 +305,7 @@ def detail_rows(
 
 
 def detail_page(rows: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
-    return rank.page(rows, rank.detail_order(), number, size)
+    return rank.page(rows, rank.DETAIL_ORDER, number, size)
 
 
 def csv_lines(rows: DataFrame) -> DataFrame:

@@ -172,3 +172,47 @@ def test_check_report_counts_every_check_in_one_job(spark):
     rows = spark.range(3)
     report = check_report({"a": rows, "b": rows.where("id > 1"), "c": rows.where("false")})
     assert {r.failed_check: r.violations for r in report.collect()} == {"a": 3, "b": 1, "c": 0}
+
+
+def test_a_page_is_found_by_counting(spark):
+    from monthloom.operators import rank
+
+    rows = [(m, p, c, k) for m in (3, 1, 2, None) for p in ("b", "a", None) for k, c in enumerate("zyx") if not (m == 2 and p == "a")]
+    frame = spark.createDataFrame(rows * 2, "month int, partner_code string, cmd_code string, k int").withColumn("u", F.lit(1))
+    ordered = sorted(rows * 2, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or "", r[2]))
+    for size in (5, 200):
+        last = -(-len(ordered) // size) - 1
+        for number in {0, last // 2, last + 9}:
+            at = min(max(number, 0), last) * size
+            page = rank.page(frame, rank.DETAIL_ORDER, number, size)
+            assert [tuple(r)[:4] for r in page.collect()] == ordered[at : at + size]
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("page", "page")
+    page = rank.page(frame, rank.DETAIL_ORDER, 2, 5)
+    assert not jobs.getJobIdsForGroup("page")
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "TakeOrderedAndProject" in plan and "Offset" not in plan and "offset=" not in plan
+
+
+def test_sound_layers_are_not_compared_row_by_row(spark):
+    from rows import raw
+
+    from monthloom.plans import quality
+
+    rows = raw(spark, [{"month": m, "partner": str(p), "value": p} for m in ("2016-01-01", "2016-02-01", "2016-03-01") for p in range(40)])
+    same = rows.repartition(3)
+    found = quality.preserves(rows, same)
+    assert found.collect() == []
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    # The digests of one layer pair, and nothing that groups by whole rows.
+    assert final.count("checksum#") and "on_left" not in final
+    moved = F.when((F.col("partner_code") == "7") & (F.month("period_start_date") == 2), 9).otherwise(F.col("primary_value"))
+    changed = rows.withColumn("primary_value", moved.cast("decimal(38,9)"))
+    sides = sorted(r.side for r in quality.preserves(rows, changed).collect())
+    assert sides == ["left", "right", "totals"]
+    swapped = rows.withColumn("run_id", F.when(F.col("partner_code") == "3", "other").otherwise(F.col("run_id")))
+    assert sorted(r.side for r in quality.preserves(rows, swapped).collect()) == ["left"] * 3 + ["right"] * 3
+    # A repeated row is no difference of sets, but moves the totals.
+    assert [r.side for r in quality.preserves(rows, rows.unionByName(rows.limit(1))).collect()] == ["totals"]
