@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # decimal(29,9) operands make Spark's quotient decimal(38,9), rounded half up.
@@ -144,3 +144,97 @@ def trunc_growth(current: Column, base: Column) -> Column:
 def float_to_decimal(value: Column) -> Column:
     """Nine digits, half away from zero."""
     return value.cast("decimal(38,9)")
+
+
+# The same ratios over a whole frame. They are SQL text in stages of plain columns: Spark
+# compiles them, no expression is copied into another, and few calls reach the JVM.
+KINDS = ("safe", "positive", "growth", "cut", "cut_growth")
+_ONE, _NANO_SQL = "CAST(1 AS decimal(1,0))", f"CAST({NANO} AS decimal(10,0))"
+_LIMIT = f"CAST('{NARROW}' AS decimal(29,0))"
+
+
+def _narrow_sql(*values: str) -> str:
+    return " AND ".join(f"{v} < {_LIMIT} AND {v} > -{_LIMIT}" for v in values)
+
+
+def _operand(value: str) -> str:
+    return f"try_cast({value} AS {OPERAND})"
+
+
+def _scaled_sql(value: str) -> str:
+    rest = f"CAST(CAST({value} % {_ONE} AS decimal(10,9)) * {_NANO_SQL} AS decimal(10,0))"
+    return f"CAST(CAST(floor({value}) AS decimal(29,0)) * {_NANO_SQL} AS decimal(38,0)) + {rest}"
+
+
+def _quick_sql(kind: str, n: str, d: str) -> tuple[str, str, str]:
+    """Where a ratio is defined, where the quick formula serves, and that formula."""
+    divided = f"CAST(try_divide({_operand(n)}, {_operand(d)}) AS decimal(38,9))"
+    if kind == "safe":
+        return f"{d} <> 0", _narrow_sql(n, d), divided
+    if kind == "positive":
+        return f"{d} > 0", _narrow_sql(n, d), divided
+    if kind == "growth":
+        return f"{d} > 0", f"{d} >= 1 AND {_narrow_sql(n, d)}", f"CAST({_operand(divided)} - 1 AS decimal(38,9))"
+    nano = "CAST({} * {} AS decimal(29,0))".format
+    top = f"CAST({nano(_operand(n), _NANO_SQL)} * {_NANO_SQL} AS decimal(38,0))"
+    whole = f"CAST({top} div {nano(_operand(d), _NANO_SQL)} AS decimal(19,0))"
+    cut = f"CAST({whole} * CAST(0.000000001 AS decimal(9,9)) AS decimal(38,9))"
+    if kind == "cut_growth":
+        cut = f"CAST({_operand(cut)} - 1 AS decimal(38,9))"
+    simple = f"{d} >= 1 AND {n} < 1000000000 AND {n} > -1000000000 AND {_narrow_sql(d)}"
+    return f"{d} > 0", simple, cut
+
+
+def with_ratios(frame: DataFrame, wanted: Mapping[str, tuple[str, str, str]]) -> DataFrame:
+    """``frame`` with a column per entry of ``wanted``: name -> (kind, numerator, denominator).
+
+    Kinds: ``safe`` as ``safe_divide``, ``positive`` as ``positive_ratio``, ``growth`` as
+    ``growth``, ``cut`` as ``trunc_share``, ``cut_growth`` as ``trunc_growth``. Numerator and
+    denominator are names of decimal columns. Rows that the quick formula does not serve get
+    the long division, all others leave its columns empty. A column of the frame with a wanted
+    name is replaced.
+    """
+    stages: list[list[str]] = [[] for _ in range(8)]
+    shown = []
+    for place, (name, (kind, numerator, denominator)) in enumerate(wanted.items()):
+        if kind not in KINDS:
+            raise ValueError(f"unknown kind of ratio: {kind}")
+        n, d = f"`{numerator}`", f"`{denominator}`"
+        x = lambda part, place=place: f"__{part}{place}"
+        defined, simple, quick = _quick_sql(kind, n, d)
+        slow = f"{n} IS NOT NULL AND coalesce({defined}, false) AND NOT ({simple})"
+        stages[0] += [f"{slow} AS {x('slow')}", f"CASE WHEN {defined} AND {simple} THEN {quick} END AS {x('quick')}"]
+        stages[1] += [
+            f"CASE WHEN {x('slow')} THEN CAST(ltrim('-', CAST(CAST({v} AS decimal(38,9)) AS string)) AS decimal(38,9)) END AS {x(part)}"
+            for part, v in (("n", n), ("d", d))
+        ]
+        stages[2] += [f"{_scaled_sql(x(part))} AS {x(to)}" for part, to in (("n", "top"), ("d", "bottom"))]
+        stages[3].append(f"CAST({x('top')} % {x('bottom')} AS decimal(38,0)) AS {x('rest')}")
+        stages[4] += [
+            f"CAST(round({x('top')} / {x('bottom')} - {x('rest')} / {x('bottom')}, 0) AS decimal(29,0)) AS {x('whole')}",
+            f"CAST({x('rest')} % {x('d')} AS decimal(38,9)) AS {x('left')}",
+        ]
+        nanos = f"CAST(round({x('rest')} / {x('d')} - {x('left')} / {x('d')}, 0) AS bigint)"
+        stages[5].append(f"{nanos} AS {x('digits')}")
+        more = x("digits")
+        if kind in ("safe", "positive", "growth"):
+            stages[5].append(f"{_scaled_sql(x('left'))} AS {x('odd')}")
+            more += f" + CASE WHEN {x('odd')} >= {x('bottom')} - {x('odd')} THEN 1 ELSE 0 END"
+        stages[6].append(f"{more} AS {x('nanos')}")
+        carry = f"CASE WHEN {x('nanos')} >= {NANO} THEN 1 ELSE 0 END"
+        whole = f"CAST({x('whole')} + CAST({carry} AS decimal(1,0)) AS decimal(30,0))"
+        sign = f"CASE WHEN ({n} < 0) <> ({d} < 0) THEN '-' ELSE '' END"
+        fraction = f"lpad(CAST({x('nanos')} % {NANO} AS string), 9, '0')"
+        stages[7].append(f"concat({sign}, CAST({whole} AS string), '.', {fraction}) AS {x('text')}")
+        exact = f"CAST({x('text')} AS decimal(38,9))"
+        if kind in ("growth", "cut_growth"):
+            # Less one on the text keeps all digits of a wide ratio; a narrow one is subtracted.
+            less = f"CAST(CAST(substring_index({x('text')}, '.', 1) AS decimal(29,0)) - {_ONE} AS string)"
+            wide = f"CAST(concat({less}, '.', substring_index({x('text')}, '.', -1)) AS decimal(38,9))"
+            exact = f"CASE WHEN length({x('text')}) <= 29 THEN CAST({_operand(exact)} - 1 AS decimal(38,9)) ELSE {wide} END"
+        shown.append(f"'{name}', CASE WHEN {x('slow')} THEN {exact} ELSE {x('quick')} END")
+    kept = [f"`{column}`" for column in frame.columns if column not in wanted]
+    for stage in stages:
+        frame = frame.selectExpr("*", *stage)
+    # A filter on a ratio is not pushed below this: it would copy all stages into itself.
+    return frame.selectExpr(*kept, f"inline(array(named_struct({', '.join(shown)})))")

@@ -63,12 +63,13 @@ def scope_monthly(
         aggregate.complete_sum(previous, n).alias("previous_world"),
         F.bool_or("has_countries").alias("has_countries"),
     )
-    return summed.select(
+    grown = ratios.with_ratios(summed, {"world_yoy": ("cut_growth", "world_value", "previous_world")})
+    return grown.select(
         "month",
         "reporter_code",
         F.lit("+".join(products)).alias("cmd_code"),
         "world_value",
-        ratios.trunc_growth(world, F.col("previous_world")).alias("world_yoy"),
+        "world_yoy",
         world.isNotNull().alias("has_world"),
         "has_countries",
     )
@@ -106,14 +107,21 @@ def scope_partners(
         "reporter_code", "month", "world_value"
     )
     complete = F.col("products") == n
-    value = F.col("import_value")
     based = looked_up.join(world, ["reporter_code", "month"], "left").withColumns(
         {
             "previous_month_value": F.when(complete, F.col("month_base")),
             "previous_year_value": F.when(complete, F.col("year_base")),
         }
     )
-    return based.select(
+    divided = ratios.with_ratios(
+        based,
+        {
+            "market_share": ("cut", "import_value", "world_value"),
+            "mom": ("cut_growth", "import_value", "previous_month_value"),
+            "yoy": ("cut_growth", "import_value", "previous_year_value"),
+        },
+    )
+    return divided.select(
         "month",
         "reporter_code",
         F.lit("+".join(products)).alias("cmd_code"),
@@ -122,12 +130,12 @@ def scope_partners(
         "source_name",
         "map_iso3",
         "import_value",
-        ratios.trunc_share(value, F.col("world_value")).alias("market_share"),
+        "market_share",
         "market_share_status",
         "previous_month_value",
         "previous_year_value",
-        ratios.trunc_growth(value, F.col("previous_month_value")).alias("mom"),
-        ratios.trunc_growth(value, F.col("previous_year_value")).alias("yoy"),
+        "mom",
+        "yoy",
     )
 
 
@@ -187,8 +195,7 @@ class Analysis:
                 F.coalesce(F.sum("m"), F.lit(0)).alias("months"),
             )
         )
-        share = ratios.trunc_share(F.col("selected"), F.col("world"))
-        return sums.withColumn("selected_share", share)
+        return ratios.with_ratios(sums, {"selected_share": ("cut", "selected", "world")})
 
     @cached_property
     def rankings(self) -> DataFrame:
@@ -201,13 +208,12 @@ class Analysis:
     @cached_property
     def ranking_table(self) -> DataFrame:
         """The top rows with their share of the period's world total."""
-        value = F.col("value")
         if self.by:
             world = self.totals.select(*self.by, "world")
             joined = self.top.join(world, list(self.by), "left")
         else:
             joined = self.top.withColumn("world", self.totals.select("world").scalar())
-        return joined.withColumn("world_share", ratios.trunc_share(value, F.col("world")))
+        return ratios.with_ratios(joined, {"world_share": ("cut", "value", "world")})
 
     @cached_property
     def trend(self) -> DataFrame:

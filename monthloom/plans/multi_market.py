@@ -68,16 +68,23 @@ def multi_market_monthly(fact: DataFrame, accepted: DataFrame, params: Params) -
     base = F.col("world_value")
     count = F.coalesce("country_count", F.lit(0))
     square = F.pow(F.nullif(base, F.lit(0)).cast("double"), F.lit(2.0))
+    looked_up = ratios.with_ratios(
+        looked_up,
+        {
+            "world_yoy": ("growth", "world_value", "previous_year_world_value"),
+            "country_coverage": ("safe", "country_value", "world_value"),
+        },
+    )
     measured = looked_up.select(
         F.col("period_start_date").alias("month"),
         *keys,
         F.coalesce("world_edition", "country_edition").alias("hs_version"),
         "world_value",
         "previous_year_world_value",
-        ratios.growth(base, F.col("previous_year_world_value")).alias("world_yoy"),
+        "world_yoy",
         "country_value",
         count.alias("country_count"),
-        ratios.safe_divide(F.col("country_value"), base).alias("country_coverage"),
+        "country_coverage",
         (F.try_divide(F.col("sum_squares"), square) * 10000).alias("raw_hhi"),
         base.isNotNull().alias("has_world"),
         (count > 0).alias("has_countries"),
@@ -104,10 +111,16 @@ def multi_market_partners(fact: DataFrame, accepted: DataFrame, params: Params)
     series = ("reporter_code", "cmd_code", "partner_code")
     grown = with_calendar_lookups(fact, series, "period_start_date", lookups)
     world = _until(accepted, params.end).select(*KEY, F.col("primary_value").alias("world_value"))
-    value, base = F.col("primary_value"), F.col("world_value")
+    divided = ratios.with_ratios(
+        grown.join(world, list(KEY), "left"),
+        {
+            "market_share": ("positive", "primary_value", "world_value"),
+            "mom": ("growth", "primary_value", "previous_month_value"),
+            "yoy": ("growth", "primary_value", "previous_year_value"),
+        },
+    )
     return (
-        grown.join(world, list(KEY), "left")
-        .select(
+        divided.select(
             F.col("period_start_date").alias("month"),
             "reporter_code",
             "cmd_code",
@@ -115,13 +128,13 @@ def multi_market_partners(fact: DataFrame, accepted: DataFrame, params: Params)
             "partner_code",
             "source_name",
             "map_iso3",
-            value.alias("import_value"),
-            ratios.positive_ratio(value, base).alias("market_share"),
-            status.share_status(base).alias("market_share_status"),
+            F.col("primary_value").alias("import_value"),
+            "market_share",
+            status.share_status(F.col("world_value")).alias("market_share_status"),
             "previous_month_value",
             "previous_year_value",
-            ratios.growth(value, F.col("previous_month_value")).alias("mom"),
-            ratios.growth(value, F.col("previous_year_value")).alias("yoy"),
+            "mom",
+            "yoy",
         )
         .select(*PARTNER_COLUMNS)
     )

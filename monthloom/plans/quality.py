@@ -198,6 +198,13 @@ def monthly_contract_multi(
     )
     lookup = {"d_previous": ("world_value", -12)}
     joined = with_calendar_lookups(monthly, key[:2], "month", lookup).join(derived, key, "left")
+    joined = ratios.with_ratios(
+        joined,
+        {
+            "d_yoy": ("growth", "world_value", "previous_year_world_value"),
+            "d_coverage": ("positive", "country_value", "world_value"),
+        },
+    )
     world, coverage = F.col("world_value"), F.col("country_coverage")
     count = F.coalesce("d_count", F.lit(0))
     hhi = F.col("hhi")
@@ -209,10 +216,8 @@ def monthly_contract_multi(
         world < 0,
         F.col("country_value") < 0,
         differs(F.col("previous_year_world_value"), F.col("d_previous")),
-        differs(
-            F.col("world_yoy"), ratios.growth(world, F.col("previous_year_world_value"))
-        ),
-        differs(coverage, ratios.positive_ratio(F.col("country_value"), world)),
+        differs(F.col("world_yoy"), F.col("d_yoy")),
+        differs(coverage, F.col("d_coverage")),
         (F.col("hhi_status") == "ok") != hhi.isNotNull(),
         hhi.isNotNull() & (coverage.isNull() | (F.abs(1 - coverage) > F.lit(tolerance))),
         hhi.isNotNull() & (F.abs(hhi.cast("double") - F.col("d_hhi")) > float(HHI_TOLERANCE)),
@@ -227,15 +232,23 @@ def partner_contract_multi(partners: DataFrame, monthly: DataFrame) -> DataFrame
     series = ("reporter_code", "cmd_code", "partner_code")
     world = monthly.select(*key, F.col("world_value").alias("d_world"))
     joined = with_calendar_lookups(partners, series, "month", lookups).join(world, key)
+    joined = ratios.with_ratios(
+        joined,
+        {
+            "d_share": ("positive", "import_value", "d_world"),
+            "d_mom": ("growth", "import_value", "previous_month_value"),
+            "d_yoy": ("growth", "import_value", "previous_year_value"),
+        },
+    )
     value, base = F.col("import_value"), F.col("d_world")
     tests = [
         value < 0,
         differs(F.col("previous_month_value"), F.col("d_month")),
         differs(F.col("previous_year_value"), F.col("d_year")),
-        differs(F.col("market_share"), ratios.positive_ratio(value, base)),
+        differs(F.col("market_share"), F.col("d_share")),
         F.col("market_share_status") != status.share_status(base),
-        differs(F.col("mom"), ratios.growth(value, F.col("previous_month_value"))),
-        differs(F.col("yoy"), ratios.growth(value, F.col("previous_year_value"))),
+        differs(F.col("mom"), F.col("d_mom")),
+        differs(F.col("yoy"), F.col("d_yoy")),
     ]
     return joined.where(_any(tests)).select(*partners.columns)
 
@@ -268,11 +281,13 @@ def partner_contract_single(partners: DataFrame, monthly: DataFrame) -> DataFram
     tests = [
         value < 0,
         not_positive(base) & share.isNotNull(),
-        (base > 0) & differs(share, ratios.safe_divide(value, base)),
+        (base > 0) & differs(share, F.col("d_share")),
         not_positive(F.col("previous_year_value")) & F.col("yoy").isNotNull(),
         not_positive(F.col("previous_month_value")) & F.col("mom").isNotNull(),
     ]
-    return partners.join(world, SINGLE_KEY).where(_any(tests)).select(*partners.columns)
+    joined = partners.join(world, SINGLE_KEY)
+    joined = ratios.with_ratios(joined, {"d_share": ("safe", "import_value", "d_world")})
+    return joined.where(_any(tests)).select(*partners.columns)
 
 
 def spine_gaps(

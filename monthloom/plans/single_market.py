@@ -69,17 +69,25 @@ def partner_market_share(fact: DataFrame, world: DataFrame) -> DataFrame:
     }
     grown = with_calendar_lookups(fact, SERIES, "period_start_date", lookups)
     totals = world.select(*KEY, F.col("primary_value").alias("world_value"))
-    base = F.col("world_value")
-    return grown.join(totals, list(KEY), "left").select(
+    divided = ratios.with_ratios(
+        grown.join(totals, list(KEY), "left"),
+        {
+            "market_share": ("positive", "primary_value", "world_value"),
+            "mom": ("growth", "primary_value", "previous_month_value"),
+            "yoy": ("growth", "primary_value", "previous_year_value"),
+            "unit_value_usd_per_kg": ("positive", "primary_value", "net_weight"),
+        },
+    )
+    return divided.select(
         *fact.columns,
         "world_value",
-        ratios.positive_ratio(value, base).alias("market_share"),
-        status.share_status(base, value).alias("market_share_status"),
+        "market_share",
+        status.share_status(F.col("world_value"), value).alias("market_share_status"),
         "previous_month_value",
         "previous_year_value",
-        ratios.growth(value, F.col("previous_month_value")).alias("mom"),
-        ratios.growth(value, F.col("previous_year_value")).alias("yoy"),
-        ratios.unit_value(value, F.col("net_weight")).alias("unit_value_usd_per_kg"),
+        "mom",
+        "yoy",
+        "unit_value_usd_per_kg",
     )
 
 
@@ -116,9 +124,9 @@ def market_concentration(
         "country_value",
         *[F.coalesce(name, F.lit(0)).alias(name) for name in counts],
         "hhi_raw",
-        ratios.positive_ratio(F.col("country_value"), F.col("world_value")).alias(
-            "country_coverage"
-        ),
+    )
+    covered = ratios.with_ratios(
+        covered, {"country_coverage": ("positive", "country_value", "world_value")}
     )
     label = status.concentration_status_single(
         F.col("world_value"),
@@ -224,7 +232,9 @@ def dashboard_monthly(
         {"previous_year_world_value": ("world_value", -12)},
     )
     count = F.coalesce("country_count", F.lit(0))
-    previous = F.col("previous_year_world_value")
+    looked_up = ratios.with_ratios(
+        looked_up, {"world_yoy": ("growth", "world_value", "previous_year_world_value")}
+    )
     return looked_up.select(
         F.col("period_start_date").alias("month"),
         "reporter_code",
@@ -232,7 +242,7 @@ def dashboard_monthly(
         "hs_version",
         "world_value",
         "previous_year_world_value",
-        ratios.growth(F.col("world_value"), previous).alias("world_yoy"),
+        "world_yoy",
         "country_value",
         count.alias("country_count"),
         "country_coverage",

@@ -223,3 +223,29 @@ def test_calendar_lookup_is_not_the_previous_row(spark):
     lookups = {"pm": ("v", -1), "py": ("v", -12)}
     found = calendar.with_calendar_lookups(rows, ["k"], "month", lookups).orderBy("month").collect()
     assert [(r.pm, r.py) for r in found] == [(None, None), (None, None), (None, 1)]
+
+
+def test_staged_ratios_equal_the_expressions(spark):
+    import itertools
+    import random
+    from decimal import Decimal
+
+    dice = random.Random(4)
+    values = [None, "0", "1", "-1", "0.000000001", "0.999999999", "3", "-7.5", "100000000000000000000", "99999999999999999999.999999999", "-100000000000000000000"]
+    values += [f"{dice.choice(['', '-'])}{dice.randrange(10 ** dice.randrange(1, 27))}.{dice.randrange(10**9):09d}" for _ in range(40)]
+    pairs = [(k, n and Decimal(n), d and Decimal(d)) for k, (n, d) in enumerate(itertools.product(values, values))]
+    frame = spark.createDataFrame(pairs, "k int, n decimal(38,9), d decimal(38,9)")
+    # Only results that fit; the others fail in both forms.
+    frame = frame.where("d is null or n is null or d = 0 or abs(cast(n as double) / cast(d as double)) < 1e28").cache()
+    forms = {
+        "safe": ratios.safe_divide, "positive": ratios.positive_ratio, "growth": ratios.growth,
+        "cut": ratios.trunc_share, "cut_growth": ratios.trunc_growth,
+    }
+    found = ratios.with_ratios(frame, {name: (name, "n", "d") for name in forms})
+    assert found.columns == ["k", "n", "d", *forms]
+    expected = frame.select("k", *[form(F.col("n"), F.col("d")).alias(name) for name, form in forms.items()])
+    assert sorted(map(tuple, found.select("k", *forms).collect())) == sorted(map(tuple, expected.collect()))
+    plan = found._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    assert plan.startswith("Found 1 WholeStageCodegen subtrees") and "CodegenFallback" not in plan
+    narrow = found.where("positive > 1 and growth < 9")._jdf.queryExecution().optimizedPlan().toString()
+    assert narrow.count("__top1") < 12  # the filter holds no copy of the stages
