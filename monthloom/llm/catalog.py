@@ -45,8 +45,8 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("doc_id", "source")
-    return mixing.mix_sources(documents).withColumn("rate", F.round("rate", 6))
+    mixed = mixing.mix_sources(table(spark, folder, "documents"))
+    return mixed.withColumns({"rate": F.round("rate", 6), "text_md5": F.md5(F.col("text").cast("binary"))}).drop("text")
 
 
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:

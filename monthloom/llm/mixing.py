@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthloom.llm.common import saved
+
+#: Sources up to this number are broadcast with their rates, a kilobyte each; more are joined by shuffling.
+BROADCAST_SOURCES = 10_000
 #: Largest mean inverted at once; a larger one is a sum of independent draws.
 PART = 32.0
 #: Terms of a distribution of mean PART or less; the rest weighs under 2**-52.
@@ -69,6 +73,10 @@ def mix_sources(
             " (s, k) -> named_struct('p', s.p * _mean / k, 'c', concat(s.c, array(element_at(s.c, -1) + s.p * _mean / k))), s -> s.c)"
         ),
     )
+    # One row a source, written once: what it was counted from is not read again.
+    terms = saved(terms)
+    if terms.count() <= BROADCAST_SOURCES:
+        terms = F.broadcast(terms)
     draws = F.transform(F.sequence(F.lit(1), F.col("_parts")), lambda j: uniform(seed, F.col("_id"), j))
     # How many terms of the cumulated distribution a draw reaches is its Poisson variable.
     number = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("_cdf", lambda c: c <= u)))
@@ -95,7 +103,8 @@ p AS (
   UNION ALL SELECT source, rate, k + 1, p * rate / (k + 1), c + p * rate / (k + 1) FROM p WHERE k < {TERMS}),
 u AS (SELECT doc_id, source, ('0x' || substr(md5('42:' || doc_id || ':1'), 1, 13))::BIGINT / pow(2, 52) AS u FROM documents),
 n AS (SELECT u.doc_id, u.source, p.rate, count(*) AS n_copies FROM u JOIN p ON u.source IS NOT DISTINCT FROM p.source AND p.c <= u.u GROUP BY ALL)
-SELECT doc_id, source, copy, n_copies, round(rate, 6) AS rate,
+SELECT doc_id, source, lang, n_chars, text_md5, copy, n_copies, round(rate, 6) AS rate,
        ('0x' || substr(md5('43:' || doc_id || ':' || copy), 1, 13))::BIGINT / pow(2, 52) AS shuffle_key
 FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM n)
+JOIN (SELECT doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents) USING (doc_id)
 """

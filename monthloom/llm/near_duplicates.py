@@ -11,7 +11,9 @@ that are alike stay together and the rest parts.
   the largest part is compared with everyone on full sets, block by block, if these are few.
   If they are many, each counts as a family of its own in what follows.
 * What other nodes still hold apart is compared exhaustively where nodes are small, branches
-  again where they are not, and is compared block by block at the last depth.
+  again where they are not, and is compared block by block at the last depth. A block names
+  its sets with alike sketches, compares them on full sets and gives the links that join
+  its parts: fewer than it has sets, however many of them are alike.
 
 Trees are independent: a pair at the threshold misses all root children with a chance of
 0.25 ** (TREES * FANOUT). Its sketch is the same in all trees: it agrees in less than
@@ -114,7 +116,7 @@ def _confirm(batches):
                 last, own = name, shingles(left)
             other = shingles(right)
             common = len(np.intersect1d(own, other, assume_unique=True))
-            keep.append(100 * common >= PERCENT * (len(own) + len(other) - common))
+            keep.append(common > 0 and 100 * common >= PERCENT * (len(own) + len(other) - common))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -129,11 +131,10 @@ def resembling(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return saved(in_arrow(both, _agreement, "a long, b long, agreement double").filter(F.col("agreement") >= least))
 
 
-def texts_of(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """(cid, text) of every set in ``pairs``, as a saved table; several of a doc_id if it has them."""
-    wanted = saved(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
+def texts_of(ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """(cid, text) of every set named in ``ids`` (cid), as a saved table; several of a doc_id if it has them."""
     texts = documents.select(F.col("doc_id").cast("long").alias("cid"), F.col("text").cast("binary").alias("text"))
-    return saved(texts.join(wanted, "cid", "left_semi").dropDuplicates(["cid", "text"]))
+    return saved(texts.join(saved(ids.distinct()), "cid", "left_semi").dropDuplicates(["cid", "text"]))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -150,7 +151,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _across(batches):
     """Links on full sets that join parts of a block; of several that join the same, the first.
 
-    Sets outside the largest part are compared with all others of the block.
+    Sets outside the largest part are compared with all others of the block, until it is one
+    part: of n sets, at most n - 1 links.
     """
     for batch in batches:
         left, right = [], []
@@ -165,15 +167,24 @@ def _across(batches):
 
             sets = [shingles(m["text"]) for m in members]
             sizes = np.array([len(x) for x in sets])
-            owner, values = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+            owner, ends = np.repeat(np.arange(len(sets)), sizes), np.cumsum(sizes)
+            tokens, place = np.unique(np.concatenate(sets), return_inverse=True)
+            mark = np.zeros(len(tokens), bool)
+            left_over = len({m["part"] for m in members}) - 1
             for k, m in enumerate(members):
+                if not left_over:
+                    break
                 if not m["outside"]:
                     continue
-                common = np.bincount(owner[np.isin(values, sets[k])], minlength=len(sets))
-                for j in np.flatnonzero(100 * common >= PERCENT * (sizes + sizes[k] - common)).tolist():
+                own = place[ends[k] - sizes[k] : ends[k]]
+                mark[own] = True
+                common = np.bincount(owner[mark[place]], minlength=len(sets))
+                mark[own] = False
+                for j in np.flatnonzero((common > 0) & (100 * common >= PERCENT * (sizes + sizes[k] - common))).tolist():
                     x, y = find(m["part"]), find(members[j]["part"])
                     if x != y:
                         root[x] = y
+                        left_over -= 1
                         left.append(min(ids[k], ids[j]))
                         right.append(max(ids[k], ids[j]))
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
@@ -237,28 +248,41 @@ def _children(depth):
     return run
 
 
-def _exhaustive(batches):
-    """Pairs of alike sketches, different parts and families inside each node; of two blocks, across them."""
+def _alike(batches):
+    """The members of each block that have an alike sketch of another part and family in it; of two sides, across them."""
     for batch in batches:
-        left, right = [], []
-        for members in batch.column(0).to_pylist():
+        keys, out = [batch.column(k).to_pylist() for k in range(3)], ([], [], [], [], [])
+        for *key, members in zip(*keys, batch.column(3).to_pylist()):
             value = np.frombuffer(b"".join(m["sketch"] for m in members), np.uint8).reshape(-1, TOKENS)
-            ids, part = np.array([m["cid"] for m in members]), np.array([m["part"] for m in members])
-            family, side = np.array([m["family"] for m in members]), np.array([m["side"] for m in members])
+            part, family, side = (np.array([m[c] for m in members]) for c in ("part", "family", "side"))
             across = side.min() != side.max()
+            found = np.zeros(len(members), bool)
             for k in range(len(members)):
                 ok = (part[k + 1 :] != part[k]) & (family[k + 1 :] != family[k]) & ((side[k + 1 :] != side[k]) if across else True)
                 rest = np.flatnonzero(ok) + k + 1
                 rest = rest[(value[rest] == value[k]).mean(axis=1) >= LEAST_AGREEMENT] if len(rest) else rest
-                left += np.minimum(ids[rest], ids[k]).tolist()
-                right += np.maximum(ids[rest], ids[k]).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
-
-
-def _pairs_within(rows: DataFrame, *keys: str) -> DataFrame:
-    """Exhaustive pairs of nodes of bounded size."""
-    gathered = rows.groupBy(*keys).agg(F.collect_list(F.struct("cid", "part", "family", "sketch", "side")).alias("members"))
-    return in_arrow(gathered.select("members"), _exhaustive, "a long, b long")
+                found[rest] = True
+                found[k] |= len(rest) > 0
+            for k in np.flatnonzero(found).tolist():
+                for column, one in zip(out, (*key, members[k]["cid"], members[k]["part"])):
+                    column.append(one)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["node", "x", "y", "cid", "part"])
+
+
+def _alike_within(rows: DataFrame) -> DataFrame:
+    """(node, x, y, cid, part): what is to be compared on full sets in each block of bounded size."""
+    gathered = rows.groupBy("node", "x", "y").agg(F.collect_list(F.struct("cid", "part", "family", "sketch", "side")).alias("members"))
+    return in_arrow(gathered, _alike, "node long, x long, y long, cid long, part long")
+
+
+def block_links(blocks: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links that join the parts of each block (node, x, y, cid, part), confirmed on full sets, as a saved table."""
+    gathered = (
+        blocks.join(texts, "cid")
+        .groupBy("node", "x", "y")
+        .agg(F.collect_list(F.struct("cid", "part", F.lit(True).alias("outside"), "text")).alias("members"))
+    )
+    return saved(in_arrow(gathered.select("members"), _across, "a long, b long"))
 
 
 #: Holds for nodes with several parts and several families, of ``_spread``.
@@ -270,7 +294,7 @@ def _spread():
 
 
 def _branching(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) to confirm from nodes (node, cid, part, family, sketch) that hold sets apart."""
+    """Blocks (node, x, y, cid, part) to compare, of nodes (node, cid, part, family, sketch) that hold sets apart."""
     found = None
     for depth in range(DEPTH + 1):
         by_family = nodes.groupBy("node", "family").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
@@ -289,27 +313,28 @@ def _branching(nodes: DataFrame) -> DataFrame:
         own = F.array(F.pmod(F.xxhash64("cid"), blocks))
         every = F.sequence(F.lit(0).cast("long"), blocks - 1)
         small = nodes.filter(F.col("outside") <= SMALL).withColumn(
-            "block", F.explode(F.when(F.col("family") == F.col("main"), own).otherwise(every))
+            "x", F.explode(F.when(F.col("family") == F.col("main"), own).otherwise(every))
         )
-        pairs = _pairs_within(small, "node", "block")
+        alike = _alike_within(small.withColumn("y", F.lit(-1).cast("long")))
         large = nodes.filter(F.col("outside") > SMALL)
         last = depth == DEPTH or large.isEmpty()
         if last:
-            # Blocks of SMALL / 2 sets meet two by two.
+            # Blocks of BLOCK / 2 sets meet two by two.
             block = F.pmod(F.xxhash64("cid"), F.col("blocks"))
             dealt = (
-                large.withColumn("blocks", F.ceil(F.col("n") * 2 / SMALL))
+                large.withColumn("blocks", F.ceil(F.col("n") * 2 / BLOCK))
                 .withColumn("own", block)
                 .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
                 .withColumn("x", F.least("own", "other"))
                 .withColumn("y", F.greatest("own", "other"))
                 .withColumn("side", F.when(F.col("own") == F.col("x"), 0).otherwise(1))
             )
-            pairs = pairs.union(_pairs_within(dealt, "node", "x", "y"))
-        pairs = saved(pairs.distinct())
-        found = pairs if found is None else found.union(pairs)
+            alike = alike.union(_alike_within(dealt))
+        # Nodes of two depths have names of their own: the depth is hashed into a child's.
+        alike = saved(alike)
+        found = alike if found is None else found.union(alike)
         if last:
-            return found.distinct()
+            return found
         nodes = in_arrow(large.select("node", "cid", "part", "family", "sketch"), _children(depth), "node long, cid long, part long, family long, sketch binary")
 
 
@@ -346,7 +371,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     stars = members.filter("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
     stars = resembling(stars, classes, RESEMBLES)
     families = stars.groupBy("b").agg(F.min("a").alias("a"))
-    texts = texts_of(stars, source)
+    texts = texts_of(stars.select(F.col("a").alias("cid")).union(stars.select("b")), source)
     links = confirmed(stars.filter(F.col("agreement") >= LEAST_AGREEMENT), texts)
     parts = saved(components(links)).select(F.col("id").alias("cid"), "component")
     divided = apart_families(families, parts)
@@ -361,8 +386,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     apart = open_.groupBy("node").agg(*_spread()).filter(APART).select("node")
     rows = open_.join(apart, "node", "left_semi").join(classes.select("cid", "sketch"), "cid")
-    pairs = resembling(_branching(rows.select("node", "cid", "part", "family", "sketch")), classes, LEAST_AGREEMENT)
-    more = confirmed(pairs, texts_of(pairs, source))
+    blocks = _branching(rows.select("node", "cid", "part", "family", "sketch"))
+    more = block_links(blocks, texts_of(blocks.select("cid"), source))
     final = components(links.union(more).union(signed_ids(filled, names)))
     of = names.join(final.select(F.col("id").alias("cid"), "component"), "cid", "left").select(
         "set1", "set2", F.coalesce("component", "cid").alias("component_id")
