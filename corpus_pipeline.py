@@ -38,11 +38,10 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest doc_id, one row of it."""
-    found = saved(near_duplicates.near_duplicates(docs).select("doc_id", "kept"))
-    once = _without(docs, found.filter("not kept"))
-    several = found.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    repeated = once.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.join(several, "doc_id", "left_anti").unionByName(repeated)
+    found = near_duplicates.near_duplicates(docs).filter("not kept")
+    # One row a doc_id is chosen before the only shuffle of the texts; the join that follows keeps its order.
+    once = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    return _without(once, found).unionByName(docs.select(*COLUMNS).filter("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
