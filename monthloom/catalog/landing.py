@@ -10,6 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from monthloom.catalog.explore import plain_cents_sql
 from monthloom.catalog.oracle import money
 from monthloom.catalog.registry import REGIONS, TYPES, Tables, query
 from monthloom.functions.text import plain_decimal
@@ -341,12 +342,12 @@ def _lane(place: int) -> str:
     "extract_digest",
     f"""SELECT period, rep AS reporter_code, cmd AS cmd_code, rev AS revision, 'sha256:' ||
   sha256(count(*) || ':' || {" || ':' || ".join(_lane(i) for i in range(4))}) AS content_digest
-FROM (SELECT *, sha256(par || '|' || hs || '|' || src) AS h FROM t_detail)
+FROM (SELECT *, sha256(par || '|' || hs || '|' || src || '|' || {plain_cents_sql("v")}) AS h FROM t_detail)
 GROUP BY period, rep, cmd, rev""",
 )
 def extract_digest(t: Tables):
     """Order-free content digest of each extract, summed over its lines."""
-    line = F.concat_ws("|", "partner_code", "hs_version", "source_file")
+    line = F.concat_ws("|", "partner_code", "hs_version", "source_file", plain_decimal(F.col("primary_value")))
     found = aggregate.extract_summary(t.panel.detail, EXTRACT_KEY, "primary_value", line)
     return found.drop("row_count", "primary_value_sum")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from monthloom.catalog.oracle import SPINE, money
-from monthloom.catalog.marts import RAW_SQL
+from monthloom.catalog.marts import MONTHLY_SQL, PARTNER_SQL, RAW_SQL
 from monthloom.catalog.registry import END, START, STAR, TYPES, Tables, query
 from monthloom.operators import aggregate, revision, sets
 from monthloom.params import HHI_STATUSES
@@ -133,22 +133,18 @@ def tagged_union(t: Tables):
 
 @query(
     "tagged_union_export",
-    """SELECT 'monthly' AS kind, strftime(m, '%Y-%m-%d') AS month, rep AS reporter_code,
-  cmd AS cmd_code, status AS hhi_status, CAST(NULL AS VARCHAR) AS partner_code,
-  CAST(NULL AS DOUBLE) AS import_value FROM t_monthly
-UNION ALL SELECT 'partners', strftime(m, '%Y-%m-%d'), rep, cmd, NULL, par, CAST(v AS DOUBLE) / 100
-FROM t_partners""",
+    f"""SELECT 'monthly' AS kind, {MONTHLY_SQL} FROM t_monthly
+UNION ALL BY NAME SELECT 'partners' AS kind, {PARTNER_SQL} FROM t_partners""",
 )
 def tagged_union_export(t: Tables):
-    """Both marts in one result, each as a struct that is NULL in the other's rows."""
+    """Both marts in one result, each as a struct that is NULL in the other's rows; all fields of both."""
     pair = publish.export_pair(t.multi.monthly, t.multi.partners, START, STAR_END_EXCLUSIVE)
-    either = [
-        F.coalesce(F.col(f"monthly.{n}"), F.col(f"partners.{n}")).alias(n)
-        for n in ("month", "reporter_code", "cmd_code")
-    ]
+    held = {"monthly": publish.MONTHLY_SCHEMA.fieldNames(), "partners": publish.PARTNER_SCHEMA.fieldNames()}
+    names = dict.fromkeys(name for fields in held.values() for name in fields)
     return pair.select(
-        "kind", *either, "monthly.hhi_status", "partners.partner_code", "partners.import_value"
-    )
+        "kind",
+        *[F.coalesce(*[F.col(f"{kind}.{name}") for kind in held if name in held[kind]]).alias(name) for name in names],
+    ).withColumn("hhi", F.round("hhi", 4))  # the SQL sums squares of doubles
 
 
 STAR_END_EXCLUSIVE = END.replace(year=END.year + 1, month=1)

@@ -7,9 +7,11 @@ from datetime import date
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from monthloom.catalog.marts import PARTNER_SQL
 from monthloom.catalog.oracle import cut, cut_growth, iso, money, ratio
 from monthloom.catalog.registry import Tables, query
 from monthloom.functions import calendar, ratios, status, text
+from monthloom.plans.publish import typed_rows
 from monthloom.sources.landing import json_rows
 from monthloom.sources.snapshot import to_wire
 from monthloom.schemas import PARTNER_COLUMNS, PARTNER_SCHEMA, RAW_SCHEMA
@@ -165,26 +167,12 @@ def json_round_trip(t: Tables):
     return json_rows(texts, "rows", wanted)
 
 
-@query(
-    "packed_rows",
-    """SELECT strftime(m, '%Y-%m-%d') AS month, cmd AS cmd_code, hs AS hs_version,
-  par AS partner_code, name AS source_name, map3 AS map_iso3, rep AS reporter_code,
-  status AS market_share_status FROM t_partners""",
-)
+@query("packed_rows", f"SELECT {PARTNER_SQL} FROM t_partners")
 def packed_rows(t: Tables):
-    """Partner rows packed into cells and unpacked by column order."""
+    """Partner rows packed into cells and unpacked by column order, amounts included."""
     wire = to_wire(t.multi.partners, PARTNER_SCHEMA)
     unpacked = text.unpack_rows(text.pack_rows(wire, PARTNER_COLUMNS), PARTNER_COLUMNS)
-    return unpacked.select(
-        "month",
-        "cmd_code",
-        "hs_version",
-        "partner_code",
-        "source_name",
-        "map_iso3",
-        "reporter_code",
-        "market_share_status",
-    )
+    return typed_rows(unpacked, PARTNER_SCHEMA)
 
 
 @query(
