@@ -1,6 +1,6 @@
 """Registered queries over the star tables, each with its SQL counterpart."""
 
-from monthloom.catalog import explore, files, landed, landing, lines, loading, marts, quality, scalars, steps
+from monthloom.catalog import explore, files, landed, landing, lines, loading, marts, outcomes, quality, scalars, steps
 from monthloom.catalog.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -13,6 +13,7 @@ __all__ = [
     "lines",
     "loading",
     "marts",
+    "outcomes",
     "quality",
     "scalars",
     "steps",

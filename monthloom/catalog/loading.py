@@ -339,9 +339,13 @@ def delivery_partition(t: Tables):
     "reference_refresh",
     """SELECT par AS partner_code, name AS source_name, iso3 AS source_iso_alpha3,
   is_group AS source_is_group, kind AS partner_type, status AS classification_status, map3 AS map_iso3,
-  note AS classification_note FROM t_country WHERE CAST(par AS INTEGER) % 3 <> 0
+  note AS classification_note, '' AS source_note, role AS reconciliation_role, 'star' AS source_url,
+  '1998-08-02' AS retrieved_at, 'star' AS classification_source_url, 'star' AS mapping_source_url,
+  CAST(NULL AS VARCHAR) AS mapping_note FROM t_country WHERE CAST(par AS INTEGER) % 3 <> 0
 UNION ALL SELECT par, name, iso3, false, 'country', 'verified', iso3,
-  'Comtrade code and ISO3 match M49 country/area: ' || upper(name) FROM t_country
+  'Comtrade code and ISO3 match M49 country/area: ' || upper(name), '', 'detail', 'partners',
+  '1998-08-02', 'official', 'official', 'Official code and ISO3 verified; geometry coverage checked separately'
+FROM t_country
 WHERE CAST(par AS INTEGER) % 3 = 0 AND NOT is_group AND CAST(par AS INTEGER) % 5 <> 0""",
 )
 def reference_refresh(t: Tables):
@@ -361,14 +365,4 @@ def reference_refresh(t: Tables):
         F.upper("source_name").alias("name"),
         other.alias("iso3"),
     )
-    found = refreshed_reference(existing, partners, official, "1998-08-02")
-    return found.select(
-        "partner_code",
-        "source_name",
-        "source_iso_alpha3",
-        "source_is_group",
-        "partner_type",
-        "classification_status",
-        "map_iso3",
-        "classification_note",
-    )
+    return refreshed_reference(existing, partners, official, "1998-08-02", "partners", "official")

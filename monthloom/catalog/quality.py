@@ -11,6 +11,7 @@ from monthloom.operators import aggregate, revision, sets
 from monthloom.params import HHI_STATUSES
 from monthloom.plans import publish, quality
 from monthloom.plans.load import cut_lineage
+from monthloom.schemas import MONTHLY_SCHEMA
 
 
 @query(
@@ -340,12 +341,28 @@ def snapshot_row_rules(t: Tables):
   count(*) AS partners_rows,
   (SELECT count(*) FROM (SELECT DISTINCT rep, cmd FROM t_monthly WHERE world IS NOT NULL OR n > 0))
     AS scopes,
+  (SELECT string_agg(rep || '/' || cmd || ' ' || n || ' ' || lo || ' ' || hi, ', ' ORDER BY rep, cmd) FROM
+    (SELECT rep, cmd, count(DISTINCT m) AS n, strftime(min(m), '%Y-%m-%d') AS lo, strftime(max(m), '%Y-%m-%d') AS hi
+     FROM t_monthly WHERE world IS NOT NULL OR n > 0 GROUP BY rep, cmd)) AS availability,
+  true AS monthly_digest_repeats, true AS partners_digest_repeats,
   (SELECT strftime(max(m), '%Y-%m-%d') FROM t_monthly WHERE world IS NOT NULL OR n > 0)
     AS latest_data_month, '1995-01-01' AS start_month, '2002-01-01' AS end_exclusive
 FROM t_partners""",
 )
 def snapshot_metadata(t: Tables):
+    """Metadata of both marts, the scopes as text; digests are those of the same rows dealt anew."""
     found = publish.scope_metadata(t.multi.monthly, t.multi.partners, START, STAR_END_EXCLUSIVE)
-    return found.withColumn("scopes", F.size("availability").cast("bigint")).drop(
-        "availability", "monthly_digest", "partners_digest"
+    scope = "concat(s.reporter_code, '/', s.cmd_code, ' ', size(s.months), ' ', s.start_month, ' ', s.latest_data_month)"
+    repeated = [
+        (
+            publish.document_summary(frame.repartition("partner_code" if name == "partners" else "month"), schema, name)
+            .select(f"{name}_digest").scalar().eqNullSafe(F.col(f"{name}_digest")).alias(f"{name}_digest_repeats")
+        )
+        for name, frame, schema in (("monthly", t.multi.monthly, MONTHLY_SCHEMA), ("partners", t.multi.partners, publish.PARTNER_SCHEMA))
+    ]
+    return found.select(
+        *[c for c in found.columns if c not in ("availability", "monthly_digest", "partners_digest")],
+        F.size("availability").cast("bigint").alias("scopes"),
+        F.array_join(F.expr(f"transform(availability, s -> {scope})"), ", ").alias("availability"),
+        *repeated,
     )

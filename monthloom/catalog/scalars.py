@@ -191,7 +191,8 @@ def amount_bands(t: Tables):
 @query(
     "code_rules",
     """SELECT count(*) AS partners, count(*) FILTER (map3 IS NOT NULL) AS mapped,
-  count(*) AS valid_codes, CAST(0 AS BIGINT) AS valid_padded FROM t_country""",
+  count(*) AS valid_codes, CAST(0 AS BIGINT) AS valid_padded,
+  count(*) FILTER (regexp_full_match(name, '[A-Za-z0-9_-]{1,128}')) AS run_names FROM t_country""",
 )
 def code_rules(t: Tables):
     padded = F.concat(F.lit(" "), "partner_code")
@@ -200,4 +201,5 @@ def code_rules(t: Tables):
         F.count_if(text.valid_iso3(F.col("map_iso3"))).alias("mapped"),
         F.count_if(text.valid_code(F.col("partner_code"))).alias("valid_codes"),
         F.count_if(text.valid_code(padded)).alias("valid_padded"),
+        F.count_if(text.valid_run_id(F.col("source_name"))).alias("run_names"),
     )

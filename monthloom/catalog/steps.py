@@ -144,9 +144,11 @@ def generic_checks(t: Tables):
   nullif({plain_cents_sql("pworld")}, '') AS previous_year_world_value,
   nullif({plain_nano_sql("yoy")}, '') AS world_yoy, nullif({plain_cents_sql("cv")}, '') AS country_value,
   n AS country_count, nullif({plain_nano_sql("cov")}, '') AS country_coverage,
+  CASE WHEN status = 'ok' THEN round(raw, 4) END AS hhi,
   status AS hhi_status, world IS NOT NULL AS has_world, n > 0 AS has_countries
 FROM t_monthly""",
 )
 def snapshot_wire_rows(t: Tables):
-    """Month rows as published: exact decimals as text, NULL where unknown."""
-    return to_wire(t.multi.monthly, MONTHLY_SCHEMA).drop("hhi")
+    """Month rows as published: exact decimals as text, NULL where unknown; the index at four digits."""
+    wire = to_wire(t.multi.monthly, MONTHLY_SCHEMA)
+    return wire.withColumn("hhi", F.round(F.col("hhi").cast("double"), 4))

@@ -27,15 +27,21 @@ def winning_extracts(
 
 
 def accept_latest_extract(
-    detail: DataFrame, scope: Sequence[str] = SCOPE, newest: Sequence[str] = NEWEST
+    detail: DataFrame,
+    scope: Sequence[str] = SCOPE,
+    newest: Sequence[str] = NEWEST,
+    versions: DataFrame | None = None,
 ) -> DataFrame:
     """Every row of the newest extract of each scope, and no row of an older one.
 
     Ranking rows with a window would sort a whole scope in one task. Joining the
     rows to the winning versions keeps them where they are when the winners are
     small enough to broadcast, and lets Spark split a hot scope when they are not.
+    ``versions``, where a load keeps them, name the extracts of the table, so that its
+    rows are read once.
     """
-    winners = winning_extracts(detail, scope, newest).select(
+    known = detail if versions is None else versions
+    winners = winning_extracts(known, scope, newest).select(
         *scope, *[F.col(f"winner.{name}").alias(name) for name in newest]
     )
     return null_safe_join(detail, winners, (*scope, *newest), "left_semi")

@@ -269,8 +269,9 @@ class Batch:
         )
         fact_path = f"{self.tables}/fact"
         load.refresh_fact(
-            self.spark, fact_path, detail, self.countries, self.hs_codes, self.params, load.months_of(feed), self.full
-        )
+            self.spark, fact_path, detail, self.countries, self.hs_codes, self.params, load.months_of(feed), self.full,
+            load.scan_versions(self.spark, f"{self.tables}/versions"),
+        )
         fact = member_or_all(load.scan_fact(self.spark, fact_path), "reporter_code", self.params.reporters)
         totals = load.cut_lineage(member_or_all(accepted_world(world, self.params), "reporter_code", self.params.reporters))
         marts = self.folder("marts") + f"/{attempt}"

@@ -31,13 +31,19 @@ def in_scope(raw: DataFrame, params: Params) -> DataFrame:
 
 
 def multi_market_fact(
-    detail: DataFrame, countries: DataFrame, hs_codes: DataFrame, params: Params
+    detail: DataFrame,
+    countries: DataFrame,
+    hs_codes: DataFrame,
+    params: Params,
+    versions: DataFrame | None = None,
 ) -> DataFrame:
     """Accepted extracts first, verified countries with valid amounts second.
 
-    In the other order a partner dropped by a newer extract would come back.
+    In the other order a partner dropped by a newer extract would come back. ``versions``
+    are those that the load keeps, see ``load.scan_versions``.
     """
-    accepted = accept_latest_extract(in_scope(detail, params))
+    known = None if versions is None else in_scope(versions, params)
+    accepted = accept_latest_extract(in_scope(detail, params), versions=known)
     return conform_verified(accepted, dim_countries(countries), hs_codes)
 
 
