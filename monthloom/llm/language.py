@@ -6,6 +6,7 @@ import math
 import re
 import uuid
 from collections import defaultdict
+from collections.abc import Sequence
 from functools import cache
 
 import numpy as np
@@ -24,8 +25,8 @@ SMOOTHING = 0.05
 #: Log-probability of a character that is in no piece.
 UNKNOWN = math.log(1e-7)
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Longer runs of letters are scored in parts: products of this many probabilities don't underflow.
-LONGEST_WORD = 32
+#: Words of more letters are summed in logarithms: products of so many probabilities don't underflow.
+PLAIN_LETTERS = 24
 
 
 @cache
@@ -43,11 +44,8 @@ def pieces(model_file: str) -> dict[str, int]:
 
 
 def words(text: str) -> list[str]:
-    """Runs of letters in lower case; of very long ones, parts of LONGEST_WORD letters."""
-    found = LETTERS.findall(text.lower())
-    if found and max(map(len, found)) > LONGEST_WORD:
-        found = [w[k : k + LONGEST_WORD] for w in found for k in range(0, len(w), LONGEST_WORD)]
-    return found
+    """Runs of letters in lower case, of any length."""
+    return LETTERS.findall(text.lower())
 
 
 def has_letter(found: list[str]) -> bool:
@@ -69,6 +67,8 @@ def arcs(word: str, ids: dict[str, int], longest: int) -> list[list[tuple[int, i
 
 def forward(word: str, rows: dict[str, tuple[float, ...]], unknown: tuple[float, ...], longest: int) -> list[float]:
     """Log-probability of a word in each language: the sum over all its segmentations."""
+    if len(word) > PLAIN_LETTERS:
+        return log_forward(word, rows, unknown, longest)
     marked = "▁" + word
     alpha: list = [(1.0,) * len(unknown)]
     for end in range(1, len(marked) + 1):
@@ -82,22 +82,64 @@ def forward(word: str, rows: dict[str, tuple[float, ...]], unknown: tuple[float,
     return [math.log(max(a, 1e-300)) for a in alpha[-1]]
 
 
-def expected_counts(word: str, n: float, ids: dict[str, int], longest: int, p: np.ndarray, into: dict[int, float]) -> None:
+def log_forward(word: str, rows: dict[str, tuple[float, ...]], unknown: tuple[float, ...], longest: int) -> list[float]:
+    """``forward`` in logarithms, for words of any length: keeps the last ``longest`` sums only.
+
+    Each language has a scale of its own, the largest of the sums it adds.
+    """
+    marked = "▁" + word
+    recent = [np.zeros(len(unknown))]  # of the last places, the newest last
+    for end in range(1, len(marked) + 1):
+        first = end - len(recent)
+        found = [(recent[-1], rows.get(marked[end - 1 : end], unknown))]
+        for start in range(first, end - 1):
+            row = rows.get(marked[start:end])
+            if row:
+                found.append((recent[start - first], row))
+        sums = np.array([a for a, _ in found]) + np.log(np.array([row for _, row in found]))
+        top = sums.max(axis=0)
+        recent.append(top + np.log(np.exp(sums - top).sum(axis=0)))
+        del recent[:-longest]
+    return recent[-1].tolist()
+
+
+def log_sum(terms: list[float]) -> float:
+    top = max(terms)
+    return top + math.log(sum(math.exp(x - top) for x in terms))
+
+
+def log_expected_counts(word: str, n: float, ids: dict[str, int], longest: int, p: Sequence[float], into: dict[int, float]) -> None:
+    """``expected_counts`` in logarithms, for words of any length."""
+    lattice = [[(start, token, math.log(p[token])) for start, token in here] for here in arcs(word, ids, longest)]
+    alpha = [0.0]
+    for here in lattice:
+        alpha.append(log_sum([alpha[start] + x for start, _, x in here]))
+    leaving: list[list[float]] = [[] for _ in range(len(alpha))]  # by place, what goes on from it to the end
+    leaving[-1].append(0.0)
+    for end in range(len(alpha) - 1, 0, -1):
+        beta = log_sum(leaving[end])
+        for start, token, x in lattice[end - 1]:
+            leaving[start].append(beta + x)
+            if token >= 0:
+                into[token] += n * math.exp(alpha[start] + x + beta - alpha[-1])
+
+
+def expected_counts(word: str, n: float, ids: dict[str, int], longest: int, p: Sequence[float], into: dict[int, float]) -> None:
     """Adds the expected number of times each piece is used in ``n`` occurrences of a word."""
+    if len(word) > PLAIN_LETTERS:
+        return log_expected_counts(word, n, ids, longest, p, into)
     lattice, size = arcs(word, ids, longest), len(word) + 1
     alpha, beta = [0.0] * (size + 1), [0.0] * (size + 1)
     alpha[0] = beta[size] = 1.0
     for end, here in enumerate(lattice, 1):
-        alpha[end] = sum(alpha[start] * float(p[token]) for start, token in here)
-        if alpha[end] < 1e-250:
-            return  # longer than any sum of doubles can tell; other words decide
+        alpha[end] = sum(alpha[start] * p[token] for start, token in here)
     for end in range(size, 0, -1):
         for start, token in lattice[end - 1]:
-            beta[start] += beta[end] * float(p[token])
+            beta[start] += beta[end] * p[token]
     for end, here in enumerate(lattice, 1):
         for start, token in here:
             if token >= 0:
-                into[token] += n * alpha[start] * float(p[token]) * beta[end] / alpha[size]
+                into[token] += n * alpha[start] * p[token] * beta[end] / alpha[size]
 
 
 def sample(documents: DataFrame, per_language: int) -> DataFrame:
@@ -166,9 +208,10 @@ def _expectation(shared, place, model_file):
         ids, table = pieces(model_file), shared.value
         longest = max(map(len, ids))
         sums: dict[str, dict[int, float]] = {lang: defaultdict(float) for lang in place}
+        own = {lang: table[:, k].tolist() for lang, k in place.items()}
         for batch in batches:
             for lang, word, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                expected_counts(word, n, ids, longest, table[:, place[lang]], sums[lang])
+                expected_counts(word, n, ids, longest, own[lang], sums[lang])
         for lang, found in sums.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int32()), pa.array(found.values(), pa.float64())],
@@ -224,7 +267,8 @@ def identify(documents: DataFrame, model_file: str, per_language: int = SAMPLE,
     share among the languages (a posterior with equal priors); ties go to the first in order.
     Null texts and texts without a letter are ``und`` with score 0, and so is everything where
     no row has a language. Only texts enter a prediction; rows of null lang are predicted, not
-    learned from. Repeated rows count each. Other columns are ignored.
+    learned from. Repeated rows count each. An empty table gives no rows. Texts and words of any
+    length are scored whole. Other columns are ignored.
     """
     languages, table = fit(documents, model_file, per_language, rounds)
     shared = documents.sparkSession.sparkContext.broadcast((languages, table))

@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from decimal import Decimal
 
 import numpy as np
 import public_tokenizers
@@ -165,6 +166,38 @@ def test_forward_sums_all_segmentations():
     assert np.isclose(expected[ids["▁ab"]], 2 * 0.03125 / total)
 
 
+def _exact(word, rows, unknown):
+    """Sum over all segmentations, in decimals of any size, and expected counts of the pieces."""
+    text, size = "▁" + word, len(word) + 1
+    longest = max(map(len, rows))
+    paths = [[(s, text[s:e], Decimal(rows.get(text[s:e], unknown))) for s in range(max(0, e - longest), e) if text[s:e] in rows or s == e - 1] for e in range(1, size + 1)]
+    alpha, beta, found = [Decimal(1)] + [Decimal(0)] * size, [Decimal(0)] * size + [Decimal(1)], Counter()
+    for e in range(1, size + 1):
+        alpha[e] = sum(alpha[s] * p for s, _, p in paths[e - 1])
+    for e in range(size, 0, -1):
+        for s, piece, p in paths[e - 1]:
+            beta[s] += beta[e] * p
+            if piece in rows:
+                found[piece] += alpha[s] * p * beta[e] / alpha[size]
+    return alpha[size], found
+
+
+@pytest.mark.parametrize("size", [language.PLAIN_LETTERS, language.PLAIN_LETTERS + 1, 70, 10_000])
+def test_long_words_are_summed_whole(size):
+    first = {"▁": 0.25, "▁a": 0.01, "a": 0.002, "b": 0.1, "ab": 0.004, "bca": 1e-5, "ccc": 2e-8}
+    rows = {piece: (p, 1e-8, p / 3) for piece, p in first.items()}
+    word = "".join(random.Random(size).choices("abcd", k=size))  # no piece has a d
+    assert language.words(f"{word}, {word}") == [word, word]
+    found = language.forward(word, rows, (1e-7,) * 3, 3)
+    for k in range(3):
+        total, counts = _exact(word, {piece: row[k] for piece, row in rows.items()}, 1e-7)
+        assert math.isclose(found[k], float(total.ln()), rel_tol=1e-9)
+        ids, expected = {piece: i for i, piece in enumerate(rows)}, Counter()
+        language.expected_counts(word, 2.0, ids, 3, [row[k] for row in rows.values()] + [1e-7], expected)
+        for piece, i in ids.items():
+            assert math.isclose(expected[i], 2 * float(counts[piece]), rel_tol=1e-6, abs_tol=1e-12), piece
+
+
 def _unigrams(rows):
     training = Counter(w for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 10 for w in recurrent.tokens((t or "").encode()))
     n, v = sum(training.values()), len(training)
