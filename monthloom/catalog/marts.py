@@ -99,7 +99,7 @@ def months(t: Tables):
 
 @query("accepted_latest_extract", f"SELECT {RAW_SQL} FROM t_accepted")
 def accepted_latest_extract(t: Tables):
-    return accept_latest_extract(t.panel.detail)
+    return accept_latest_extract(t.panel.detail, clustered=t.by_line)
 
 
 @query("accepted_latest_row", f"SELECT {WORLD_SQL} FROM t_aworld")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthloom.operators.joins import null_safe_join
@@ -31,6 +31,7 @@ def accept_latest_extract(
     scope: Sequence[str] = SCOPE,
     newest: Sequence[str] = NEWEST,
     versions: DataFrame | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """Every row of the newest extract of each scope, and no row of an older one.
 
@@ -38,8 +39,15 @@ def accept_latest_extract(
     rows to the winning versions keeps them where they are when the winners are
     small enough to broadcast, and lets Spark split a hot scope when they are not.
     ``versions``, where a load keeps them, name the extracts of the table, so that its
-    rows are read once.
+    rows are read once. ``clustered`` says that the rows of a scope lie in one task
+    already, as in the panel by line: then a maximum over the scope reads them once and
+    moves nothing.
     """
+    if clustered:
+        version = F.struct(*newest)
+        best = F.max(version).over(Window.partitionBy(*scope))
+        marked = detail.withColumn("__best", best)
+        return marked.where(version.eqNullSafe(F.col("__best"))).drop("__best")
     known = detail if versions is None else versions
     winners = winning_extracts(known, scope, newest).select(
         *scope, *[F.col(f"winner.{name}").alias(name) for name in newest]

@@ -19,7 +19,9 @@ from monthloom.functions.text import namespaced_sha256
 from monthloom.params import IMPORT_FLOW, WORLD_CODE
 from monthloom.schemas import COUNTRY_SCHEMA, HS_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
 
-EXTRACT = ("period_start_date", "reporter_code", "cmd_code", "revision")
+UNIT = ("period_start_date", "reporter_code", "cmd_code")
+EXTRACT = (*UNIT, "revision")
+LINES_A_TASK = 250_000
 
 
 # Columns of the star tables this panel is made of.
@@ -55,7 +57,15 @@ def two_digits(total: Column) -> Column:
     return (total.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(38,9)")
 
 
-def star_cells(spark: SparkSession, folder: str, by_line: bool = False) -> DataFrame:
+def line_parts(spark: SparkSession, folder: str) -> int:
+    """Parts of a panel by line: as many as the table asks for. Counting reads footers only."""
+    lines = read(spark, folder, "lineitem").count()
+    return max(spark.sparkContext.defaultParallelism, lines // LINES_A_TASK + 1)
+
+
+def star_cells(
+    spark: SparkSession, folder: str, by_line: bool = False, tasks: int = 0, by_month: bool = False
+) -> DataFrame:
     """One row per month, reporter, partner, product and revision.
 
     ``by_line`` takes the supplier itself as partner and the part as product: about one
@@ -66,6 +76,11 @@ def star_cells(spark: SparkSession, folder: str, by_line: bool = False) -> DataF
     Orders meet customers before the lines do, so the widest input is shuffled with
     two narrow columns attached instead of the customer row. The sums combine on
     the map side; unless ``by_line``, what is left is bounded by the codes.
+
+    ``by_line`` nothing combines, so the joined lines are dealt once by month, reporter
+    and product, to ``tasks``. Extracts and their versions lie together from there on,
+    and the steps that follow shuffle nothing again. ``by_month`` deals ranges of them,
+    for a write by month.
     """
     nation = read(spark, folder, "nation")
     region = read(spark, folder, "region")
@@ -87,7 +102,7 @@ def star_cells(spark: SparkSession, folder: str, by_line: bool = False) -> DataF
         "s_suppkey", partner.cast("string").alias("partner_code")
     )
     weighed = F.when(F.col("l_linenumber") != 7, F.col("l_quantity"))
-    return (
+    joined = (
         read(spark, folder, "lineitem")
         .select(
             "l_orderkey",
@@ -102,13 +117,15 @@ def star_cells(spark: SparkSession, folder: str, by_line: bool = False) -> DataF
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(*EXTRACT, "partner_code")
-        .agg(
-            two_digits(F.sum("amount")).alias("primary_value"),
-            two_digits(F.sum("weight")).alias("net_weight"),
-            two_digits(F.sum("units")).alias("quantity"),
-            F.max("ordered_at").alias("ordered_at"),
-        )
+    )
+    if by_line:
+        deal = joined.repartitionByRange if by_month else joined.repartition
+        joined = deal(tasks or line_parts(spark, folder), *UNIT)
+    return joined.groupBy(*EXTRACT, "partner_code").agg(
+        two_digits(F.sum("amount")).alias("primary_value"),
+        two_digits(F.sum("weight")).alias("net_weight"),
+        two_digits(F.sum("units")).alias("quantity"),
+        F.max("ordered_at").alias("ordered_at"),
     )
 
 
@@ -237,10 +254,23 @@ class Panel:
     folder: str
     by_line: bool = False
 
+    @cached_property
+    def parts(self) -> int:
+        return line_parts(self.spark, self.folder)
+
     @cached_property
     def detail(self) -> DataFrame:
-        rows = star_detail(star_cells(self.spark, self.folder, self.by_line))
-        return rows if self.by_line else rows.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.by_line:
+            return star_detail(star_cells(self.spark, self.folder, True, self.parts))
+        rows = star_detail(star_cells(self.spark, self.folder))
+        return rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+    @cached_property
+    def detail_by_month(self) -> DataFrame:
+        """The same rows for a write by month; by line a task holds one or few months."""
+        if not self.by_line:
+            return self.detail
+        return star_detail(star_cells(self.spark, self.folder, True, self.parts, by_month=True))
 
     @cached_property
     def countries(self) -> DataFrame:
