@@ -35,7 +35,8 @@ def extracts(detail: DataFrame) -> DataFrame:
 
 def stored_before(t: Tables) -> DataFrame:
     """The raw table before the newest revisions arrive: accepted among the first two."""
-    return revision.accept_latest_extract(t.panel.detail.where(F.col("revision") < 3))
+    older = t.panel.detail.where(F.col("revision") < 3)
+    return revision.accept_latest_extract(older, clustered=t.by_line)
 
 
 BEFORE_SQL = """before AS (SELECT * FROM t_detail WHERE rev < 3 QUALIFY dense_rank() OVER

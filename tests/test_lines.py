@@ -68,3 +68,23 @@ def test_clustered_acceptance_gives_the_same_rows(spark):
     plain = revision.accept_latest_extract(rows).collect()
     assert sorted(map(str, revision.accept_latest_extract(rows, clustered=True).collect())) == sorted(map(str, plain))
     assert len(plain) == 6
+
+
+def test_full_replace_by_line_moves_each_table_once(spark, star):
+    assert shuffles(run(spark, star, "line_full_source_replace")) <= 3
+
+
+def test_replace_keeps_rows_without_a_key_and_of_other_flows(spark):
+    stored = raw(
+        spark,
+        [
+            {"month": "2020-01-01", "reporter": "842", "partner": "1"},
+            {"month": "2020-01-01", "reporter": None, "partner": "2"},
+            {"month": "2020-01-01", "reporter": "842", "partner": "3", "flow": "X"},
+            {"month": "2020-01-01", "reporter": "842", "partner": "4", "flow": None},
+            {"month": "2020-02-01", "reporter": "842", "partner": "5"},
+        ],
+    )
+    incoming = stored.where("partner_code IN ('1', '2')").withColumn("revision", F.lit(2).cast("long"))
+    found = load.replace_units(stored, incoming, incoming).select("partner_code", "revision")
+    assert sorted(map(tuple, found.collect())) == [("1", 2), ("2", 1), ("2", 2), ("3", 1), ("4", 1), ("5", 1)]
