@@ -88,3 +88,20 @@ def test_replace_keeps_rows_without_a_key_and_of_other_flows(spark):
     incoming = stored.where("partner_code IN ('1', '2')").withColumn("revision", F.lit(2).cast("long"))
     found = load.replace_units(stored, incoming, incoming).select("partner_code", "revision")
     assert sorted(map(tuple, found.collect())) == [("1", 2), ("2", 1), ("2", 2), ("3", 1), ("4", 1), ("5", 1)]
+
+
+def test_mixed_versions_by_line_moves_rows_once(spark, star):
+    plan = run(spark, star, "line_mixed_versions")
+    assert shuffles(plan) == 1 and "Expand" not in plan
+
+
+def test_stored_versions_count_null_as_none(spark):
+    rows = raw(
+        spark,
+        [
+            {"month": "2020-01-01", "revision": v, "checksum": c}
+            for v, c in ((1, "a"), (1, "a"), (2, "a"), (2, None), (None, "b"))
+        ],
+    )
+    found = revision.stored_versions(rows).first()
+    assert (found.revision, found.checksum, found.row_count, found.revisions, found.checksums) == (2, "b", 5, 2, 2)
