@@ -105,3 +105,7 @@ def test_stored_versions_count_null_as_none(spark):
     )
     found = revision.stored_versions(rows).first()
     assert (found.revision, found.checksum, found.row_count, found.revisions, found.checksums) == (2, "b", 5, 2, 2)
+
+
+def test_load_decision_by_line_moves_each_table_once(spark, star):
+    assert shuffles(run(spark, star, "line_load_decision")) == 2
