@@ -265,7 +265,7 @@ def audit_events(t: Tables):
 def partition_scan(t: Tables):
     """The raw table written by month and read back with pruned partitions."""
     path = f"{t.scratch()}/raw"
-    write_table(t.panel.detail, path)
+    write_table(t.panel.detail_by_month, path, dealt=t.by_line)
     return scan_raw(t.spark, path, date(1997, 1, 1), date(2002, 1, 1))
 
 

@@ -38,12 +38,16 @@ def cluster(
     frame: DataFrame,
     partition: Sequence[str] = ("period_start_date",),
     cluster_by: Sequence[str] = RAW_CLUSTER,
+    dealt: bool = False,
 ) -> DataFrame:
     """Lay rows out for a partitioned write.
 
     The rebalance hint lets adaptive execution merge small months and split a
-    month that holds far more rows than the others over several tasks.
+    month that holds far more rows than the others over several tasks. Rows that are
+    ``dealt`` by ranges of months already stay where they are.
     """
+    if dealt:
+        return frame.sortWithinPartitions(*partition, *cluster_by)
     return frame.hint("rebalance", *[F.col(name) for name in partition]).sortWithinPartitions(
         *partition, *cluster_by
     )
@@ -55,9 +59,10 @@ def write_table(
     mode: str = "overwrite",
     partition: Sequence[str] = ("period_start_date",),
     cluster_by: Sequence[str] = RAW_CLUSTER,
+    dealt: bool = False,
 ) -> None:
     """Static overwrite or append."""
-    writer = cluster(frame, partition, cluster_by).write.mode(mode)
+    writer = cluster(frame, partition, cluster_by, dealt).write.mode(mode)
     writer.option("partitionOverwriteMode", "static").partitionBy(*partition).parquet(path)
 
 

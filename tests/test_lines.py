@@ -109,3 +109,18 @@ def test_stored_versions_count_null_as_none(spark):
 
 def test_load_decision_by_line_moves_each_table_once(spark, star):
     assert shuffles(run(spark, star, "line_load_decision")) == 2
+
+
+def test_raw_table_by_line_is_written_where_ranges_of_months_lie(spark, star, monkeypatch):
+    from monthloom.catalog import loading
+
+    written = []
+
+    def watched(frame, path, **options):
+        written.append(frame._jdf.queryExecution().executedPlan().toString())
+        load.write_table(frame, path, **options)
+        assert options["dealt"]
+
+    monkeypatch.setattr(loading, "write_table", watched)
+    run(spark, star, "line_partition_scan")
+    assert written[0].count("Exchange rangepartitioning") == 1 and not shuffles(written[0])
