@@ -104,7 +104,7 @@ def accepted_latest_extract(t: Tables):
 
 @query("accepted_latest_row", f"SELECT {WORLD_SQL} FROM t_aworld")
 def accepted_latest_row(t: Tables):
-    return accept_latest_row(t.panel.world)
+    return accept_latest_row(t.panel.world, clustered=t.by_line)
 
 
 @query(

@@ -59,12 +59,21 @@ def accept_latest_row(
     world: DataFrame,
     scope: Sequence[str] = SCOPE,
     newest: Sequence[str] = ("revision", "ingested_at", "hs_version"),
+    clustered: bool = False,
 ) -> DataFrame:
     """One row per scope: the newest, ties broken by the remaining columns.
 
     Versions are counted by hashing and the winners semi-joined; only rows that share
-    the winning version of their scope are compared as a whole.
+    the winning version of their scope are compared as a whole. Rows that are
+    ``clustered`` by scope already are read once, by one maximum where they lie.
     """
+    if clustered:
+        others = [name for name in world.columns if name not in scope]
+        order = [*newest, *[name for name in others if name not in newest]]
+        top = world.groupBy(*scope).agg(F.max(F.struct(*order)).alias("kept"))
+        return top.select(
+            *[F.col(n) if n in scope else F.col(f"kept.{n}").alias(n) for n in world.columns]
+        )
     versions = world.groupBy(*scope, *newest).agg(F.count("*").alias("n"))
     best = versions.groupBy(*scope).agg(F.max(F.struct(*newest, "n")).alias("best"))
     winners = best.select(*scope, *[F.col(f"best.{name}").alias(name) for name in (*newest, "n")])

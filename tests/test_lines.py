@@ -124,3 +124,23 @@ def test_raw_table_by_line_is_written_where_ranges_of_months_lie(spark, star, mo
     monkeypatch.setattr(loading, "write_table", watched)
     run(spark, star, "line_partition_scan")
     assert written[0].count("Exchange rangepartitioning") == 1 and not shuffles(written[0])
+
+
+def test_accepted_row_by_line_reads_the_panel_once(spark, star):
+    plan = run(spark, star, "line_accepted_latest_row")
+    assert shuffles(plan) == 1 and plan.count("lineitem.parquet") == 1
+
+
+def test_clustered_rows_give_the_same_row(spark):
+    rows = raw(
+        spark,
+        [
+            {"month": "2020-01-01", "reporter": r, "partner": p, "revision": v, "value": x}
+            for r in ("842", None)
+            for p, v, x in (("1", 1, 5), ("2", 2, None), ("2", 2, 3), ("1", 2, 9), ("4", None, 7))
+        ],
+    )
+    plain = sorted(map(str, revision.accept_latest_row(rows).collect()))
+    found = revision.accept_latest_row(rows, clustered=True)
+    assert sorted(map(str, found.collect())) == plain and len(plain) == 2
+    assert found.columns == rows.columns
