@@ -144,3 +144,7 @@ def test_clustered_rows_give_the_same_row(spark):
     found = revision.accept_latest_row(rows, clustered=True)
     assert sorted(map(str, found.collect())) == plain and len(plain) == 2
     assert found.columns == rows.columns
+
+
+def test_reconciliation_by_line_shuffles_facts_only_for_their_join(spark, star):
+    assert shuffles(run(spark, star, "line_reconcile_load")) <= 4
