@@ -382,9 +382,15 @@ def path_identity(t: Tables):
         F.lit("/query_type=partner_detail/revision="), F.col("revision").cast("string"),
         F.lit("/data.ndjson"),
     )
-    found = t.panel.detail.select(path.alias("path")).distinct()
+    paths = t.panel.detail.select(path.alias("path"))
+    if t.by_line:  # as many parts as lines ask for: a task's paths do not grow with the table
+        paths = paths.repartition(t.panel.parts, "path")
+    found = paths.distinct()
     read = found.select(*[c.alias(n) for n, c in source.path_identity(F.col("path")).items()])
-    return read.groupBy(*[c for c in read.columns if c != "path_reporter_code"]).agg(
+    kept = [c for c in read.columns if c != "path_reporter_code"]
+    if t.by_line:
+        read = read.repartition(t.panel.parts, *kept)
+    return read.groupBy(*kept).agg(
         F.count("*").alias("extracts")
     )
 

@@ -148,3 +148,11 @@ def test_clustered_rows_give_the_same_row(spark):
 
 def test_reconciliation_by_line_shuffles_facts_only_for_their_join(spark, star):
     assert shuffles(run(spark, star, "line_reconcile_load")) <= 4
+
+
+def test_paths_by_line_are_dealt_to_parts_that_grow_with_the_table(spark, star, monkeypatch):
+    from monthloom.sources import star as source
+
+    monkeypatch.setattr(source, "LINES_A_TASK", 100)
+    plan = run(spark, star, "line_path_identity")
+    assert plan.count(", 31), REPARTITION_BY_NUM") == shuffles(plan) == 3
