@@ -7,6 +7,7 @@ import zlib
 from bisect import bisect_right
 from functools import cache
 from itertools import accumulate
+from struct import Struct
 
 import numpy as np
 import pandas as pd
@@ -32,8 +33,9 @@ PLAIN, MARK = "0-9A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f", r"!-&(-/
 INNER = re.compile(f"(?<=[{PLAIN}])(?=[{MARK}])|(?<=[{MARK}])(?=[{PLAIN}])")
 #: What the pattern makes one word of, certainly.
 WORD = re.compile(" ?[A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f]+")
-#: White space other than single spaces and line ends between other characters.
-UNEVEN = re.compile(f"[{SPACE}](?:[{SPACE}]|$)|^ |[^\\S \\n]")
+#: White space other than spaces and line ends, or what ``str.split`` takes for it.
+OTHER_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+OTHER_ASCII = "".join(filter(str.isascii, OTHER_SPACE))
 REMEMBERED = 64
 
 
@@ -60,21 +62,32 @@ class Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.packed = [Struct(f"<{n}{'H' if size <= 1 << 16 else 'I'}").pack for n in range(REMEMBERED)]
         self.model, self.symbols = self.tokenizer.model, byte_symbols()
-        self.parts = Memo(self._part, 600_000)
+        self.parts = Memo(self._part, 200_000)
         self.runs = Memo(self._run, 100_000)
-        self.spaced = Memo(lambda word: self._run(" " + word), 250_000)
+        self.spaced = Memo(lambda word: self._run(" " + word), 450_000)
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return self.packed[len(ids)](*ids) if len(ids) < REMEMBERED else np.array(ids, self.kind).tobytes()
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        """Of what the pattern makes one word of: straight to the library's merges."""
+        if word.isascii():  # letters stand for themselves
+            shown = word.replace(" ", self.symbols[32])
+        else:
+            shown = word.encode().decode("latin-1").translate(self.symbols)
+        return self._pack([t.id for t in self.model.tokenize(shown)])
 
     def _part(self, part: str) -> bytes:
-        if WORD.fullmatch(part):  # one word for the pattern: straight to the library's merges
-            shown = part.encode().decode("latin-1").translate(self.symbols)
-            return np.array([t.id for t in self.model.tokenize(shown)], self.kind).tobytes()
-        return self._ids(part)
+        return self._word(part) if WORD.fullmatch(part) else self._ids(part)
 
     def _run(self, run: str) -> bytes:
+        if WORD.fullmatch(run):  # remembered as a run already
+            return self._word(run)
         parts = self.parts
         return b"".join([parts[p] if len(p) <= REMEMBERED else self._part(p) for p in INNER.split(run)])
 
@@ -82,7 +95,7 @@ class Encoder:
         if any(a in text for a in self.added):
             return self._ids(text)
         runs = self.runs
-        if not UNEVEN.search(text):
+        if not uneven(text):
             out, spaced = [], self.spaced
             for k, line in enumerate(text.split("\n")):
                 if k:
@@ -101,6 +114,14 @@ class Encoder:
         return b"".join(map(runs.__getitem__, found))
 
 
+def uneven(text: str) -> bool:
+    """Whether there is white space other than single spaces and line ends between other characters."""
+    return (
+        text.startswith(" ") or text.endswith((" ", "\n")) or any(pair in text for pair in ("  ", "\n\n", "\n ", " \n"))
+        or any(c in text for c in (OTHER_ASCII if text.isascii() else OTHER_SPACE))
+    )
+
+
 @cache
 def encoder(file: str) -> Encoder:
     """One encoder, with what it remembers, for all tasks of a worker."""

@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter
 from decimal import Decimal
+from itertools import product
 
 import numpy as np
 import public_tokenizers
@@ -340,6 +341,20 @@ def test_runs_are_what_the_library_splits():
         assert np.frombuffer(e.encode(text), e.kind).tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_remembered_once():
+    e = token_files.Encoder(BYTES)
+    text = "plain words stand alone, caf\u00e9 na\u00efve (twice) twice"
+    assert e.encode(text) == e._ids(text) and e.encode(text + "\n\t " + text) == e._ids(text + "\n\t " + text)
+    assert not {p for p in e.parts if token_files.WORD.fullmatch(p)} & {f" {w}" for w in e.spaced if token_files.WORD.fullmatch(w)}
+
+
+def test_uneven_white_space_by_definition():
+    pattern = re.compile(f"[{token_files.SPACE}](?:[{token_files.SPACE}]|$)|^ |[^\\S \\n]")
+    for k in range(3):
+        for text in map("".join, product(["a", "\u00e9", " ", "\n", "\t", "\x1f", "\xa0", "\u3000"], repeat=k + 1)):
+            assert token_files.uneven(text) == bool(pattern.search(text))
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(2).integers(0, 2**63, 20_000, dtype=np.uint64)
     h = token_files.PerfectHash.from_bytes(token_files.PerfectHash.build(keys).to_bytes())
