@@ -221,30 +221,130 @@ def _expectation(shared, place, model_file):
     return run
 
 
+class Lattice:
+    """Forward sums of many words side by side: a trie of the pieces is walked from all places at once.
+
+    Sums are those of ``forward``, added in the same order.
+    """
+
+    def __init__(self, ids: dict[str, int], table: np.ndarray) -> None:
+        states: dict[str, int] = {"": 0}
+        edges: dict[int, int] = {}
+        for piece in ids:
+            for end in range(1, len(piece) + 1):
+                if piece[:end] not in states:
+                    states[piece[:end]] = len(states)
+                    edges[states[piece[: end - 1]] << 21 | ord(piece[end - 1])] = states[piece[:end]]
+        keys, into = np.array([*edges], np.int64), np.array([*edges.values()], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.into = keys[order], into[order]
+        self.piece = np.full(len(states), -1, np.int64)
+        for piece, k in ids.items():
+            self.piece[states[piece]] = k
+        self.longest, self.table = max(map(len, ids)), table
+
+    def arcs(self, words: list[str], sizes: np.ndarray):
+        """For each length of pieces: word, end and piece of the arcs, by end."""
+        chars = np.frombuffer("".join([f"▁{w}" for w in words]).encode("utf-32-le"), "<u4").astype(np.int64)
+        first = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(words)), sizes)
+        begin = np.arange(len(chars)) - first[owner]
+        at, state = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+        for length in range(1, self.longest + 1):
+            keep = begin[at] + length <= sizes[owner[at]]
+            at, state = at[keep], state[keep]
+            key = state << 21 | chars[at + length - 1]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[place] == key
+            at, state = at[hit], self.into[place[hit]]
+            piece = self.piece[state]
+            found = at[piece >= 0]
+            end = begin[found] + length
+            order = np.argsort(end, kind="stable")
+            yield owner[found][order], end[order], piece[piece >= 0][order]
+
+    def forward(self, words: list[str]) -> np.ndarray:
+        """Log-probability of each word in each language, one row a word."""
+        order = sorted(range(len(words)), key=lambda k: -len(words[k]))
+        words = [words[k] for k in order]
+        sizes = np.array([len(w) + 1 for w in words])
+        longest = int(sizes[0])
+        reach = len(words) - np.cumsum(np.bincount(sizes, minlength=longest + 1))  # words of more characters
+        arcs = []
+        for owner, end, piece in self.arcs(words, sizes):
+            arcs.append((owner, piece, np.searchsorted(end, np.arange(longest + 2)).tolist()))
+        alpha = np.ones((longest + 1, len(words), self.table.shape[1]))
+        for end in range(1, longest + 1):
+            n = int(reach[end - 1])
+            one = np.full(n, len(self.table) - 1)
+            owner, piece, bounds = arcs[0]
+            one[owner[bounds[end] : bounds[end + 1]]] = piece[bounds[end] : bounds[end + 1]]
+            total = alpha[end - 1, :n] * self.table[one]
+            for length in range(min(end, self.longest), 1, -1):
+                owner, piece, bounds = arcs[length - 1]
+                if bounds[end] < bounds[end + 1]:
+                    own = owner[bounds[end] : bounds[end + 1]]
+                    total[own] += alpha[end - length, own] * self.table[piece[bounds[end] : bounds[end + 1]]]
+            alpha[end, :n] = total
+        sums = np.maximum(alpha[sizes, np.arange(len(words))], 1e-300)
+        out = np.empty_like(sums)
+        out[order] = np.array([math.log(x) for x in sums.ravel().tolist()]).reshape(sums.shape)
+        return out
+
+
 class Scorer:
     """Log-probabilities of remembered words, one row each."""
 
+    #: Words that are summed side by side.
+    TOGETHER = 8_192
+
     def __init__(self, ids: dict[str, int], table: np.ndarray, limit: int = 400_000) -> None:
         self.known = {piece: tuple(table[k].tolist()) for piece, k in ids.items()}
         self.unknown, self.limit = tuple(table[-1].tolist()), limit
         self.longest = max(map(len, ids))
+        self.lattice = Lattice(ids, table)
         self.rows: dict[str, int] = {}
         self.values = np.empty((limit, table.shape[1]))
 
+    def learn(self, new: list[str]) -> None:
+        """Remembers words that are not remembered yet; there is room for them."""
+        rows, values = self.rows, self.values
+        plain = [w for w in new if len(w) <= PLAIN_LETTERS]
+        for at in range(0, len(plain), self.TOGETHER):
+            part = plain[at : at + self.TOGETHER]
+            values[len(rows) : len(rows) + len(part)] = self.lattice.forward(part)
+            rows.update(zip(part, range(len(rows), len(rows) + len(part))))
+        for w in new:
+            if len(w) > PLAIN_LETTERS:
+                values[len(rows)] = forward(w, self.known, self.unknown, self.longest)
+                rows[w] = len(rows)
+
+    def prepare(self, texts: list[list[str]]) -> None:
+        """Learns the new words of several texts at once, if they can be remembered together."""
+        every = set().union(*texts)
+        new = [w for w in every if w not in self.rows]
+        if len(self.rows) + len(new) > self.limit:
+            if len(every) > self.limit:
+                return
+            self.rows.clear()
+            new = list(every)
+        self.learn(new)
+
     def score(self, found: list[str]) -> np.ndarray:
         """Sum over the words; of more than can be remembered at once, part by part."""
         total = np.zeros(self.values.shape[1])
         rows, values = self.rows, self.values
         for at in range(0, len(found), self.limit // 2):
             part = found[at : at + self.limit // 2]
-            new = {w for w in part if w not in rows}
-            if len(rows) + len(new) > self.limit:
-                rows.clear()
-                new = set(part)
-            for w in new:
-                values[len(rows)] = forward(w, self.known, self.unknown, self.longest)
-                rows[w] = len(rows)
-            places = np.fromiter(map(rows.__getitem__, part), dtype=np.int64, count=len(part))
+            try:
+                places = np.fromiter(map(rows.__getitem__, part), dtype=np.int64, count=len(part))
+            except KeyError:
+                new = {w for w in part if w not in rows}
+                if len(rows) + len(new) > self.limit:
+                    rows.clear()
+                    new = set(part)
+                self.learn(list(new))
+                places = np.fromiter(map(rows.__getitem__, part), dtype=np.int64, count=len(part))
             total += values[places].sum(axis=0)
         return total
 
@@ -280,8 +380,10 @@ def identify(documents: DataFrame, model_file: str, per_language: int = SAMPLE,
         scorer = scorer_of(key, model_file, probabilities) if names else None
         for batch in batches:
             labels, scores = [], []
-            for raw in batch.column(1).to_pylist():
-                found = words(raw.decode("utf-8", "replace")) if raw else []
+            texts = [words(raw.decode("utf-8", "replace")) if raw else [] for raw in batch.column(1).to_pylist()]
+            if names:
+                scorer.prepare(texts)
+            for found in texts:
                 if not names or not has_letter(found):
                     labels.append("und")
                     scores.append(0.0)

@@ -183,6 +183,23 @@ def _exact(word, rows, unknown):
     return alpha[size], found
 
 
+def test_new_words_are_summed_side_by_side(monkeypatch):
+    pieces = ["▁a", "▁ab", "a", "b", "ab", "ba", "bab", "é", "▁漢字", "字"]
+    ids = {piece: k for k, piece in enumerate(pieces)}
+    table = np.random.default_rng(5).random((len(ids) + 1, 3)) / len(ids)
+    rows, unknown = {piece: tuple(table[k]) for piece, k in ids.items()}, tuple(table[-1])
+    words = ["a", "b", "x", "ab", "abab", "babab", "éab", "漢字", "漢字字", "xyz", "ab" * 12, "ab" * 12 + "a", "ba" * 40]
+    expected = [language.forward(w, rows, unknown, 3) for w in words]
+    slow, forward = [], language.forward
+    monkeypatch.setattr(language, "forward", lambda w, *more: slow.append(w) or forward(w, *more))
+    for limit in (400, 6):
+        scorer = language.Scorer(ids, table, limit)
+        scorer.prepare([words[:5], words[5:], []])
+        assert [scorer.score([w]).tolist() for w in words] == expected
+        assert np.allclose(scorer.score(words * 2), 2 * np.sum(expected, axis=0))
+    assert {len(w) for w in slow} == {25, 80}
+
+
 @pytest.mark.parametrize("size", [language.PLAIN_LETTERS, language.PLAIN_LETTERS + 1, 70, 10_000])
 def test_long_words_are_summed_whole(size):
     first = {"▁": 0.25, "▁a": 0.01, "a": 0.002, "b": 0.1, "ab": 0.004, "bca": 1e-5, "ccc": 2e-8}
