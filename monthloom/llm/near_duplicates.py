@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthloom.llm.common import Memo, components, in_arrow, saved
+from monthloom.llm.common import components, in_arrow, saved
 
 WORDS = 5
 #: Least similarity of linked sets, in hundredths.
@@ -48,7 +48,6 @@ BLOCK = 256
 _RANDOM = np.random.default_rng(20240501)
 MULTIPLIERS = _RANDOM.integers(1, 1 << 63, TOKENS + TREES * FANOUT, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 STEP = [np.uint64(int(x) | 1) for x in _RANDOM.integers(1, 1 << 63, WORDS + 2, dtype=np.uint64)]
-_WORD_HASHES = Memo(xxhash.xxh3_64_intdigest)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -61,7 +60,7 @@ def shingles(text: bytes | None) -> np.ndarray:
     words = text.lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_WORD_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     size = min(WORDS, len(words))
     with np.errstate(over="ignore"):
         value = np.full(len(words) - size + 1, size, np.uint64) * STEP[-2]

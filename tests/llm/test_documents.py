@@ -133,6 +133,11 @@ def test_documents_on_one_template_are_not_gathered(spark, monkeypatch):
     assert max(gathered) <= 64 + 16
 
 
+def test_no_words_stay_in_a_worker():
+    near_duplicates.shingles(LONG.encode())
+    assert not [k for k, v in vars(near_duplicates).items() if isinstance(v, dict) and b"w1x1" in v]
+
+
 def test_sketches_hardly_reject_pairs_at_the_threshold():
     n, agree = near_duplicates.TOKENS, 0.75 + 0.25 / 256
     fewest = math.ceil(near_duplicates.LEAST_AGREEMENT * n)
