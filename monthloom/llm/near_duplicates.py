@@ -9,7 +9,8 @@ that are alike stay together and the rest parts.
   most of a group of copies of any size.
 * Sets that resemble the same smallest id are a family. In it, whoever is not yet joined to
   the largest part is compared with everyone on full sets, block by block, if these are few.
-  If they are many, each counts as a family of its own in what follows.
+  If they are many, blocks of the family meet two by two, each pair once whatever nodes it
+  shares; only in a family of over FAMILY sets each counts as a family of its own in what follows.
 * What other nodes still hold apart is compared exhaustively where nodes are small, branches
   again where they are not, and is compared block by block at the last depth. A block names
   its sets with alike sketches, compares them on full sets and gives the links that join
@@ -44,6 +45,8 @@ RESEMBLES = 0.35
 SMALL = 64
 #: Sets of a family or a node's largest family that are compared in one place.
 BLOCK = 256
+#: Sets of a family with many outside its largest part that is compared once, block by block, and branches no more.
+FAMILY = 4096
 
 _RANDOM = np.random.default_rng(20240501)
 MULTIPLIERS = _RANDOM.integers(1, 1 << 63, TOKENS + TREES * FANOUT, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -190,7 +193,7 @@ def _across(batches):
 
 
 def apart_families(families: DataFrame, parts: DataFrame) -> DataFrame:
-    """(a, cid, part, outside, n_outside, blocks): members of families of several parts, as a saved table.
+    """(a, cid, part, outside, n, n_outside, blocks): members of families of several parts, as a saved table.
 
     ``outside`` are those that are not in the largest part.
     """
@@ -201,10 +204,10 @@ def apart_families(families: DataFrame, parts: DataFrame) -> DataFrame:
     counted = members.groupBy("a", "part").agg(F.count("*").alias("n"))
     shape = counted.groupBy("a").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("largest"))
     apart = shape.filter("largest.n < n").select(
-        "a", F.col("largest.part").alias("main"), (F.col("n") - F.col("largest.n")).alias("n_outside"), F.ceil(F.col("n") / BLOCK).alias("blocks")
+        "a", "n", F.col("largest.part").alias("main"), (F.col("n") - F.col("largest.n")).alias("n_outside"), F.ceil(F.col("n") / BLOCK).alias("blocks")
     )
     return saved(
-        members.join(apart, "a").select("a", "cid", "part", (F.col("part") != F.col("main")).alias("outside"), "n_outside", "blocks")
+        members.join(apart, "a").select("a", "cid", "part", (F.col("part") != F.col("main")).alias("outside"), "n", "n_outside", "blocks")
     )
 
 
@@ -284,6 +287,27 @@ def block_links(blocks: DataFrame, texts: DataFrame) -> DataFrame:
     return saved(in_arrow(gathered.select("members"), _across, "a long, b long"))
 
 
+def family_blocks(families: DataFrame, classes: DataFrame) -> DataFrame:
+    """Blocks (node, x, y, cid, part) to compare, of families with many sets outside their largest part.
+
+    Blocks of BLOCK / 2 sets meet two by two, but for those of the largest part among themselves.
+    """
+    half, zero = BLOCK // 2, F.lit(0).cast("long")
+    first = F.ceil(F.col("n_outside") / half)
+    every = first + F.ceil((F.col("n") - F.col("n_outside")) / half)
+    own = F.when(F.col("outside"), F.pmod(F.xxhash64("cid"), first)).otherwise(first + F.pmod(F.xxhash64("cid"), every - first))
+    dealt = (
+        families.join(classes.select("cid", "sketch"), "cid")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(zero, F.when(F.col("outside"), every).otherwise(first) - 1)))
+        .select(
+            F.xxhash64(F.lit("family"), "a").alias("node"), F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+            "cid", "part", F.col("cid").alias("family"), "sketch", F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
+        )
+    )
+    return saved(_alike_within(dealt))
+
+
 #: Holds for nodes with several parts and several families, of ``_spread``.
 APART = "p0 < p1 and f0 < f1"
 
@@ -375,8 +399,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     parts = saved(components(links)).select(F.col("id").alias("cid"), "component")
     divided = apart_families(families, parts)
     links = links.union(family_links(divided, texts))
-    # Many outside a largest part are compared with their family by branching, as if of no family.
-    single = divided.filter(F.col("outside") & (F.col("n_outside") > SMALL)).select("a", F.col("cid").alias("b"))
+    many = divided.filter(F.col("n_outside") > SMALL)
+    within = family_blocks(many.filter(F.col("n") <= FAMILY), classes)
+    # Those outside the largest part of a larger family are compared with it by branching, as if of no family.
+    single = many.filter(F.col("outside") & (F.col("n") > FAMILY)).select("a", F.col("cid").alias("b"))
     families = families.join(single, ["a", "b"], "left_anti")
     open_ = (
         members.filter("n > 2").select("node", "cid").join(parts, "cid", "left")
@@ -385,7 +411,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     apart = open_.groupBy("node").agg(*_spread()).filter(APART).select("node")
     rows = open_.join(apart, "node", "left_semi").join(classes.select("cid", "sketch"), "cid")
-    blocks = _branching(rows.select("node", "cid", "part", "family", "sketch"))
+    blocks = within.union(_branching(rows.select("node", "cid", "part", "family", "sketch")))
     more = block_links(blocks, texts_of(blocks.select("cid"), source))
     final = components(links.union(more).union(signed_ids(filled, names)))
     of = names.join(final.select(F.col("id").alias("cid"), "component"), "cid", "left").select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -133,6 +134,38 @@ def test_documents_on_one_template_are_not_gathered(spark, monkeypatch):
     assert max(gathered) <= 64 + 16
 
 
+@pytest.mark.parametrize("family", [None, 0])
+def test_a_family_of_many_parts_is_compared_once(spark, monkeypatch, family):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 64)
+    monkeypatch.setattr(near_duplicates, "SMALL", 16)
+    if family is not None:  # larger families branch
+        monkeypatch.setattr(near_duplicates, "FAMILY", family)
+    branched, in_arrow = [], near_duplicates.in_arrow
+
+    def spied(frame, function, schema):
+        if schema.startswith("node long, cid long, part long, family long"):
+            branched.append(frame.count())
+        return in_arrow(frame, function, schema)
+
+    monkeypatch.setattr(near_duplicates, "in_arrow", spied)
+    dice, rows = random.Random(5), []
+    base = own = [f"b{k}" for k in range(120)]
+    for k in range(160):
+        own = list(own if k % 2 else base)  # every second is a near copy of the one before
+        for n in range(1 if k % 2 else dice.randint(2, 3)):
+            own[dice.randrange(len(own))] = f"o{k}n{n}"
+        rows.append((k, " ".join(own)))
+    frame = documents(spark, [(i, t, None, None) for i, t in rows])
+    sets, least = [_sets(t) for _, t in rows], list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+            low, high = sorted((least[i], least[j]))
+            least = [low if x == high else x for x in least]
+    found = listed(near_duplicates.near_duplicates(frame), "doc_id", "component_id")
+    assert found == list(enumerate(least)) and len(set(least)) > 20
+    assert (sum(branched) > len(rows)) == (family == 0)
+
+
 def test_no_words_stay_in_a_worker():
     near_duplicates.shingles(LONG.encode())
     assert not [k for k, v in vars(near_duplicates).items() if isinstance(v, dict) and b"w1x1" in v]
