@@ -239,8 +239,10 @@ def write_ids(documents: DataFrame, tokenizer_file: str, end_id: int, folder: st
                 names=["shard", "doc_id", "tie", "ids"],
             )
 
+    width = encoder(tokenizer_file).kind.itemsize
+
     def blocks(batches):
-        width = encoder(tokenizer_file).kind.itemsize
+        encoder.cache_clear()  # all texts are encoded
         shard = None
         first = block = 0
         keys, sizes, ids = [], [], bytearray()

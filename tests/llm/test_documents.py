@@ -19,7 +19,7 @@ from comparison import connect, difference, rows_of_spark, rows_of_sql
 from llm.frames import BASE, LONG, ROWS, documents, listed
 from pyspark.sql import functions as F
 
-from monthloom.llm import chat, decontamination, language, mixing, near_duplicates, recurrent, token_counts, token_files, toxicity
+from monthloom.llm import chat, common, decontamination, language, mixing, near_duplicates, recurrent, token_counts, token_files, toxicity
 from monthloom.llm.catalog import BYTES, ORACLES, PIECES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -387,6 +387,26 @@ def test_token_files_round_trip(spark, tmp_path, monkeypatch):
     assert token_files.encode_to_files(documents(spark, []), BYTES, 2).count() == 0
 
 
+def test_no_encoder_stays_when_texts_are_encoded(spark, tmp_path, monkeypatch):
+    functions, in_arrow = {}, token_files.in_arrow
+    monkeypatch.setattr(token_files, "in_arrow", lambda frame, f, schema: functions.update({f.__name__: f}) or in_arrow(frame, f, schema))
+    token_files.write_ids(documents(spark), BYTES, 2, str(tmp_path / "files"))
+    token_files.encoder(BYTES).encode("some words")
+    assert list(functions["blocks"](iter([]))) == []
+    assert token_files.encoder.cache_info().currsize == 0
+
+
+def test_memory_freed_by_arrow_is_given_back(spark, monkeypatch):
+    class Frame:
+        sparkSession = spark
+        mapInArrow = staticmethod(lambda function, schema: function)
+
+    given = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: given.append(1)})())
+    assert list(common.in_arrow(Frame(), iter, "x long")([1, 2])) == [1, 2]
+    assert given == [1]
+
+
 def test_runs_are_what_the_library_splits():
     e = token_files.Encoder(BYTES)
     dice = random.Random(8)
