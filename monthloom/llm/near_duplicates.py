@@ -320,6 +320,7 @@ def _branching(nodes: DataFrame) -> DataFrame:
     """Blocks (node, x, y, cid, part) to compare, of nodes (node, cid, part, family, sketch) that hold sets apart."""
     found = None
     for depth in range(DEPTH + 1):
+        nodes = saved(nodes)  # read twice
         by_family = nodes.groupBy("node", "family").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
         sizes = (
             by_family.groupBy("node")

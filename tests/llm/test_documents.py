@@ -166,6 +166,37 @@ def test_a_family_of_many_parts_is_compared_once(spark, monkeypatch, family):
     assert (sum(branched) > len(rows)) == (family == 0)
 
 
+def test_branched_sets_are_computed_once(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "SMALL", 4)
+    made = spark.sparkContext.accumulator(0)
+    children, saved, large = near_duplicates._children, near_duplicates.saved, []
+
+    def counted(depth):
+        def run(batches):
+            for batch in children(depth)(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return run
+
+    def watched(frame):
+        kept = saved(frame)
+        if kept.columns[-1] == "side":
+            large.append(kept.filter(f"outside > {near_duplicates.SMALL}").count())
+        return kept
+
+    monkeypatch.setattr(near_duplicates, "_children", counted)
+    monkeypatch.setattr(near_duplicates, "saved", watched)
+    rng = np.random.default_rng(4)
+    sketches = rng.integers(0, 3, (400, near_duplicates.TOKENS), dtype=np.uint8)
+    rows = [(node, k, k, k, bytearray(sketches[k].tobytes())) for node in (1, 2) for k in range(400)]
+    nodes = spark.createDataFrame(rows, "node long, cid long, part long, family long, sketch binary")
+    near_duplicates._branching(nodes).collect()
+    # A set goes to one child or two; the last nodes branch no more.
+    assert 0 < made.value <= 2 * sum(large[:-1])
+    assert sum(large[:-1]) <= made.value
+
+
 def test_no_words_stay_in_a_worker():
     near_duplicates.shingles(LONG.encode())
     assert not [k for k, v in vars(near_duplicates).items() if isinstance(v, dict) and b"w1x1" in v]
