@@ -14,6 +14,7 @@ from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from comparison import connect, difference, rows_of_spark, rows_of_sql
 from llm.frames import BASE, LONG, ROWS, documents, listed
@@ -353,6 +354,112 @@ def test_network_is_a_distribution_with_right_gradients():
         assert np.isclose((loss(up) - loss(down)) / 2e-5, slope[at], rtol=1e-3, atol=1e-6)
 
 
+def _shard(n_words, lengths, seed=3):
+    dice = np.random.default_rng(seed)
+    p = recurrent.Network.initial(np.arange(n_words, 0, -1.0) ** 2)
+    return p, [dice.zipf(1.3, size) % n_words for size in lengths]
+
+
+@pytest.mark.parametrize("columns, padded, together", [(1024, (4, 16), 65_536), (7, (1, 2), 50)])
+def test_scores_of_texts_are_those_of_single_steps(monkeypatch, columns, padded, together):
+    for name, value in (("COLUMNS", columns), ("PADDED", padded), ("TOGETHER", together)):
+        monkeypatch.setattr(recurrent, name, value)
+    p, texts = _shard(200, [1, 90, 3, 70, 33])
+    p = {name: value.astype(np.float64) * (1.0 if name == "o" else 3.0) for name, value in p.items()}
+    network, expected = recurrent.Network(p), []
+    for text in texts:
+        h, previous, total = np.zeros((1, recurrent.WIDTH)), 5, 0.0
+        for symbol in text:
+            h = network.step(h, network.inputs[[previous]])[0]
+            logits, (c, k) = (h @ p["C"] + p["c"])[0], divmod(symbol, recurrent.CLASS_WORDS)
+            own = (h @ p["O"][c] + p["o"][c])[0]
+            total += logits[c] - np.log(np.exp(logits).sum()) + own[k] - np.log(np.exp(own).sum())
+            previous = symbol
+        expected.append(total)
+    assert np.allclose(network.score(texts, 5), expected)
+    assert network.score([], 5).tolist() == []
+
+
+def test_probabilities_stay_right_where_exponentials_leave_the_range():
+    p, _ = _shard(100, [])
+    p["c"], p["o"] = p["c"] + np.float32(500), p["o"] - np.float32(500)
+    found = recurrent.Network(p).log_probabilities(np.zeros((100, recurrent.WIDTH), np.float32), np.arange(100))
+    assert np.isclose(np.exp(found).sum(), 1, rtol=1e-3)
+
+
+@pytest.mark.parametrize("columns, padded, moved", [(1024, (4, 16), 16_384), (9, (2, 5), 100)])
+def test_training_takes_the_steps_of_plain_adam(monkeypatch, columns, padded, moved):
+    for name, value in (("COLUMNS", columns), ("PADDED", padded), ("MOVED", moved), ("STREAMS", 3)):
+        monkeypatch.setattr(recurrent, name, value)
+    p, texts = _shard(150, [400, 45, 300, 2, 290])  # a stream for each of the three long ones, the others after the shortest
+    streams = [[texts[0]], [texts[2]], [texts[4], texts[1], texts[3]]]
+    expected, first, second = {k: v.astype(np.float64) for k, v in p.items()}, {k: 0.0 for k in p}, {k: 0.0 for k in p}
+    sizes, h = [400, 300, 337], np.zeros((3, recurrent.WIDTH))
+    for n, at in enumerate(range(0, 400, recurrent.STEPS), 1):
+        rows = [k for k in range(3) if sizes[k] > at]
+        window = [np.zeros((len(rows), recurrent.STEPS), kind) for kind in (int, int, bool, bool)]
+        for i, k in enumerate(rows):
+            symbols = [(5 if j == 0 else t[j - 1], t[j], j == 0, True) for t in streams[k] for j in range(len(t))][at : at + recurrent.STEPS]
+            for j, values in enumerate(symbols):
+                for array, value in zip(window, values):
+                    array[i, j] = value
+        slopes, h[rows] = recurrent.Network(expected).gradients(h[rows], *window)
+        norm = math.sqrt(sum((g * g).sum() for g in slopes.values()))
+        for name, g in slopes.items():
+            g = g * min(1.0, 1.0 / norm)
+            first[name], second[name] = first[name] * 0.9 + 0.1 * g, second[name] * 0.99 + 0.01 * g * g
+            expected[name] = expected[name] - 0.01 * (first[name] / (1 - 0.9**n)) / (np.sqrt(second[name] / (1 - 0.99**n)) + 1e-6)
+    found = recurrent.train(p, texts, 5)
+    assert sorted(found) == sorted(p)
+    for name, value in found.items():
+        assert value.dtype == np.float32 and np.allclose(value, expected[name], atol=2e-3), name
+
+
+def test_adam_goes_on_after_many_steps():
+    dice = np.random.default_rng(2)
+    p = dice.standard_normal((3, 4)).astype(np.float32)
+    adam, plain, first, second = recurrent.Adam(p), p.astype(np.float64), 0.0, 0.0
+    for n in range(1, 600):
+        rows = np.flatnonzero(dice.random(3) < 0.5)
+        g = np.zeros((3, 4))
+        g[rows] = dice.standard_normal((len(rows), 4))
+        first, second = first * 0.9 + 0.1 * g * 0.5, second * 0.99 + 0.01 * (g * 0.5) ** 2
+        plain -= 0.01 * (first / (1 - 0.9**n)) / (np.sqrt(second / (1 - 0.99**n)) + 1e-6)
+        adam.step(g[rows].astype(np.float32), 0.5, 0.01, rows)
+    assert np.allclose(p, plain, atol=1e-3)
+
+
+def test_texts_are_encoded_as_their_tokens():
+    texts = [b"  A b\tc\n", b"x", None, b"", b" \x0b\x0c ", "É\u2003q\x1cw b".encode() + b"\xff\x85 \xc2", b"a a zz b", b"  "]
+    for words in ([b"a", recurrent.END, b"b", b"zz"], [b"a", b"b"], []):
+        known, logs, most = {w: k for k, w in enumerate(words)}, np.arange(1, len(words) + 1) * 1.5, min(2, len(words))
+        found = recurrent.encode(pa.array([b"first", *texts], pa.binary())[1:], pa.array(words, pa.binary()), logs, most)
+        for k, text in enumerate(texts):
+            ids = [known.get(w, -1) for w in recurrent.tokens(text)]
+            symbols = np.array([i + 1 if 0 <= i < most else 0 for i in ids], recurrent.symbol_kind(most + 1))
+            rare = [w for w, i in zip(recurrent.tokens(text), ids) if i < 0]
+            expected = (len(ids), sum(i >= 0 for i in ids), symbols.tolist().count(0), sum(logs[i] for i in ids if i >= 0), sum(logs[i] for i in ids if i >= most), rare, symbols.tobytes())
+            assert tuple(column[k].as_py() for column in found) == expected
+    assert (recurrent.symbol_kind(65_536), recurrent.symbol_kind(65_537)) == (np.uint16, np.int32)
+
+
+def test_texts_are_read_twice_and_the_driver_gets_each_parameter_once(spark, monkeypatch):
+    read, sent, sizes, in_arrow, initial = [], [], [], recurrent.in_arrow, recurrent.Network.initial
+
+    def spied(frame, function, schema):
+        read.append("text" in frame.columns)
+        out = in_arrow(frame, function, schema)
+        if schema.startswith("name"):
+            sent.append(out)
+        return out
+
+    monkeypatch.setattr(recurrent, "in_arrow", spied)
+    monkeypatch.setattr(recurrent.Network, "initial", staticmethod(lambda counts: sizes.append(sum(v.size for v in initial(counts).values())) or initial(counts)))
+    recurrent.score_texts(documents(spark), rounds=1).count()
+    assert sum(read) == 2  # for the counts and for the symbols
+    assert [sum(len(r["value"]) for r in sent[-1].collect())] == [4 * size for size in sizes]
+
+
 def _contamination(text, items):
     words = decontamination.words_of((text or "").encode())
     hit, found = set(), set()
